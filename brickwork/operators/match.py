@@ -13,17 +13,24 @@ the right table, comparing only addresses in the same postcode block:
 2. Widening: a left row whose partial block holds fewer than ``min_block``
    right rows (counted with duplicates) uses its district block instead.
 3. Candidates: distinct right texts per block, joined to the left rows of
-   that block.  Scored with ``wratio`` (Y1); the ``top_k`` best per left row
-   survive (two-phase top-k over a salt so one huge block is ranked by many
-   tasks before the final per-row cut).
+   that block.  Only left rows of blocks larger than ``top_k`` can lose
+   candidates: for them every pair is scored with ``wratio`` (Y1) and the
+   ``top_k`` best survive.
 4. Rarity overlap (Y3): sum over shared tokens of ``1 / df(token)`` where
-   ``df`` is the number of distinct right texts holding the token; computed
-   by exploding the shared tokens and joining the token table.
-5. Winner per left row: highest Y3, then Y1, then text.
-
-Skew: a block holding a third of all addresses produces a large join
-partition; AQE's skew-join splitting spreads it, and the salted two-phase
-top-k keeps the per-row ranking parallel.  No cross join, no per-row Python.
+   ``df`` is the number of distinct right texts holding the token.  Token
+   weights are computed once per right text (a map column), so Y3 is an
+   in-row ``aggregate`` over ``array_intersect``.
+5. Winner per left row: highest Y3, then Y1, then text.  In blocks that
+   cannot be cut Y1 is only computed for pairs tied at the top Y3.
+
+Partitioning: the left rows are repartitioned on the block key before the
+pair join (AQE would otherwise coalesce the small left side into a few tasks
+although the join multiplies it by the block size); every later window and
+aggregate is keyed by (block key, salt, left row) and reuses that
+partitioning, so candidate pairs are never shuffled.  Skew: a block with more
+than ``hot_rows`` right rows is salted -- its left rows are spread over
+``hot_salts`` tasks and its right rows replicated per salt.  No cross join,
+no per-row Python.
 """
 
 from __future__ import annotations
@@ -79,7 +86,8 @@ def block_match(
     top_k: int | None = 500,
     min_block: int = 10,
     level: str = "auto",
-    salt_buckets: int = 8,
+    hot_rows: int = 50_000,
+    hot_salts: int = 32,
 ) -> DataFrame:
     """Best right text per distinct ``(left_text, left_postcode)``.
 
@@ -97,61 +105,95 @@ def block_match(
         F.col("r_text").isNotNull() & F.col("r_postcode").isNotNull()
     )
 
+    # block rows (one per right row and key, duplicates kept for counting)
     district_rows = R.select(F.lit("d").alias("lvl"), F.explode(district_block_keys("r_postcode")).alias("bkey"), "r_text")
     if level == "district":
-        L = L.withColumn("lvl", F.lit("d")).withColumn("bkey", outward_code("l_postcode"))
-        blocks = district_rows.distinct()
+        block_rows = district_rows
     else:
         partial_rows = R.select(F.lit("p").alias("lvl"), F.explode(partial_block_keys("r_postcode")).alias("bkey"), "r_text")
-        counts = partial_rows.groupBy("bkey").agg(F.count(F.lit(1)).alias("n_block"))
-        L = L.withColumn("pkey", partial_postcode("l_postcode"))
-        L = L.join(counts, L["pkey"] == counts["bkey"], "left").drop("bkey")
+        block_rows = partial_rows.unionByName(district_rows)
+    sizes = block_rows.groupBy("lvl", "bkey").agg(F.count(F.lit(1)).alias("n_block"))
+
+    if level == "district":
+        L = L.withColumns({"lvl": F.lit("d"), "bkey": outward_code("l_postcode")})
+    else:
+        L = L.withColumns({"lvl": F.lit("p"), "bkey": partial_postcode("l_postcode")})
+        L = L.join(sizes, ["lvl", "bkey"], "left")
         wide = F.coalesce(F.col("n_block"), F.lit(0)) < min_block
-        L = L.withColumn("lvl", F.when(wide, F.lit("d")).otherwise(F.lit("p"))).withColumn(
-            "bkey", F.when(wide, outward_code("l_postcode")).otherwise(F.col("pkey"))
-        ).drop("pkey", "n_block")
-        blocks = partial_rows.unionByName(district_rows).distinct()
-
-    blocks = blocks.withColumn("r_sorted", token_sort_text("r_text"))
-    L = L.withColumn("l_sorted", token_sort_text("l_text"))
-    pairs = L.join(blocks, ["lvl", "bkey"]).select(
-        "l_text",
-        "l_postcode",
-        "r_text",
-        _round(wratio("l_text", "r_text", "l_sorted", "r_sorted")).alias("score_y1"),
+        L = L.withColumns(
+            {"lvl": F.when(wide, F.lit("d")).otherwise(F.lit("p")), "bkey": F.when(wide, outward_code("l_postcode")).otherwise(F.col("bkey"))}
+        ).drop("n_block")
+    L = L.join(sizes, ["lvl", "bkey"], "left").withColumns(
+        {"l_sorted": token_sort_text("l_text"), "l_tokens": tokens("l_text")}
     )
 
-    if top_k is not None:
-        order = [F.col("score_y1").desc(), F.col("r_text").asc()]
-        if salt_buckets > 1:
-            salted = Window.partitionBy("l_text", "l_postcode", F.pmod(F.xxhash64("r_text"), F.lit(salt_buckets))).orderBy(*order)
-            pairs = pairs.withColumn("_rn", F.row_number().over(salted)).filter(F.col("_rn") <= top_k).drop("_rn")
-        w = Window.partitionBy("l_text", "l_postcode").orderBy(*order)
-        pairs = pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
-
-    vocab = (
-        R.select("r_text")
-        .distinct()
-        .select(F.explode(tokens("r_text")).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    shared = pairs.select(
-        "l_text", "l_postcode", "r_text", F.explode(F.array_intersect(tokens("l_text"), tokens("r_text"))).alias("token")
+    # per distinct right text: sorted-token text, tokens and token weights 1/df
+    texts = R.select("r_text").distinct()
+    tok = texts.select("r_text", F.explode(tokens("r_text")).alias("token"))
+    vocab = tok.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    weights = (
+        tok.join(vocab, "token")
+        .groupBy("r_text")
+        .agg(F.map_from_entries(F.collect_list(F.struct("token", (F.lit(1.0) / F.col("df")).alias("w")))).alias("r_w"))
     )
-    y3 = (
-        shared.join(vocab, "token")
-        .groupBy("l_text", "l_postcode", "r_text")
-        .agg(F.sum(F.lit(1.0) / F.col("df")).alias("score_y3"))
-    )
-    scored = pairs.join(y3, ["l_text", "l_postcode", "r_text"], "left").withColumn(
-        "score_y3", _round(F.coalesce(F.col("score_y3"), F.lit(0.0)))
-    )
-    best = Window.partitionBy("l_text", "l_postcode").orderBy(
-        F.col("score_y3").desc(), F.col("score_y1").desc(), F.col("r_text").asc()
-    )
-    return (
-        scored.withColumn("_rn", F.row_number().over(best))
-        .filter("_rn = 1")
-        .select("l_text", "l_postcode", F.col("r_text").alias("matched_text"), "score_y1", "score_y3")
+    # Hot blocks (more than hot_rows right rows) are salted: their left rows
+    # spread over hot_salts tasks and their right rows are replicated per salt.
+    salts = F.when(F.col("n_block") > hot_rows, F.lit(hot_salts)).otherwise(F.lit(1))
+    blocks = (
+        block_rows.select("lvl", "bkey", "r_text")
+        .distinct()
+        .join(sizes, ["lvl", "bkey"])
+        .join(weights, "r_text", "left")
+        .withColumns({"r_sorted": token_sort_text("r_text"), "r_tokens": tokens("r_text")})
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("n_block")
     )
+    L = L.withColumn("salt", F.pmod(F.xxhash64("l_text", "l_postcode"), salts))
+
+    keys = ["lvl", "bkey", "salt", "l_text", "l_postcode"]
+    shared = F.array_intersect(F.col("l_tokens"), F.col("r_tokens"))
+    y3 = F.aggregate(shared, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(F.col("r_w"), t), F.lit(0.0)))
+    y1 = _round(wratio("l_text", "r_text", "l_sorted", "r_sorted"))
+
+    # The left side is small in bytes but expands ~block-size fold in the
+    # join, so AQE would coalesce it into very few tasks; an explicit
+    # repartition on the block key fixes the pair stage's parallelism.
+    spark = left.sparkSession
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+    def pairs_of(left_part):
+        # after the join everything is keyed by (join keys + left row): the
+        # windows and aggregates below reuse the join partitioning, no shuffle
+        left_part = left_part.repartition(n_parts, "lvl", "bkey", "salt")
+        return left_part.join(blocks, ["lvl", "bkey", "salt"]).withColumn("score_y3", _round(y3))
+
+    whole = Window.partitionBy(*keys)
+    winners = []
+    if top_k is None:
+        small_left, big_left = L, None
+    else:
+        small_left = L.filter(F.col("n_block") <= top_k)
+        big_left = L.filter(F.col("n_block") > top_k)
+    # no candidate can be cut: y1 is only needed to break ties at the top y3
+    small = pairs_of(small_left)
+    small = small.withColumn("_m", F.max("score_y3").over(whole)).filter(F.col("score_y3") == F.col("_m"))
+    winners.append(small.withColumn("score_y1", y1))
+    if big_left is not None:
+        big = pairs_of(big_left).withColumn("score_y1", y1)
+        rank = Window.partitionBy(*keys).orderBy(F.col("score_y1").desc(), F.col("r_text").asc())
+        winners.append(big.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= top_k))
+
+    # winner: highest y3, then y1, then lowest text (min_by per left row)
+    ordering = F.struct((-F.col("score_y3")).alias("a"), (-F.col("score_y1")).alias("b"), F.col("r_text").alias("c"))
+    out = None
+    for part in winners:
+        best = part.groupBy(*keys).agg(F.min_by(F.struct("r_text", "score_y1", "score_y3"), ordering).alias("w"))
+        best = best.select(
+            "l_text",
+            "l_postcode",
+            F.col("w.r_text").alias("matched_text"),
+            F.col("w.score_y1").alias("score_y1"),
+            F.col("w.score_y3").alias("score_y3"),
+        )
+        out = best if out is None else out.unionByName(best)
+    return out
