@@ -36,10 +36,12 @@ def title_case(c) -> Column:
     the rest lower case; a letter after any non-letter starts a new run
     (``o'b`` -> ``O'B``, ``1st`` -> ``1St``)."""
     runs = F.regexp_extract_all(F.lower(_c(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
-    return F.array_join(
-        F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1 << 30))),
-        "",
-    )
+    def cap(x):
+        first, rest = F.substring(x, 1, 1), F.substring(x, 2, 1 << 30)
+        # a word-initial sharp s titles to "Ss" (no single-letter title case)
+        return F.when(first == "ß", F.concat(F.lit("Ss"), rest)).otherwise(F.concat(F.upper(first), rest))
+
+    return F.array_join(F.transform(runs, cap), "")
 
 
 def upper_postcodes(c) -> Column:
@@ -64,10 +66,11 @@ def format_address(c) -> Column:
 def pascal_case(c) -> Column:
     """Capitalise each whitespace-separated word (rest lower case) and join."""
     words = F.split(trim_ws(c), r"[ \t\n\x0B\f\r]+")
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30)))),
-        "",
-    )
+    def cap(w):
+        first, rest = F.substring(w, 1, 1), F.lower(F.substring(w, 2, 1 << 30))
+        return F.when(first == "ß", F.concat(F.lit("Ss"), rest)).otherwise(F.concat(F.upper(first), rest))
+
+    return F.array_join(F.transform(words, cap), "")
 
 
 def keep_alnum_space(c) -> Column:

@@ -59,3 +59,157 @@ def profiling_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def energy_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5 (flagship): profiling mart + recomputed heating cost and score."""
     return chain.profiling_sap_mart(spark, sf_dir)
+
+
+# --------------------------------------------------------------------- marts
+from .functions import text as X  # noqa: E402
+from .operators import match as M  # noqa: E402
+from .operators import quality as QC  # noqa: E402
+from .plans import enrich as EN  # noqa: E402
+from .plans import marts  # noqa: E402
+from .functions.geo import with_lat_lon  # noqa: E402
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+@register
+def shared_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: is this line's part shared by another line (whole lineitem)."""
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return dedup.shared_value_flag(li, "l_partkey", "shared")
+
+
+@register
+def base_plus_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: DPA addresses with lat/lon, shared-TOID flag, target districts."""
+    return marts.base_plus(chain.staged_addresses(spark, sf_dir))
+
+
+@register
+def grid_to_latlon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Z1 over every staged address."""
+    a = chain.staged_addresses(spark, sf_dir).select("uprn", "os_api_source", "x_coordinate", "y_coordinate")
+    a = with_lat_lon(a, "x_coordinate", "y_coordinate", "latitude", "longitude")
+    return a.withColumns({"latitude": F.round("latitude", 7), "longitude": F.round("longitude", 7)})
+
+
+@register
+def measures_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: certificate x recommendation x DPA."""
+    return marts.measures_base(
+        chain.enriched_certificates(spark, sf_dir), chain.staged_recommendations(spark, sf_dir), chain.staged_addresses(spark, sf_dir)
+    )
+
+
+@register
+def measures_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: cleansed, de-duplicated measures."""
+    return marts.measures_mart(measures_base(spark, sf_dir))
+
+
+def _keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = chain.staged_certificates(spark, sf_dir)
+    c = EN.in_districts(c.filter(F.col("uprn") == ""), "postcode")
+    return c.withColumn("address_postcode", X.match_text("address", "posttown", "postcode"))
+
+
+@register
+def fuzzy_block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best gazetteer address per key-less certificate (partial postcode
+    block, widened to the district below 10, top-500 by Y1, best by Y3)."""
+    os = EN.prepare_gazetteer(chain.staged_addresses(spark, sf_dir))
+    return M.block_match(_keyless(spark, sf_dir), os, left_text="address_postcode", left_postcode="postcode")
+
+
+@register
+def district_fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """District-blocked match without pre-pruning."""
+    os = EN.prepare_gazetteer(chain.staged_addresses(spark, sf_dir))
+    return M.block_match(
+        _keyless(spark, sf_dir), os, left_text="address_postcode", left_postcode="postcode", level="district", top_k=None
+    )
+
+
+@register
+def title_case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 over every document text."""
+    d = _read(spark, sf_dir, "documents")
+    return d.select("doc_id", X.title_case("text").alias("title"))
+
+
+@register
+def format_address_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 over every document text (postcode-shaped tokens upper-cased)."""
+    d = _read(spark, sf_dir, "documents")
+    return d.select("doc_id", X.format_address("text").alias("formatted"))
+
+
+@register
+def pascal_case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 over every document text."""
+    d = _read(spark, sf_dir, "documents")
+    return d.select("doc_id", X.pascal_case("text").alias("pascal"))
+
+
+@register
+def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q4, Q7, Q8 over staging and the address-base mart."""
+    c = chain.staged_certificates(spark, sf_dir)
+    r = chain.staged_recommendations(spark, sf_dir)
+    b = marts.base_plus(chain.staged_addresses(spark, sf_dir))
+    return QC.report(
+        [
+            QC.failures("accepted_values", "walls_env_eff", QC.accepted_values(c, "walls_env_eff", QC.WALLS_ENV_EFF_VALUES)),
+            QC.failures("accepted_values", "glazed_area", QC.accepted_values(c, "glazed_area", QC.GLAZED_AREA_VALUES)),
+            QC.failures("not_null", "lmk_key", QC.not_null(r, "lmk_key")),
+            QC.failures("relationship", "lmk_key", QC.relationship(r, c, "lmk_key", "lmk_key")),
+            QC.failures("not_null", "UDPRN", QC.not_null(b, "UDPRN")),
+            QC.failures("regex", "PostcodeLocator", QC.regex_match(b, "PostcodeLocator", QC.POSTCODE_OR_NA_REGEX)),
+            QC.failures("between", "Latitude", QC.between(b, "Latitude", -90, 90)),
+            QC.failures("between", "Longitude", QC.between(b, "Longitude", -180, 180)),
+            QC.all_null("all_null", b, "WardCode"),
+        ]
+    )
+
+
+@register
+def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text columns that changed per property between the profiling
+    release and the scored release."""
+    a = chain.profiling_mart(spark, sf_dir)
+    b = chain.profiling_sap_mart(spark, sf_dir)
+    text_cols = [f.name for f in a.schema.fields if f.dataType.simpleString() == "string"]
+    return QC.table_diff(a, b, "UPRN", text_cols)
+
+
+@register
+def table_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: the aggregate and window forms of latest-per-key agree."""
+    c = chain.staged_certificates(spark, sf_dir).filter(F.col("uprn") != "").select("uprn", "lmk_key", "lodgement_date")
+    return QC.frames_equal(
+        dedup.latest_per_key(c, "uprn", "lodgement_date", ["lmk_key"]),
+        dedup.latest_per_key_window(c, "uprn", "lodgement_date", ["lmk_key"]),
+    )
+
+
+@register
+def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 on events.event_type."""
+    return dedup.value_counts(_read(spark, sf_dir, "events"), "event_type")
+
+
+@register
+def null_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 per events column."""
+    e = _read(spark, sf_dir, "events")
+    return dedup.null_count(e, ["event_id", "ts", "user_id", "event_type", "value", "props"])
+
+
+@register
+def duplicated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: certificate keys landed more than once in the domestic feed."""
+    from .sources.derived import load_feed
+
+    return dedup.duplicated_key_count(load_feed(spark, sf_dir, "domestic_raw"), "`lmk-key`")

@@ -32,7 +32,7 @@ def trim_ws(x: str) -> str:
 def title(x: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|[^\\p{{L}}]+)', 0), "
-        f"lambda r: upper(r[1]) || r[2:]), '')"
+        f"lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' || r[2:] ELSE upper(r[1]) || r[2:] END), '')"
     )
 
 
@@ -50,7 +50,7 @@ def fmt_address(x: str) -> str:
 def pascal(x: str) -> str:
     return (
         f"array_to_string(list_transform(string_split_regex({trim_ws(x)}, '{WS}+'), "
-        f"lambda w: upper(w[1]) || lower(w[2:])), '')"
+        f"lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(w[2:])), '')"
     )
 
 

@@ -2,24 +2,168 @@
 
 from __future__ import annotations
 
-from .chain import enrich_ctes, profiling_ctes, sap_ctes, staging_ctes, with_ctes
+from brickwork.functions import geo
+from brickwork.operators import quality as QC
+from brickwork.plans import marts
+from brickwork.plans import profiling as prof
+from brickwork.plans.enrich import TARGET_DISTRICTS
+
+from . import fn
+from .chain import enrich_ctes, match_ctes, profiling_ctes, sap_ctes, staging_ctes, with_ctes
+from .fn import lit, q
+
+_DIST = ", ".join(lit(d) for d in TARGET_DISTRICTS)
+_ADDR_COLS = [
+    "uprn", "udprn", "address", "postcode", "x_coordinate", "y_coordinate", "topography_layer_toid", "parent_uprn",
+    "classification_code", "classification_code_description", "organisation_name", "post_town", "building_number",
+    "thoroughfare_name", "os_api_source",
+]
+
+
+def _base_plus_ctes() -> list[str]:
+    geo_sql = geo.duckdb_lat_lon_sql(
+        "SELECT * FROM stg_addresses WHERE os_api_source = 'DPA'", "x_coordinate", "y_coordinate", _ADDR_COLS, "LATITUDE", "LONGITUDE"
+    )
+    blanks = ", ".join(f"CAST(NULL AS DOUBLE) AS {q(marts.BASE_RENAME_2.get(c, c))}" for c in marts.BASE_BLANK)
+    return [
+        f"bp1 AS ({geo_sql})",
+        "bp2 AS (SELECT uprn AS UPRN, udprn AS UDPRN, topography_layer_toid AS TOID, "
+        "count(*) OVER (PARTITION BY topography_layer_toid) > 1 AS SharesTOID, address AS Address, postcode AS PostcodeLocator, "
+        "x_coordinate AS XCoordinate, y_coordinate AS YCoordinate, round(LATITUDE, 7) AS Latitude, round(LONGITUDE, 7) AS Longitude, "
+        f"parent_uprn AS ParentUPRN, {blanks}, classification_code AS Class, classification_code_description AS ClassDescription, "
+        "os_api_source AS OSAPISource FROM bp1)",
+        f"base_plus AS (SELECT * REPLACE ({fn.fmt_address('Address')} AS Address) FROM (SELECT DISTINCT * FROM bp2) "
+        f"WHERE {fn.outward('PostcodeLocator')} IN ({_DIST}))",
+    ]
+
+
+def _measures_ctes() -> list[str]:
+    zeros_a = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in marts._ZERO_A)
+    zeros_b = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in marts._ZERO_B)
+    base = (
+        "SELECT epc.uprn AS uprn, os.udprn AS udprn, '' AS AddressId, epc.address AS Address, "
+        "CAST(epc.current_energy_efficiency AS DECIMAL(38,10)) AS SAP, CAST(epc.environment_impact_current AS DECIMAL(38,10)) AS EI, "
+        f"{zeros_a}, rec.improvement_item AS ImprovementIndex, rec.improvement_summary_text AS Category, "
+        "rec.improvement_id AS MeasureGroupId, rec.improvement_id_text AS MeasureGroupName, rec.indicative_cost AS COST, "
+        f"rec.improvement_descr_text AS ImprovementDescrText, {zeros_b}, rec.improvement_id AS MeasureOutcomeId, "
+        "rec.improvement_id_text AS MeasureOutcomeName, epc.fuzzy_matched AS FuzzyMatched "
+        "FROM enriched epc LEFT JOIN stg_recommendations rec ON epc.lmk_key = rec.lmk_key "
+        "LEFT JOIN (SELECT uprn, udprn FROM stg_addresses WHERE os_api_source = 'DPA') os ON epc.uprn = os.uprn"
+    )
+    text = ["uprn", "udprn", "AddressId", "Address", "Category", "MeasureGroupName", "COST", "ImprovementDescrText", "MeasureOutcomeName"]
+    rep = ", ".join(f"{fn.strip_null(c)} AS {c}" for c in text)
+    return [
+        f"mb AS ({base})",
+        f"mm0 AS (SELECT * REPLACE ({rep}) FROM mb)",
+        "mm1 AS (SELECT DISTINCT * EXCLUDE (uprn, udprn), uprn AS UPRN, udprn AS UDPRN FROM mm0)",
+        f"mm AS (SELECT * REPLACE ({fn.fmt_address('Address')} AS Address) FROM mm1)",
+    ]
+
+
+_KEYLESS = (
+    "SELECT lower(concat_ws(', ', address, posttown, postcode)) AS l_text, postcode AS l_postcode FROM stg_certificates "
+    f"WHERE uprn = '' AND {fn.outward('postcode')} IN ({_DIST})"
+)
+_GAZ = "SELECT lower(address) AS r_text, postcode AS r_postcode FROM stg_addresses"
+
+
+def _table_diff_sql() -> str:
+    text_cols = [
+        c for c in prof.ORDER
+        if c not in prof.BLANK and c not in {
+            "UPRN", "EnvironmentalImpactRating", "tCO2", "HeatingCost(£/yr)", "SAPRating", "LodgementDate", "StoreysCount",
+            "FlatLevel", "OpenFireplacesCount", "Renewables", "WaterHeatingCost(£/yr)", "LightingCost(£/yr)", "TotalFloorArea",
+            "FuzzyMatched",
+        }
+    ] + ["WallInsulationThickness"]
+    text_cols = list(dict.fromkeys(text_cols))
+    parts = []
+    for c in text_cols:
+        parts.append(
+            f"SELECT coalesce(a.\"UPRN\", b.\"UPRN\") AS \"UPRN\", {lit(c)} AS \"column\", CAST(a.{q(c)} AS VARCHAR) AS old, "
+            f"CAST(b.{q(c)} AS VARCHAR) AS new, CASE WHEN a.\"UPRN\" IS NULL THEN 'added' WHEN b.\"UPRN\" IS NULL THEN 'removed' "
+            f"ELSE 'changed' END AS change FROM profiling a FULL JOIN sap b ON a.\"UPRN\" = b.\"UPRN\" "
+            f"WHERE a.\"UPRN\" IS NULL OR b.\"UPRN\" IS NULL OR a.{q(c)} IS DISTINCT FROM b.{q(c)}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _quality_sql() -> str:
+    walls = ", ".join(lit(v) for v in QC.WALLS_ENV_EFF_VALUES)
+    glazed = ", ".join(lit(v) for v in QC.GLAZED_AREA_VALUES)
+    rx = QC.POSTCODE_OR_NA_REGEX
+    checks = [
+        ("accepted_values", "walls_env_eff", f"stg_certificates WHERE walls_env_eff IS NOT NULL AND walls_env_eff NOT IN ({walls})"),
+        ("accepted_values", "glazed_area", f"stg_certificates WHERE glazed_area IS NOT NULL AND glazed_area NOT IN ({glazed})"),
+        ("not_null", "lmk_key", "stg_recommendations WHERE lmk_key IS NULL"),
+        (
+            "relationship",
+            "lmk_key",
+            "stg_recommendations r WHERE r.lmk_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_certificates c WHERE c.lmk_key = r.lmk_key)",
+        ),
+        ("not_null", "UDPRN", "base_plus WHERE UDPRN IS NULL"),
+        ("regex", "PostcodeLocator", f"base_plus WHERE NOT regexp_matches(PostcodeLocator, {lit(rx)})"),
+        ("between", "Latitude", "base_plus WHERE NOT (Latitude BETWEEN -90 AND 90)"),
+        ("between", "Longitude", "base_plus WHERE NOT (Longitude BETWEEN -180 AND 180)"),
+    ]
+    parts = [f"SELECT {lit(a)} AS \"check\", {lit(b)} AS \"column\", count(*) AS failures FROM {w}" for a, b, w in checks]
+    parts.append("SELECT 'all_null' AS \"check\", 'WardCode' AS \"column\", count(WardCode) AS failures FROM base_plus")
+    return " UNION ALL ".join(parts)
 
 
 def build() -> dict[str, str]:
     st = staging_ctes()
     en = st + enrich_ctes()
     pr = en + profiling_ctes()
-    out = {
+    latest_rn = (
+        "la AS (SELECT uprn, lmk_key, lodgement_date FROM (SELECT uprn, lmk_key, lodgement_date, row_number() OVER ("
+        "PARTITION BY uprn ORDER BY lodgement_date DESC NULLS LAST, lmk_key ASC) AS rn FROM stg_certificates "
+        "WHERE uprn IS NOT NULL AND uprn <> '') WHERE rn = 1)"
+    )
+    latest_grp = (
+        "lb AS (SELECT c.uprn, min(c.lmk_key) AS lmk_key, c.lodgement_date FROM stg_certificates c JOIN "
+        "(SELECT uprn, max(lodgement_date) AS md FROM stg_certificates WHERE uprn <> '' GROUP BY uprn) m "
+        "ON c.uprn = m.uprn AND c.lodgement_date IS NOT DISTINCT FROM m.md GROUP BY c.uprn, c.lodgement_date)"
+    )
+    geo_all = geo.duckdb_lat_lon_sql(
+        "SELECT uprn, os_api_source, x_coordinate, y_coordinate FROM stg_addresses",
+        "x_coordinate", "y_coordinate", ["uprn", "os_api_source", "x_coordinate", "y_coordinate"], "latitude", "longitude",
+    )
+    events_cols = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    return {
         "stage_union": with_ctes(st, "SELECT * FROM stg_certificates"),
         "address_feed_filter": with_ctes(st, "SELECT * FROM stg_addresses"),
-        "latest_per_key": with_ctes(
-            st,
-            "SELECT uprn, lmk_key, lodgement_date FROM (SELECT uprn, lmk_key, lodgement_date, row_number() OVER ("
-            "PARTITION BY uprn ORDER BY lodgement_date DESC NULLS LAST, lmk_key ASC) AS rn FROM stg_certificates "
-            "WHERE uprn IS NOT NULL AND uprn <> '') WHERE rn = 1",
-        ),
+        "latest_per_key": with_ctes(st + [latest_rn], "SELECT * FROM la"),
         "certificate_enrichment": with_ctes(en, "SELECT * FROM enriched"),
         "profiling_mart": with_ctes(pr, "SELECT * FROM profiling"),
         "energy_score": with_ctes(pr + sap_ctes(), "SELECT * FROM sap"),
+        "shared_flag": "SELECT l_orderkey, l_linenumber, l_partkey, count(*) OVER (PARTITION BY l_partkey) > 1 AS shared FROM lineitem",
+        "base_plus_mart": with_ctes(st + _base_plus_ctes(), "SELECT * FROM base_plus"),
+        "grid_to_latlon": with_ctes(
+            st, f"SELECT uprn, os_api_source, x_coordinate, y_coordinate, round(latitude, 7) AS latitude, round(longitude, 7) AS longitude FROM ({geo_all})"
+        ),
+        "measures_base": with_ctes(en + _measures_ctes(), "SELECT * FROM mb"),
+        "measures_mart": with_ctes(en + _measures_ctes(), "SELECT * FROM mm"),
+        "fuzzy_block_match": with_ctes(st + match_ctes("j6", _KEYLESS, _GAZ), "SELECT * FROM j6_best"),
+        "district_fuzzy_match": with_ctes(
+            st + match_ctes("j7", _KEYLESS, _GAZ, top_k=None, level="district"), "SELECT * FROM j7_best"
+        ),
+        "title_case_documents": f"SELECT doc_id, {fn.title('text')} AS title FROM documents",
+        "format_address_documents": f"SELECT doc_id, {fn.fmt_address('text')} AS formatted FROM documents",
+        "pascal_case_documents": f"SELECT doc_id, {fn.pascal('text')} AS pascal FROM documents",
+        "quality_checks": with_ctes(st + _base_plus_ctes(), _quality_sql()),
+        "table_diff": with_ctes(pr + sap_ctes(), _table_diff_sql()),
+        "table_equal": with_ctes(
+            st + [latest_rn, latest_grp],
+            "SELECT (ol = 0 AND orr = 0) AS equal, ol AS only_left, orr AS only_right FROM (SELECT "
+            "(SELECT count(*) FROM (SELECT * FROM la EXCEPT ALL SELECT * FROM lb)) AS ol, "
+            "(SELECT count(*) FROM (SELECT * FROM lb EXCEPT ALL SELECT * FROM la)) AS orr)",
+        ),
+        "value_counts": "SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY event_type",
+        "null_count": "SELECT " + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in events_cols) + " FROM events",
+        "duplicated_keys": with_ctes(
+            st,
+            'SELECT CAST(count(*) - count(DISTINCT "lmk-key") - coalesce(max(CASE WHEN "lmk-key" IS NULL THEN 1 ELSE 0 END), 0) '
+            "AS BIGINT) AS duplicated FROM domestic_raw",
+        ),
     }
-    return out
