@@ -213,3 +213,17 @@ def duplicated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources.derived import load_feed
 
     return dedup.duplicated_key_count(load_feed(spark, sf_dir, "domestic_raw"), "`lmk-key`")
+
+
+@register
+def pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as JSON pages of at most 1000 records
+    (``{"rows": [...]}``), parsed with a declared schema and exploded."""
+    from .sources.pages import JSON_OPTIONS, explode_rows
+
+    e = _read(spark, sf_dir, "events")
+    record = e.schema
+    pages = e.groupBy(F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 1000).alias("page")).agg(
+        F.to_json(F.struct(F.collect_list(F.struct(*e.columns)).alias("rows")), JSON_OPTIONS).alias("page_json")
+    )
+    return explode_rows(pages, "page_json", record)

@@ -161,6 +161,7 @@ def build() -> dict[str, str]:
         ),
         "value_counts": "SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY event_type",
         "null_count": "SELECT " + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in events_cols) + " FROM events",
+        "pages_explode": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "duplicated_keys": with_ctes(
             st,
             'SELECT CAST(count(*) - count(DISTINCT "lmk-key") - coalesce(max(CASE WHEN "lmk-key" IS NULL THEN 1 ELSE 0 END), 0) '
