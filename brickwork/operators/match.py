@@ -27,10 +27,10 @@ Partitioning: the left rows are repartitioned on the block key before the
 pair join (AQE would otherwise coalesce the small left side into a few tasks
 although the join multiplies it by the block size); every later window and
 aggregate is keyed by (block key, salt, left row) and reuses that
-partitioning, so candidate pairs are never shuffled.  Skew: a block with more
-than ``hot_rows`` right rows is salted -- its left rows are spread over
-``hot_salts`` tasks and its right rows replicated per salt.  No cross join,
-no per-row Python.
+partitioning, so candidate pairs are never shuffled.  Skew: a block whose
+pair count (left rows x right rows) exceeds ``pairs_per_task`` is salted --
+its left rows are spread over up to ``max_salts`` tasks and its right rows
+replicated per salt.  No cross join, no per-row Python.
 """
 
 from __future__ import annotations
@@ -86,8 +86,8 @@ def block_match(
     top_k: int | None = 500,
     min_block: int = 10,
     level: str = "auto",
-    hot_rows: int = 50_000,
-    hot_salts: int = 32,
+    pairs_per_task: int = 50_000,
+    max_salts: int = 64,
 ) -> DataFrame:
     """Best right text per distinct ``(left_text, left_postcode)``.
 
@@ -136,19 +136,34 @@ def block_match(
         .groupBy("r_text")
         .agg(F.map_from_entries(F.collect_list(F.struct("token", (F.lit(1.0) / F.col("df")).alias("w")))).alias("r_w"))
     )
-    # Hot blocks (more than hot_rows right rows) are salted: their left rows
-    # spread over hot_salts tasks and their right rows are replicated per salt.
-    salts = F.when(F.col("n_block") > hot_rows, F.lit(hot_salts)).otherwise(F.lit(1))
+    # Work per block is (left rows x right rows).  Blocks whose pair count
+    # exceeds pairs_per_task are salted: their left rows are spread over up to
+    # max_salts tasks and their right rows replicated once per salt.  Only
+    # blocks some left row uses are kept.
+    left_counts = L.groupBy("lvl", "bkey").agg(F.count(F.lit(1)).alias("n_left"))
+    used = (
+        sizes.join(left_counts, ["lvl", "bkey"])
+        .withColumn(
+            "salts",
+            F.least(
+                F.lit(max_salts),
+                F.greatest(F.lit(1), F.ceil(F.col("n_left") * F.col("n_block") / F.lit(float(pairs_per_task)))),
+            ).cast("int"),
+        )
+        .select("lvl", "bkey", "salts")
+    )
     blocks = (
         block_rows.select("lvl", "bkey", "r_text")
         .distinct()
-        .join(sizes, ["lvl", "bkey"])
+        .join(used, ["lvl", "bkey"])
         .join(weights, "r_text", "left")
         .withColumns({"r_sorted": token_sort_text("r_text"), "r_tokens": tokens("r_text")})
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("n_block")
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        .drop("salts")
     )
-    L = L.withColumn("salt", F.pmod(F.xxhash64("l_text", "l_postcode"), salts))
+    L = L.join(used, ["lvl", "bkey"], "left").withColumn(
+        "salt", F.pmod(F.xxhash64("l_text", "l_postcode"), F.coalesce(F.col("salts"), F.lit(1)))
+    ).drop("salts")
 
     keys = ["lvl", "bkey", "salt", "l_text", "l_postcode"]
     shared = F.array_intersect(F.col("l_tokens"), F.col("r_tokens"))
@@ -165,7 +180,11 @@ def block_match(
         # after the join everything is keyed by (join keys + left row): the
         # windows and aggregates below reuse the join partitioning, no shuffle
         left_part = left_part.repartition(n_parts, "lvl", "bkey", "salt")
-        return left_part.join(blocks, ["lvl", "bkey", "salt"]).withColumn("score_y3", _round(y3))
+        # keep rows narrow before any sort: token arrays and weight maps are
+        # only needed for y3
+        return left_part.join(blocks, ["lvl", "bkey", "salt"]).select(
+            *keys, "l_sorted", "r_text", "r_sorted", _round(y3).alias("score_y3")
+        )
 
     whole = Window.partitionBy(*keys)
     winners = []
@@ -197,3 +216,113 @@ def block_match(
         )
         out = best if out is None else out.unionByName(best)
     return out
+
+
+# ---- unblocked best match with a score threshold (J8/J9) ----------------------
+
+
+def _gram_tokens(c):
+    """Bigram occurrences of ``c`` as distinct tokens ``gram + \\x01 + k``
+    (k-th occurrence), so set overlap of tokens equals multiset overlap of
+    bigrams."""
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, 2))
+    grams = F.when(F.length(c) >= 2, grams).otherwise(F.array().cast("array<string>"))
+    return F.transform(
+        grams,
+        lambda g, i: F.concat(g, F.lit("\x01"), F.size(F.filter(F.slice(grams, 1, i + 1), lambda y: y == g)).cast("string")),
+    )
+
+
+def _prefix_candidates(L: DataFrame, R: DataFrame, l_col: str, r_col: str, c: float, l_keep, r_keep) -> DataFrame:
+    """``(l_text, r_text, *l_keep, *r_keep)`` rows (one per shared prefix
+    token) for pairs whose ``l_col``/``r_col`` strings can have
+    ``ratio > 100 * (1 - c)``: prefix filtering on rarity-ordered bigrams.
+
+    q-gram lemma (q = 2): edit distance d shares >= L - 1 - 2d bigrams, and
+    ratio > 100(1 - c) means d < c * L, so the overlap exceeds
+    (1 - 2c) * len(s) - 1 for either string s.  With t_s the smallest integer
+    above that bound, prefixes of length n_s - t_s + 1 in one global order
+    must intersect.  Exact; strings under two characters pair by equality.
+    """
+    r_tok = R.select("r_text", F.explode(_gram_tokens(F.col(r_col))).alias("tok"))
+    df = r_tok.select("tok").groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+
+    def prefixes(side: DataFrame, text: str, col: str, keep) -> DataFrame:
+        toks = side.select(text, *keep, F.col(col).alias("_s"), F.explode(_gram_tokens(F.col(col))).alias("tok"))
+        toks = toks.join(df, "tok", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        n = F.length("_s") - 1
+        t = F.floor(F.lit(1 - 2 * c) * F.length("_s") - 1) + 1
+        w = Window.partitionBy(text).orderBy("df", "tok")
+        return toks.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n - t + 1).select(text, *keep, "tok")
+
+    cands = prefixes(L, "l_text", l_col, l_keep).join(prefixes(R, "r_text", r_col, r_keep), "tok").drop("tok")
+    short = L.filter(F.length(l_col) < 2).join(R, F.col(l_col) == F.col(r_col)).select("l_text", *l_keep, "r_text", *r_keep)
+    return cands.unionByName(short)
+
+
+def best_match(
+    left: DataFrame,
+    right: DataFrame,
+    *,
+    left_text: str = "text",
+    right_text: str = "text",
+    threshold: float = 80.0,
+    scorer: str = "wratio",
+) -> DataFrame:
+    """Best right text with score strictly above ``threshold`` per distinct
+    left text, over all right texts (no block).  ``scorer`` is ``wratio``
+    (max of ratio and 0.95 x token-sort ratio) or ``token_sort``.
+
+    Candidates come from an exact prefix-filter join, so no pair that can
+    pass the threshold is missed and no cross join is formed.  Thresholds
+    at or below 50 (ratio) admit pairs with no shared bigram and are
+    refused: they need every pair.
+    """
+    if threshold <= 50 or (scorer == "wratio" and threshold / 0.95 <= 50):
+        raise ValueError("threshold too low for an exact indexed search")
+    L = left.select(F.col(left_text).alias("l_text")).filter(F.col("l_text").isNotNull()).distinct()
+    R = right.select(F.col(right_text).alias("r_text")).filter(F.col("r_text").isNotNull()).distinct()
+    L = L.withColumn("l_sorted", token_sort_text("l_text"))
+    R = R.withColumn("r_sorted", token_sort_text("r_text"))
+    from ..functions.similarity import ratio
+
+    spark = left.sparkSession
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    c_raw, c_sorted = 1 - threshold / 100, 1 - threshold / 95
+    keep_l, keep_r = ["l_sorted"], ["r_sorted"]
+    if scorer == "wratio":
+        cands = _prefix_candidates(L, R, "l_text", "r_text", c_raw, keep_l, keep_r).unionByName(
+            _prefix_candidates(L, R, "l_sorted", "r_sorted", c_sorted, keep_l, keep_r)
+        )
+    elif scorer == "token_sort":
+        cands = _prefix_candidates(L, R, "l_sorted", "r_sorted", c_raw, keep_l, keep_r)
+    else:
+        raise ValueError(scorer)
+    # De-duplicate pairs (one row per shared prefix token) with an aggregate
+    # whose outputs feed the score: a filter on the score cannot then be
+    # pushed below the de-duplication onto the duplicated rows.  The pairs
+    # are small in bytes but costly per row, so they are spread explicitly
+    # (AQE would coalesce them into a few tasks); the per-left aggregate
+    # below reuses this partitioning.
+    pairs = (
+        cands.groupBy("l_text", "r_text")
+        .agg(F.first("l_sorted").alias("l_sorted"), F.first("r_sorted").alias("r_sorted"))
+        .repartition(n_parts, "l_text")
+    )
+
+    def length_ok(a, b, c):
+        # edit distance >= length difference; ratio > 100(1-c) needs distance
+        # < c * longer length
+        la, lb = F.length(a), F.length(b)
+        return F.abs(la - lb) < F.lit(c) * F.greatest(la, lb)
+
+    if scorer == "wratio":
+        pairs = pairs.filter(length_ok("l_text", "r_text", c_raw) | length_ok("l_sorted", "r_sorted", c_sorted))
+        score = wratio("l_text", "r_text", "l_sorted", "r_sorted")
+    else:
+        pairs = pairs.filter(length_ok("l_sorted", "r_sorted", c_raw))
+        score = ratio("l_sorted", "r_sorted")
+    scored = pairs.select("l_text", "r_text", _round(score).alias("score")).filter(F.col("score") > threshold)
+    ordering = F.struct((-F.col("score")).alias("a"), F.col("r_text").alias("b"))
+    best = scored.groupBy("l_text").agg(F.min_by(F.struct("r_text", "score"), ordering).alias("w"))
+    return best.select("l_text", F.col("w.r_text").alias("matched_text"), F.col("w.score").alias("score"))

@@ -227,3 +227,23 @@ def pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(F.collect_list(F.struct(*e.columns)).alias("rows")), JSON_OPTIONS).alias("page_json")
     )
     return explode_rows(pages, "page_json", record)
+
+
+def _unblocked_inputs(spark: SparkSession, sf_dir: str):
+    left = _keyless(spark, sf_dir).select(F.lower(F.concat_ws(" ", "address", "postcode")).alias("text"))
+    right = chain.staged_addresses(spark, sf_dir).select(F.concat_ws(" ", F.lower("address"), F.lower("postcode")).alias("text"))
+    return left, right
+
+
+@register
+def best_match_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best gazetteer text over all addresses with weighted ratio > 80."""
+    left, right = _unblocked_inputs(spark, sf_dir)
+    return M.best_match(left, right, threshold=80.0, scorer="wratio")
+
+
+@register
+def token_sort_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best gazetteer text over all addresses with token-sort ratio > 80."""
+    left, right = _unblocked_inputs(spark, sf_dir)
+    return M.best_match(left, right, threshold=80.0, scorer="token_sort")

@@ -111,6 +111,22 @@ def _quality_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+_UNBLOCKED = [
+    "ul AS (SELECT DISTINCT lower(concat_ws(' ', address, postcode)) AS l_text FROM stg_certificates "
+    f"WHERE uprn = '' AND {fn.outward('postcode')} IN ({_DIST}))",
+    "ur AS (SELECT DISTINCT concat_ws(' ', lower(address), lower(postcode)) AS r_text FROM stg_addresses)",
+]
+
+
+def _brute_best(score_sql: str, threshold: float) -> str:
+    """Brute force over every pair (oracle only)."""
+    return (
+        f"SELECT l_text, r_text AS matched_text, score FROM (SELECT l_text, r_text, score, row_number() OVER ("
+        f"PARTITION BY l_text ORDER BY score DESC, r_text ASC) AS rn FROM (SELECT l_text, r_text, round({score_sql}, 9) AS score "
+        f"FROM ul CROSS JOIN ur) WHERE score > {threshold}) WHERE rn = 1"
+    )
+
+
 def build() -> dict[str, str]:
     st = staging_ctes()
     en = st + enrich_ctes()
@@ -161,6 +177,10 @@ def build() -> dict[str, str]:
         ),
         "value_counts": "SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY event_type",
         "null_count": "SELECT " + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in events_cols) + " FROM events",
+        "best_match_threshold": with_ctes(
+            st + _UNBLOCKED, _brute_best(fn.wratio("l_text", "r_text", fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)
+        ),
+        "token_sort_match": with_ctes(st + _UNBLOCKED, _brute_best(fn.ratio(fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)),
         "pages_explode": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "duplicated_keys": with_ctes(
             st,

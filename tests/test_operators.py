@@ -93,7 +93,7 @@ def test_block_match_salted_equals_unsalted(spark):
     right = spark.createDataFrame([(f"{i} gate lane, hull, hu2 1ab", "HU2 1AB") for i in range(1, 80)], "address string, postcode string")
     left = spark.createDataFrame([(f"{i} gate laen, hull, hu2 1ab", "HU2 1AB") for i in range(1, 40)], "text string, postcode string")
     a = match.block_match(left, right, top_k=5)
-    b = match.block_match(left, right, top_k=5, hot_rows=10, hot_salts=4)
+    b = match.block_match(left, right, top_k=5, pairs_per_task=50, max_salts=4)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
