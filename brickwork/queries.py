@@ -247,3 +247,43 @@ def token_sort_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best gazetteer text over all addresses with token-sort ratio > 80."""
     left, right = _unblocked_inputs(spark, sf_dir)
     return M.best_match(left, right, threshold=80.0, scorer="token_sort")
+
+
+@register
+def recommendation_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: every recommendation segment in one read, API column names,
+    whole-row distinct (U4, A1; the sort is left to the sink)."""
+    from .sources.pages import RECOMMENDATION_SCHEMA
+
+    r = chain.staged_recommendations(spark, sf_dir)
+    names = [f.name for f in RECOMMENDATION_SCHEMA.fields]
+    return r.toDF(*names).dropDuplicates()
+
+
+@register
+def handoff_base_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hand-off cleanup of the address-base mart: key to integer text
+    (X34), comma parts title-cased except the postcode (X32), headers
+    title-cased without underscores (P18)."""
+    from .operators.columns import normalise_headers
+
+    b = marts.base_plus(chain.staged_addresses(spark, sf_dir))
+    b = b.filter(F.col("UPRN").isNotNull()).withColumns(
+        {"UPRN": X.numeric_key_text("UPRN"), "Address": X.title_case_address_parts("Address", case_sensitive=False)}
+    )
+    return normalise_headers(b)
+
+
+@register
+def segment_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page accounting over a landing table -- events landed per event
+    type in pages of 1000 offsets; per segment the page count, rows, last
+    offset, whether an offset page is missing and whether it reached the
+    warning size."""
+    from .sources.pages import page_audit
+
+    e = _read(spark, sf_dir, "events")
+    landed = e.groupBy("event_type", (F.floor(F.col("event_id") / 1000) * 1000).alias("offset")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    return page_audit(landed, ["event_type"], "offset", "rows")

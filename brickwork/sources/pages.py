@@ -89,10 +89,11 @@ def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if RECOMMENDATION_FILE not in z.namelist():
                     continue  # a segment without the file means "no data"
                 with z.open(RECOMMENDATION_FILE) as f:
-                    for chunk in pd.read_csv(f, dtype=str, keep_default_na=False, chunksize=50_000):
+                    # pandas' default missing-value markers, as the extract used
+                    for chunk in pd.read_csv(f, dtype=str, chunksize=50_000):
                         out = chunk.reindex(columns=cols)
                         for c in ("IMPROVEMENT_ITEM", "IMPROVEMENT_ID"):
-                            out[c] = pd.to_numeric(out[c].replace("", None), errors="coerce")
+                            out[c] = pd.to_numeric(out[c], errors="coerce")
                         out = out.astype(object).where(out.notna(), None)
                         yield out.assign(source_path=path)
 

@@ -127,6 +127,28 @@ def _brute_best(score_sql: str, threshold: float) -> str:
     )
 
 
+def _handoff_sql() -> str:
+    from brickwork.operators.columns import header_title_no_underscore
+
+    pc = r"[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}"
+    addr = (
+        "array_to_string(list_transform(string_split(Address, ', '), lambda p: "
+        f"CASE WHEN regexp_full_match(p, '(?i){pc}') THEN upper(p) ELSE {fn.title('p')} END), ', ')"
+    )
+    cols = list(marts.BASE_ORDER)
+    names = [marts.BASE_RENAME_2.get(c, c) for c in cols]
+    exprs = []
+    for n, h in zip(names, header_title_no_underscore(names)):
+        if n == "UPRN":
+            e = "CAST(CAST(CAST(UPRN AS DOUBLE) AS BIGINT) AS VARCHAR)"
+        elif n == "Address":
+            e = addr
+        else:
+            e = q(n)
+        exprs.append(f"{e} AS {q(h)}")
+    return f"SELECT {', '.join(exprs)} FROM base_plus WHERE UPRN IS NOT NULL"
+
+
 def build() -> dict[str, str]:
     st = staging_ctes()
     en = st + enrich_ctes()
@@ -181,6 +203,19 @@ def build() -> dict[str, str]:
             st + _UNBLOCKED, _brute_best(fn.wratio("l_text", "r_text", fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)
         ),
         "token_sort_match": with_ctes(st + _UNBLOCKED, _brute_best(fn.ratio(fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)),
+        "recommendation_consolidation": with_ctes(
+            st,
+            "SELECT DISTINCT lmk_key AS LMK_KEY, improvement_item AS IMPROVEMENT_ITEM, "
+            "improvement_summary_text AS IMPROVEMENT_SUMMARY_TEXT, improvement_descr_text AS IMPROVEMENT_DESCR_TEXT, "
+            "improvement_id AS IMPROVEMENT_ID, improvement_id_text AS IMPROVEMENT_ID_TEXT, indicative_cost AS INDICATIVE_COST "
+            "FROM stg_recommendations",
+        ),
+        "handoff_base_plus": with_ctes(st + _base_plus_ctes(), _handoff_sql()),
+        "segment_audit": (
+            "SELECT event_type, pages, rows, last_offset, last_offset <> (pages - 1) * 1000 AS gapped, rows >= 10000 AS capped "
+            "FROM (SELECT event_type, count(*) AS pages, sum(rows) AS rows, max(\"offset\") AS last_offset FROM ("
+            "SELECT event_type, (event_id // 1000) * 1000 AS \"offset\", count(*) AS rows FROM events GROUP BY ALL) GROUP BY event_type)"
+        ),
         "pages_explode": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "duplicated_keys": with_ctes(
             st,
