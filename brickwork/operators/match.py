@@ -176,6 +176,11 @@ def block_match(
     spark = left.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
 
+    # Both join sides get the same explicit partitioning: the join reuses it
+    # and AQE cannot coalesce the pair stage back into a few tasks (it would
+    # if one side came through an ordinary requirement exchange).
+    blocks = blocks.repartition(n_parts, "lvl", "bkey", "salt")
+
     def pairs_of(left_part):
         # after the join everything is keyed by (join keys + left row): the
         # windows and aggregates below reuse the join partitioning, no shuffle
