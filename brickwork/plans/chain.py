@@ -39,3 +39,37 @@ def profiling_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profiling_sap_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sap_scores(profiling_mart(spark, sf_dir))
+
+
+def build_marts(spark: SparkSession, sf_dir: str, out_dir: str, csv_exports: bool = False) -> dict[str, str]:
+    """Run the whole model DAG once and write every mart under ``out_dir``.
+
+    The enriched certificates feed two marts (profiling and measures), so
+    they are computed once and cut from their lineage with a reliable
+    checkpoint in the cluster's ``spark.checkpoint.dir`` (never a local
+    checkpoint); without a configured directory the lineage is kept, which is
+    still correct and recomputable after executor loss.
+    """
+    from .. import sinks
+    from ..session import cut_lineage
+    from . import marts
+
+    enriched = cut_lineage(enriched_certificates(spark, sf_dir))
+    addresses = staged_addresses(spark, sf_dir)
+    profiling = profile(enriched)
+    outputs = {
+        "mart_address_profiling": profiling,
+        "mart_address_profiling_with_sap": with_sap_scores(profiling),
+        "mart_address_base_plus": marts.base_plus(addresses),
+        "mart_reduced_co2_measures": marts.measures_mart(
+            marts.measures_base(enriched, staged_recommendations(spark, sf_dir), addresses)
+        ),
+    }
+    paths = {}
+    for name, df in outputs.items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        sinks.materialise(df, path)
+        if csv_exports:
+            sinks.export(spark.read.parquet(path), f"{out_dir.rstrip('/')}/exports", name)
+        paths[name] = path
+    return paths

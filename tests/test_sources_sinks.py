@@ -87,3 +87,19 @@ def test_incremental_stream_reads_each_page_once(spark):
     out = spark.read.parquet(target)
     assert out.count() == 15
     assert out.select(F.countDistinct("lmk-key")).first()[0] == 15
+
+
+def test_build_marts_writes_every_mart(spark):
+    from brickwork.plans import chain
+
+    out = tempfile.mkdtemp(prefix="bw-marts-")
+    paths = chain.build_marts(spark, "/root/testdata/sf0.001", out, csv_exports=True)
+    assert set(paths) == {
+        "mart_address_profiling",
+        "mart_address_profiling_with_sap",
+        "mart_address_base_plus",
+        "mart_reduced_co2_measures",
+    }
+    prof = spark.read.parquet(paths["mart_address_profiling"])
+    assert prof.count() == prof.select("UPRN").distinct().count() > 0
+    assert len(os.listdir(os.path.join(out, "exports"))) == 4
