@@ -58,10 +58,10 @@ def build_marts(spark: SparkSession, sf_dir: str, out_dir: str, csv_exports: boo
     addresses = staged_addresses(spark, sf_dir)
     profiling = profile(enriched)
     outputs = {
-        "mart_address_profiling": profiling,
-        "mart_address_profiling_with_sap": with_sap_scores(profiling),
-        "mart_address_base_plus": marts.base_plus(addresses),
-        "mart_reduced_co2_measures": marts.measures_mart(
+        "address_profiling": profiling,
+        "address_profiling_scored": with_sap_scores(profiling),
+        "address_base": marts.base_plus(addresses),
+        "improvement_measures": marts.measures_mart(
             marts.measures_base(enriched, staged_recommendations(spark, sf_dir), addresses)
         ),
     }

@@ -95,11 +95,11 @@ def test_build_marts_writes_every_mart(spark):
     out = tempfile.mkdtemp(prefix="bw-marts-")
     paths = chain.build_marts(spark, "/root/testdata/sf0.001", out, csv_exports=True)
     assert set(paths) == {
-        "mart_address_profiling",
-        "mart_address_profiling_with_sap",
-        "mart_address_base_plus",
-        "mart_reduced_co2_measures",
+        "address_profiling",
+        "address_profiling_scored",
+        "address_base",
+        "improvement_measures",
     }
-    prof = spark.read.parquet(paths["mart_address_profiling"])
+    prof = spark.read.parquet(paths["address_profiling"])
     assert prof.count() == prof.select("UPRN").distinct().count() > 0
     assert len(os.listdir(os.path.join(out, "exports"))) == 4
