@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .operators import dedup
 from .plans import chain
@@ -170,6 +171,11 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
             QC.failures("between", "Latitude", QC.between(b, "Latitude", -90, 90)),
             QC.failures("between", "Longitude", QC.between(b, "Longitude", -180, 180)),
             QC.all_null("all_null", b, "WardCode"),
+            QC.failures("unique", "UPRN", QC.unique(b, "UPRN")),
+            QC.column_type("column_type", b, "XCoordinate", [T.DoubleType]),
+            QC.column_type("column_type", b, "Latitude", [T.DoubleType]),
+            QC.column_type("column_type", b, "SharesTOID", [T.BooleanType]),
+            QC.column_type("column_type_in", b, "Address", [T.StringType, T.VarcharType, T.CharType]),
         ]
     )
 

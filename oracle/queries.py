@@ -108,6 +108,21 @@ def _quality_sql() -> str:
     ]
     parts = [f"SELECT {lit(a)} AS \"check\", {lit(b)} AS \"column\", count(*) AS failures FROM {w}" for a, b, w in checks]
     parts.append("SELECT 'all_null' AS \"check\", 'WardCode' AS \"column\", count(WardCode) AS failures FROM base_plus")
+    parts.append(
+        "SELECT 'unique' AS \"check\", 'UPRN' AS \"column\", count(*) AS failures FROM "
+        "(SELECT UPRN FROM base_plus GROUP BY UPRN HAVING count(*) > 1)"
+    )
+    for check, col, types in [
+        ("column_type", "XCoordinate", ["DOUBLE"]),
+        ("column_type", "Latitude", ["DOUBLE"]),
+        ("column_type", "SharesTOID", ["BOOLEAN"]),
+        ("column_type_in", "Address", ["VARCHAR"]),
+    ]:
+        allowed = ", ".join(lit(t) for t in types)
+        parts.append(
+            f"SELECT {lit(check)} AS \"check\", {lit(col)} AS \"column\", "
+            f"CAST(count(*) FILTER (WHERE typeof({q(col)}) NOT IN ({allowed})) > 0 AS BIGINT) AS failures FROM base_plus"
+        )
     return " UNION ALL ".join(parts)
 
 
