@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat
+from brickwork.llm import chat, lines
 from brickwork.llm.common import read
 
 
@@ -29,7 +29,16 @@ def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-REGISTRY = {"op1_chat_trees": op1_chat_trees}
+def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that later documents repeat."""
+    clean = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+REGISTRY = {
+    "op1_chat_trees": op1_chat_trees,
+    "op9_line_runs": op9_line_runs,
+}
 
 ORACLE_SQL = {
     "op1_chat_trees": r"""
@@ -48,5 +57,23 @@ SELECT conv_id,
     sum(length('<|im_start|>' || url_encode(role) || chr(10) || '<|im_end|>' || chr(10))
         + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
 FROM lost GROUP BY conv_id
+""",
+    "op9_line_runs": """
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+    SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT doc_id, pos, line, coalesce(doc_id < keeper, false) AS gone FROM keyed LEFT JOIN repeated USING (key)
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
 """,
 }
