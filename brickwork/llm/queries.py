@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, lines
+from brickwork.llm import chat, lines, packing
 from brickwork.llm.common import read
 
 
@@ -29,6 +30,12 @@ def op1_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 64 to 1024 tokens."""
+    pieces = packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step", "step_at")
+
+
 def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that later documents repeat."""
     clean = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -37,6 +44,7 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
+    "op2_tier_packing": op2_tier_packing,
     "op9_line_runs": op9_line_runs,
 }
 
