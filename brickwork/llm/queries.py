@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, lines, packing
+from brickwork.llm import chat, lines, packing, rans
 from brickwork.llm.common import read
 
 
@@ -36,6 +36,11 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step", "step_at")
 
 
+def op8_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of all documents, written in coded blocks and read back."""
+    return rans.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2).read_documents()
+
+
 def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that later documents repeat."""
     clean = lines.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -45,6 +50,7 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
+    "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
 }
 
