@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, lines, packing, rans
+from brickwork.llm import chat, langid, lines, packing, rans
 from brickwork.llm.common import read
 
 
@@ -36,6 +36,13 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step", "step_at")
 
 
+def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = read(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
+    return found.select("doc_id", F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of all documents, written in coded blocks and read back."""
     return rans.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2).read_documents()
@@ -50,6 +57,7 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
+    "op5_rank_order": op5_rank_order,
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
 }
