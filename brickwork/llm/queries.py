@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, langid, lines, packing, rans
+from brickwork.llm import chat, jaccard, langid, lines, packing, rans
 from brickwork.llm.common import read
 
 
@@ -54,12 +54,18 @@ def op9_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by a 3-word shingle similarity of 0.9 or more."""
+    return jaccard.join_components(read(spark, sf_dir, "documents"), words=3, num=9, den=10)
+
+
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
     "op5_rank_order": op5_rank_order,
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
+    "op10_divide_skip": op10_divide_skip,
 }
 
 ORACLE_SQL = {
