@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, jaccard, langid, lines, packing, rans
+from brickwork.llm import chat, forest, jaccard, langid, lines, packing, rans
 from brickwork.llm.common import read
 
 
@@ -36,6 +36,11 @@ def op2_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step", "step_at")
 
 
+def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return forest.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = read(spark, sf_dir, "documents")
@@ -62,6 +67,7 @@ def op10_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
+    "op3_prefix_forest": op3_prefix_forest,
     "op5_rank_order": op5_rank_order,
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
