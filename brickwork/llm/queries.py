@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, lines, packing, rans
+from brickwork.llm import chat, forest, jaccard, langid, lines, packing, rans, segments
 from brickwork.llm.common import read
 
 
@@ -48,6 +48,11 @@ def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op7_segment_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every 100th vector."""
+    return segments.top_products(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op8_rans_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of all documents, written in coded blocks and read back."""
     return rans.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2).read_documents()
@@ -69,6 +74,7 @@ REGISTRY = {
     "op2_tier_packing": op2_tier_packing,
     "op3_prefix_forest": op3_prefix_forest,
     "op5_rank_order": op5_rank_order,
+    "op7_segment_bounds": op7_segment_bounds,
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
     "op10_divide_skip": op10_divide_skip,
@@ -109,5 +115,19 @@ WITH split AS (
 SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op7_segment_bounds": """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
 """,
 }
