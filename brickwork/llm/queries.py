@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, lines, packing, rans, segments
+from brickwork.llm import chat, forest, jaccard, langid, lines, nbest, packing, rans, segments
 from brickwork.llm.common import read
 
 
@@ -41,6 +41,12 @@ def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 4 best segmentations of all documents."""
+    found = nbest.nbest(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=4)
+    return found.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = read(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
     "op3_prefix_forest": op3_prefix_forest,
+    "op4_nbest_pieces": op4_nbest_pieces,
     "op5_rank_order": op5_rank_order,
     "op7_segment_bounds": op7_segment_bounds,
     "op8_rans_blocks": op8_rans_blocks,
