@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, lines, nbest, packing, rans, segments
+from brickwork.llm import chat, forest, jaccard, langid, licences, lines, nbest, oracle_licences, packing, rans, segments
 from brickwork.llm.common import read
 
 
@@ -54,6 +54,12 @@ def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op6_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of all documents."""
+    found = licences.recognise(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("identifiers", " ").alias("identifiers"), F.array_join("licences", "|").alias("licences"), "n_unknown")
+
+
 def op7_segment_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every 100th vector."""
     return segments.top_products(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
@@ -81,6 +87,7 @@ REGISTRY = {
     "op3_prefix_forest": op3_prefix_forest,
     "op4_nbest_pieces": op4_nbest_pieces,
     "op5_rank_order": op5_rank_order,
+    "op6_sentence_rules": op6_sentence_rules,
     "op7_segment_bounds": op7_segment_bounds,
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
@@ -123,6 +130,7 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """,
+    "op6_sentence_rules": oracle_licences.SQL,
     "op7_segment_bounds": """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
