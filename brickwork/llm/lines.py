@@ -79,7 +79,9 @@ def hashed_lines(docs: DataFrame, id: str, text: str, min_chars: int) -> DataFra
 
 
 def _by_batch(lines: DataFrame, batches: int) -> tuple[DataFrame, int]:
-    cuts = sorted(set(lines.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)))
+    shares = [i / batches for i in range(1, batches)]
+    cuts = lines.agg(F.percentile_approx("doc", shares, 1000)).first()[0] if shares else []
+    cuts = sorted(set(cuts or []))
     number = F.lit(0)
     for cut in cuts:
         number = number + F.when(F.col("doc") > cut, 0).otherwise(1)
