@@ -53,7 +53,7 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         grams = line * _MIX
         found = [grams[~blank]]
-        for n in range(2, ORDERS + 1):
+        for n in range(2, min(ORDERS, len(line)) + 1):
             grams = (grams[:-1] ^ (grams[:-1] >> np.uint64(29))) * _MIX + line[n - 1 :] * np.uint64(2 * n + 1)
             one_word = passed[n - 2 : len(line) - 1] == passed[: len(line) - n + 1] if n > 2 else ~(blank[:-1] & blank[1:])
             found.append(grams[one_word])
