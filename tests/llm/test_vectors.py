@@ -30,7 +30,7 @@ def exact(vectors, ids, query, k, scale=None):
 def test_forest_recall_and_scores(spark):
     vectors = clustered(3000) * np.random.default_rng(1).uniform(0.1, 8, (3000, 1)).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + odd_rows(24)
-    found = forest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 50 == 0, k=10, share=0.05, least=150).collect()
+    found = forest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 50 == 0, k=10, share=0.25, least=150).collect()
     by_query = {}
     for r in sorted(found, key=lambda r: r["rank"]):
         by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
