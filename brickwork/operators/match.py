@@ -1,36 +1,21 @@
-"""Blocked fuzzy address matching as a Spark join job.
+"""Fuzzy address matching as Spark join jobs.
 
-For every left row (address text + postcode) find the best address text in
-the right table, comparing only addresses in the same postcode block:
+Block match.  Every left row (address text + postcode) looks for the best address text in its postcode
+district.  The reference tests ``right_postcode.contains(district)``; for a well-formed postcode that is
+equality with one of a few keys of the right row, so the search is an equi-join.
 
-1. Block keys.  The reference tests ``right_postcode.contains(block)``.  For
-   well-formed postcodes that containment equals equality with one of a few
-   keys per right row, so the candidate search is an equi-join:
-   * partial level (``PO30 1L``): each suffix (length >= 2) of the outward
-     code + space + the first two inward characters;
-   * district level (``PO30``): each substring (length >= 2) of the outward
-     code (so ``HU2`` also finds ``HU20``, as containment does).
-2. Widening: a left row whose partial block holds fewer than ``min_block``
-   right rows (counted with duplicates) uses its district block instead.
-3. Candidates: distinct right texts per block, joined to the left rows of
-   that block.  Only left rows of blocks larger than ``top_k`` can lose
-   candidates: for them every pair is scored with ``wratio`` (Y1) and the
-   ``top_k`` best survive.
-4. Rarity overlap (Y3): sum over shared tokens of ``1 / df(token)`` where
-   ``df`` is the number of distinct right texts holding the token.  Token
-   weights are computed once per right text (a map column), so Y3 is an
-   in-row ``aggregate`` over ``array_intersect``.
-5. Winner per left row: highest Y3, then Y1, then text.  In blocks that
-   cannot be cut Y1 is only computed for pairs tied at the top Y3.
+The score (Y3) is the weight of the shared tokens as a share of the left row's whole weight; a token weighs
+``1 / df``, ``df`` being the number of distinct right texts that hold it (1 for a token that none holds).  Only
+texts with a shared token score above 0, so pairs come from a join on (district, token), never from all pairs of a
+district, and a row pays for its rare tokens only:
 
-Partitioning: the left rows are repartitioned on the block key before the
-pair join (AQE would otherwise coalesce the small left side into a few tasks
-although the join multiplies it by the block size); every later window and
-aggregate is keyed by (block key, salt, left row) and reuses that
-partitioning, so candidate pairs are never shuffled.  Skew: a block whose
-pair count (left rows x right rows) exceeds ``pairs_per_task`` is salted --
-its left rows are spread over up to ``max_salts`` tasks and its right rows
-replicated per salt.  No cross join, no per-row Python.
+1. its rarest token that the district knows brings the first candidates, and their best score is a floor;
+2. its tokens are then probed from rare to frequent for as long as the weight of those still to come, the
+   probed one included, can reach the floor.  A text first met after that scores less.
+
+The winner has the highest Y3, then Y1 (``weighted_ratio``, computed for ties at the top only), then the smallest text.  A left
+row that shares no token with its district is not matched.  The reference first narrows the search to part of
+the district and to its 500 best texts by Y1; those limits only save time there and are not reproduced.
 """
 
 from __future__ import annotations
@@ -38,26 +23,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import token_sort_text, tokens, wratio
-from ..functions.text import outward_code, partial_postcode
-
-
-def partial_block_keys(postcode) -> F.Column:
-    pc = F.col(postcode) if isinstance(postcode, str) else postcode
-    out = outward_code(pc)
-    inward2 = F.substring(F.get(F.split(pc, " "), 1), 1, 2)
-    n = F.length(out)
-    # suffixes of the outward code of length >= 2
-    starts = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-    return F.when(F.get(F.split(pc, " "), 1).isNull(), F.array().cast("array<string>")).otherwise(
-        F.filter(
-            F.transform(starts, lambda s: F.concat(F.substring(out, s, 1 << 20), F.lit(" "), inward2)),
-            lambda k: F.length(F.substring_index(k, " ", 1)) >= 2,
-        )
-    )
+from ..functions.similarity import token_sort_text, tokens, weighted_ratio, wratio
+from ..functions.text import outward_code
+from ..session import cut_lineage
 
 
 def district_block_keys(postcode) -> F.Column:
+    """Every substring (length >= 2) of the outward code: ``HU2`` also finds ``HU20``, as containment does."""
     pc = F.col(postcode) if isinstance(postcode, str) else postcode
     out = outward_code(pc)
     n = F.length(out)
@@ -83,144 +55,45 @@ def block_match(
     left_postcode: str = "postcode",
     right_text: str = "address",
     right_postcode: str = "postcode",
-    top_k: int | None = 500,
-    min_block: int = 10,
-    level: str = "auto",
-    pairs_per_task: int = 50_000,
-    max_salts: int = 64,
 ) -> DataFrame:
-    """Best right text per distinct ``(left_text, left_postcode)``.
-
-    Returns ``(l_text, l_postcode, matched_text, score_y1, score_y3)``; left
-    pairs with no candidate in their block are absent.
-    ``level`` is ``auto`` (partial, widened below ``min_block``) or
-    ``district``; ``top_k=None`` keeps every candidate.
-    """
+    """Best right text per distinct ``(left_text, left_postcode)``:
+    ``(l_text, l_postcode, matched_text, score_y1, score_y3)``."""
+    key = ["l_text", "l_postcode"]
     L = (
         left.select(F.col(left_text).alias("l_text"), F.col(left_postcode).alias("l_postcode"))
         .filter(F.col("l_text").isNotNull() & F.col("l_postcode").isNotNull())
         .distinct()
+        .withColumn("bkey", outward_code("l_postcode"))
     )
-    R = right.select(F.col(right_text).alias("r_text"), F.col(right_postcode).alias("r_postcode")).filter(
-        F.col("r_text").isNotNull() & F.col("r_postcode").isNotNull()
-    )
-
-    # block rows (one per right row and key, duplicates kept for counting)
-    district_rows = R.select(F.lit("d").alias("lvl"), F.explode(district_block_keys("r_postcode")).alias("bkey"), "r_text")
-    if level == "district":
-        block_rows = district_rows
-    else:
-        partial_rows = R.select(F.lit("p").alias("lvl"), F.explode(partial_block_keys("r_postcode")).alias("bkey"), "r_text")
-        block_rows = partial_rows.unionByName(district_rows)
-    sizes = block_rows.groupBy("lvl", "bkey").agg(F.count(F.lit(1)).alias("n_block"))
-
-    if level == "district":
-        L = L.withColumns({"lvl": F.lit("d"), "bkey": outward_code("l_postcode")})
-    else:
-        L = L.withColumns({"lvl": F.lit("p"), "bkey": partial_postcode("l_postcode")})
-        L = L.join(sizes, ["lvl", "bkey"], "left")
-        wide = F.coalesce(F.col("n_block"), F.lit(0)) < min_block
-        L = L.withColumns(
-            {"lvl": F.when(wide, F.lit("d")).otherwise(F.lit("p")), "bkey": F.when(wide, outward_code("l_postcode")).otherwise(F.col("bkey"))}
-        ).drop("n_block")
-    L = L.join(sizes, ["lvl", "bkey"], "left").withColumns(
-        {"l_sorted": token_sort_text("l_text"), "l_tokens": tokens("l_text")}
-    )
-
-    # per distinct right text: sorted-token text, tokens and token weights 1/df
-    texts = R.select("r_text").distinct()
-    tok = texts.select("r_text", F.explode(tokens("r_text")).alias("token"))
-    vocab = tok.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    weights = (
-        tok.join(vocab, "token")
-        .groupBy("r_text")
-        .agg(F.map_from_entries(F.collect_list(F.struct("token", (F.lit(1.0) / F.col("df")).alias("w")))).alias("r_w"))
-    )
-    # Work per block is (left rows x right rows).  Blocks whose pair count
-    # exceeds pairs_per_task are salted: their left rows are spread over up to
-    # max_salts tasks and their right rows replicated once per salt.  Only
-    # blocks some left row uses are kept.
-    left_counts = L.groupBy("lvl", "bkey").agg(F.count(F.lit(1)).alias("n_left"))
-    used = (
-        sizes.join(left_counts, ["lvl", "bkey"])
-        .withColumn(
-            "salts",
-            F.least(
-                F.lit(max_salts),
-                F.greatest(F.lit(1), F.ceil(F.col("n_left") * F.col("n_block") / F.lit(float(pairs_per_task)))),
-            ).cast("int"),
-        )
-        .select("lvl", "bkey", "salts")
-    )
-    blocks = (
-        block_rows.select("lvl", "bkey", "r_text")
-        .distinct()
-        .join(used, ["lvl", "bkey"])
-        .join(weights, "r_text", "left")
-        .withColumns({"r_sorted": token_sort_text("r_text"), "r_tokens": tokens("r_text")})
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .drop("salts")
-    )
-    L = L.join(used, ["lvl", "bkey"], "left").withColumn(
-        "salt", F.pmod(F.xxhash64("l_text", "l_postcode"), F.coalesce(F.col("salts"), F.lit(1)))
-    ).drop("salts")
-
-    keys = ["lvl", "bkey", "salt", "l_text", "l_postcode"]
-    shared = F.array_intersect(F.col("l_tokens"), F.col("r_tokens"))
-    y3 = F.aggregate(shared, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(F.col("r_w"), t), F.lit(0.0)))
-    y1 = _round(wratio("l_text", "r_text", "l_sorted", "r_sorted"))
-
-    # The left side is small in bytes but expands ~block-size fold in the
-    # join, so AQE would coalesce it into very few tasks; an explicit
-    # repartition on the block key fixes the pair stage's parallelism.
-    spark = left.sparkSession
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-
-    # Both join sides get the same explicit partitioning: the join reuses it
-    # and AQE cannot coalesce the pair stage back into a few tasks (it would
-    # if one side came through an ordinary requirement exchange).
-    blocks = blocks.repartition(n_parts, "lvl", "bkey", "salt")
-
-    def pairs_of(left_part):
-        # after the join everything is keyed by (join keys + left row): the
-        # windows and aggregates below reuse the join partitioning, no shuffle
-        left_part = left_part.repartition(n_parts, "lvl", "bkey", "salt")
-        # keep rows narrow before any sort: token arrays and weight maps are
-        # only needed for y3
-        return left_part.join(blocks, ["lvl", "bkey", "salt"]).select(
-            *keys, "l_sorted", "r_text", "r_sorted", _round(y3).alias("score_y3")
-        )
-
-    whole = Window.partitionBy(*keys)
-    winners = []
-    if top_k is None:
-        small_left, big_left = L, None
-    else:
-        small_left = L.filter(F.col("n_block") <= top_k)
-        big_left = L.filter(F.col("n_block") > top_k)
-    # no candidate can be cut: y1 is only needed to break ties at the top y3
-    small = pairs_of(small_left)
-    small = small.withColumn("_m", F.max("score_y3").over(whole)).filter(F.col("score_y3") == F.col("_m"))
-    winners.append(small.withColumn("score_y1", y1))
-    if big_left is not None:
-        big = pairs_of(big_left).withColumn("score_y1", y1)
-        rank = Window.partitionBy(*keys).orderBy(F.col("score_y1").desc(), F.col("r_text").asc())
-        winners.append(big.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= top_k))
-
-    # winner: highest y3, then y1, then lowest text (min_by per left row)
-    ordering = F.struct((-F.col("score_y3")).alias("a"), (-F.col("score_y1")).alias("b"), F.col("r_text").alias("c"))
-    out = None
-    for part in winners:
-        best = part.groupBy(*keys).agg(F.min_by(F.struct("r_text", "score_y1", "score_y3"), ordering).alias("w"))
-        best = best.select(
-            "l_text",
-            "l_postcode",
-            F.col("w.r_text").alias("matched_text"),
-            F.col("w.score_y1").alias("score_y1"),
-            F.col("w.score_y3").alias("score_y3"),
-        )
-        out = best if out is None else out.unionByName(best)
-    return out
+    R = right.select(F.col(right_text).alias("r_text"), F.explode(district_block_keys(right_postcode)).alias("bkey"))
+    R = R.filter(F.col("r_text").isNotNull()).distinct()
+    postings = cut_lineage(R.select("bkey", "r_text", F.explode(tokens("r_text")).alias("token")))
+    df = postings.select("r_text", "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    known = postings.select("bkey", "token").distinct().withColumn("known", F.lit(True))
+
+    # left tokens, rarest first, each with the weight that it and those after it can still add
+    w = Window.partitionBy(*key).orderBy(F.desc("w"), "token")
+    rest = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    asked = L.select(*key, "bkey", F.explode(tokens("l_text")).alias("token")).join(df, "token", "left")
+    asked = asked.withColumn("w", F.lit(1.0) / F.coalesce("df", F.lit(1))).join(known, ["bkey", "token"], "left")
+    asked = asked.withColumns({"rest": F.sum(F.when(F.col("known"), F.col("w")).otherwise(0.0)).over(rest), "total": F.sum("w").over(Window.partitionBy(*key))})
+    asked = cut_lineage(asked.filter("known").withColumn("place", F.row_number().over(w)).drop("df", "known"))
+    weights = asked.groupBy(*key, "bkey").agg(F.map_from_entries(F.collect_list(F.struct("token", "w"))).alias("l_w"), F.first("total").alias("total"))
+
+    def scored(probes: DataFrame) -> DataFrame:
+        pairs = probes.join(postings, ["bkey", "token"]).select(*key, "bkey", "r_text").distinct()
+        shared = F.aggregate(tokens("r_text"), F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at("l_w", t), F.lit(0.0)))
+        return pairs.join(weights, [*key, "bkey"]).withColumn("weight", shared)
+
+    probes = asked.select(*key, "bkey", "token", "rest", "place")
+    floor = scored(probes.filter("place = 1")).groupBy(*key, "bkey").agg(F.max("weight").alias("floor"))
+    wanted = probes.join(floor, [*key, "bkey"]).filter(F.col("rest") >= F.col("floor") - 1e-9)
+    pairs = scored(wanted).withColumn("score_y3", _round(F.col("weight") / F.col("total")))
+    top = pairs.withColumn("_m", F.max("score_y3").over(Window.partitionBy(*key))).filter(F.col("score_y3") == F.col("_m"))
+    y1 = _round(weighted_ratio("l_text", "r_text"))
+    ordering = F.struct((-F.col("score_y1")).alias("a"), F.col("r_text").alias("b"))
+    best = top.withColumn("score_y1", y1).groupBy(*key).agg(F.min_by(F.struct("r_text", "score_y1", "score_y3"), ordering).alias("w"))
+    return best.select(*key, F.col("w.r_text").alias("matched_text"), F.col("w.score_y1").alias("score_y1"), F.col("w.score_y3").alias("score_y3"))
 
 
 # ---- unblocked best match with a score threshold (J8/J9) ----------------------

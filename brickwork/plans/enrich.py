@@ -68,7 +68,7 @@ def keyed_fallback(ok: DataFrame, os: DataFrame) -> DataFrame:
     )
 
 
-def fuzzy_fill(na: DataFrame, os: DataFrame, top_k: int = 500, min_block: int = 10, level: str = "auto") -> DataFrame:
+def fuzzy_fill(na: DataFrame, os: DataFrame) -> DataFrame:
     """Match key-less certificates and join the winner back on its address
     text (J5/J6): every gazetteer row with that text is returned (fan-out
     kept); an unmatched certificate stays, unmatched (no NULL = NULL)."""
@@ -80,9 +80,6 @@ def fuzzy_fill(na: DataFrame, os: DataFrame, top_k: int = 500, min_block: int =
         left_postcode="postcode",
         right_text="address",
         right_postcode="postcode",
-        top_k=top_k,
-        min_block=min_block,
-        level=level,
     )
     na = na.join(
         best.select("l_text", "l_postcode", "matched_text"),
@@ -95,7 +92,10 @@ def fuzzy_fill(na: DataFrame, os: DataFrame, top_k: int = 500, min_block: int =
         F.col("udprn"),
         F.col("postcode").alias("postcode_os"),
     )
-    na = na.join(back, na["matched_text"] == back["_os_address"], "left")
+    # unmatched rows have a NULL text: they stay out of the join's shuffle
+    lost = na.filter(F.col("matched_text").isNull()).withColumns({c: F.lit(None).cast(t) for c, t in back.dtypes})
+    na = na.filter(F.col("matched_text").isNotNull())
+    na = na.join(back, na["matched_text"] == back["_os_address"], "left").unionByName(lost)
     return (
         na.drop("uprn", "address", "_os_address")
         .withColumnsRenamed(
@@ -109,8 +109,6 @@ def enrich_certificates(
     certificates: DataFrame,
     addresses: DataFrame,
     districts=TARGET_DISTRICTS,
-    top_k: int = 500,
-    min_block: int = 10,
 ) -> DataFrame:
     """Staged certificates + staged gazetteer -> certificates with OS address,
     postcode and keys, ``fuzzy_matched`` and ``address_source``."""
@@ -119,7 +117,7 @@ def enrich_certificates(
         epc = in_districts(epc, "postcode", districts)
     os = prepare_gazetteer(addresses)
     ok = keyed_fallback(epc.filter(F.col("uprn").isNotNull()), os)
-    na = fuzzy_fill(epc.filter(F.col("uprn").isNull()), os, top_k=top_k, min_block=min_block)
+    na = fuzzy_fill(epc.filter(F.col("uprn").isNull()), os)
     both = ok.unionByName(na, allowMissingColumns=True)
     both = both.withColumns({"address_os": format_address("address_os"), "address_epc": format_address("address_epc")})
     return both.withColumns(

@@ -118,19 +118,21 @@ def _keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fuzzy_block_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best gazetteer address per key-less certificate (partial postcode
-    block, widened to the district below 10, top-500 by Y1, best by Y3)."""
+    """Best gazetteer address per key-less certificate, over its whole district."""
     os = EN.prepare_gazetteer(chain.staged_addresses(spark, sf_dir))
     return M.block_match(_keyless(spark, sf_dir), os, left_text="address_postcode", left_postcode="postcode")
 
 
 @register
 def district_fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """District-blocked match without pre-pruning."""
+    """The match joined back inner, on its address text; the certificate
+    takes the keys and postcode of every gazetteer row with that text."""
     os = EN.prepare_gazetteer(chain.staged_addresses(spark, sf_dir))
-    return M.block_match(
-        _keyless(spark, sf_dir), os, left_text="address_postcode", left_postcode="postcode", level="district", top_k=None
-    )
+    keyless = _keyless(spark, sf_dir)
+    best = M.block_match(keyless, os, left_text="address_postcode", left_postcode="postcode")
+    left = keyless.select("lmk_key", F.col("address_postcode").alias("l_text"), F.col("postcode").alias("l_postcode"))
+    back = os.select(F.col("address").alias("matched_text"), "uprn", "udprn", "postcode")
+    return left.join(best, ["l_text", "l_postcode"]).join(back, "matched_text").select("lmk_key", "l_text", "matched_text", "uprn", "udprn", "postcode", "score_y3")
 
 
 @register

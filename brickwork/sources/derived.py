@@ -31,10 +31,14 @@ def _town(k: str) -> str:
 
 
 def _postcode(k: str) -> str:
+    """Twelve neighbouring keys share a postcode, so postcodes grow with the keys."""
+    j = f"cast(floor({k} / 12) as bigint)"
+    letters = "'ABDEFGHJLNPQRSTUWXYZ'"
+    unit = " || ".join(f"substr({letters}, cast(1 + cast(floor({j} / {step}) as bigint) % 20 as int), 1)" for step in (9, 180))
     return (
-        f"(CASE {k} % 8 WHEN 0 THEN 'PO30' WHEN 1 THEN 'PO31' WHEN 2 THEN 'HU2' WHEN 3 THEN 'HU20' "
+        f"(CASE {j} % 8 WHEN 0 THEN 'PO30' WHEN 1 THEN 'PO31' WHEN 2 THEN 'HU2' WHEN 3 THEN 'HU20' "
         f"WHEN 4 THEN 'YO4' WHEN 5 THEN 'YO41' WHEN 6 THEN 'DN14' ELSE 'SW1A' END || ' ' || "
-        f"cast(1 + {k} % 9 as string) || CASE {k} % 3 WHEN 0 THEN 'LY' WHEN 1 THEN 'AB' ELSE 'TE' END)"
+        f"cast(1 + {j} % 9 as string) || {unit})"
     )
 
 

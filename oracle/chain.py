@@ -56,15 +56,6 @@ def staging_ctes() -> list[str]:
     ]
 
 
-def _partial_keys(pc: str) -> str:
-    out = fn.outward(pc)
-    inw = f"string_split({pc}, ' ')[2]"
-    return (
-        f"CASE WHEN {inw} IS NULL THEN []::VARCHAR[] ELSE list_filter(list_transform(range(1, length({out})), "
-        f"lambda s: substr({out}, s) || ' ' || substr({inw}, 1, 2)), lambda k: length(split_part(k, ' ', 1)) >= 2) END"
-    )
-
-
 def _district_keys(pc: str) -> str:
     out = fn.outward(pc)
     return (
@@ -73,56 +64,25 @@ def _district_keys(pc: str) -> str:
     )
 
 
-def match_ctes(prefix: str, left_sql: str, right_sql: str, top_k=500, min_block=10, level="auto") -> list[str]:
-    """Best match per (l_text, l_postcode): ``{prefix}_best``.
+def match_ctes(prefix: str, left_sql: str, right_sql: str) -> list[str]:
+    """Best match per (l_text, l_postcode) by brute force over each district: ``{prefix}_best``.
     ``left_sql`` yields (l_text, l_postcode); ``right_sql`` (r_text, r_postcode)."""
     p = prefix
-    ctes = [
-        f"{p}_L0 AS (SELECT DISTINCT l_text, l_postcode FROM ({left_sql}) WHERE l_text IS NOT NULL AND l_postcode IS NOT NULL)",
-        f"{p}_R AS (SELECT r_text, r_postcode FROM ({right_sql}) WHERE r_text IS NOT NULL AND r_postcode IS NOT NULL)",
-        f"{p}_rd AS (SELECT 'd' AS lvl, unnest({_district_keys('r_postcode')}) AS bkey, r_text FROM {p}_R)",
-    ]
-    if level == "district":
-        ctes += [
-            f"{p}_L AS (SELECT l_text, l_postcode, 'd' AS lvl, {fn.outward('l_postcode')} AS bkey FROM {p}_L0)",
-            f"{p}_blocks AS (SELECT DISTINCT lvl, bkey, r_text FROM {p}_rd)",
-        ]
-    else:
-        ctes += [
-            f"{p}_rp AS (SELECT 'p' AS lvl, unnest({_partial_keys('r_postcode')}) AS bkey, r_text FROM {p}_R)",
-            f"{p}_cnt AS (SELECT bkey, count(*) AS n_block FROM {p}_rp GROUP BY bkey)",
-            f"{p}_L AS (SELECT l_text, l_postcode, "
-            f"CASE WHEN coalesce(n_block, 0) < {min_block} THEN 'd' ELSE 'p' END AS lvl, "
-            f"CASE WHEN coalesce(n_block, 0) < {min_block} THEN {fn.outward('l_postcode')} ELSE pkey END AS bkey "
-            f"FROM (SELECT *, {fn.partial_postcode('l_postcode')} AS pkey FROM {p}_L0) x LEFT JOIN {p}_cnt c ON x.pkey = c.bkey)",
-            f"{p}_blocks AS (SELECT DISTINCT lvl, bkey, r_text FROM (SELECT * FROM {p}_rp UNION ALL SELECT * FROM {p}_rd))",
-        ]
-    ctes += [
-        f"{p}_pairs AS (SELECT l_text, l_postcode, r_text, "
-        f"round({fn.wratio('l_text', 'r_text', fn.token_sort('l_text'), fn.token_sort('r_text'))}, 9) AS score_y1 "
-        f"FROM {p}_L JOIN {p}_blocks USING (lvl, bkey))",
-    ]
-    if top_k is not None:
-        ctes.append(
-            f"{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_text, l_postcode "
-            f"ORDER BY score_y1 DESC, r_text ASC) AS rn FROM {p}_pairs) WHERE rn <= {top_k})"
-        )
-    else:
-        ctes.append(f"{p}_top AS (SELECT * FROM {p}_pairs)")
-    ctes += [
-        f"{p}_vocab AS (SELECT token, count(*) AS df FROM (SELECT unnest({fn.tokens('r_text')}) AS token "
-        f"FROM (SELECT DISTINCT r_text FROM {p}_R)) GROUP BY token)",
-        f"{p}_shared AS (SELECT l_text, l_postcode, r_text, unnest(list_intersect({fn.tokens('l_text')}, {fn.tokens('r_text')})) AS token FROM {p}_top)",
-        f"{p}_y3 AS (SELECT l_text, l_postcode, r_text, sum(1.0 / df) AS score_y3 FROM {p}_shared JOIN {p}_vocab USING (token) "
-        f"GROUP BY l_text, l_postcode, r_text)",
-        f"{p}_best AS (SELECT l_text, l_postcode, r_text AS matched_text, score_y1, score_y3 FROM ("
-        f"SELECT t.l_text, t.l_postcode, t.r_text, t.score_y1, round(coalesce(y.score_y3, 0.0), 9) AS score_y3, "
-        f"row_number() OVER (PARTITION BY t.l_text, t.l_postcode ORDER BY round(coalesce(y.score_y3, 0.0), 9) DESC, "
-        f"t.score_y1 DESC, t.r_text ASC) AS rn "
-        f"FROM {p}_top t LEFT JOIN {p}_y3 y ON t.l_text = y.l_text AND t.l_postcode = y.l_postcode AND t.r_text = y.r_text) "
-        f"WHERE rn = 1)",
+    y1 = fn.weighted_ratio("l_text", "r_text")
+    return [
+        f"{p}_L AS (SELECT DISTINCT l_text, l_postcode, {fn.outward('l_postcode')} AS bkey FROM ({left_sql}) WHERE l_text IS NOT NULL AND l_postcode IS NOT NULL)",
+        f"{p}_R AS (SELECT DISTINCT r_text, unnest({_district_keys('r_postcode')}) AS bkey FROM ({right_sql}) WHERE r_text IS NOT NULL AND r_postcode IS NOT NULL)",
+        f"{p}_vocab AS (SELECT token, count(*) AS df FROM (SELECT unnest({fn.tokens('r_text')}) AS token FROM (SELECT DISTINCT r_text FROM {p}_R)) GROUP BY token)",
+        f"{p}_ltok AS (SELECT l_text, l_postcode, bkey, token, 1.0 / coalesce(df, 1) AS w FROM "
+        f"(SELECT *, unnest({fn.tokens('l_text')}) AS token FROM {p}_L) LEFT JOIN {p}_vocab USING (token))",
+        f"{p}_total AS (SELECT l_text, l_postcode, sum(w) AS total FROM {p}_ltok GROUP BY ALL)",
+        f"{p}_rtok AS (SELECT DISTINCT bkey, r_text, unnest({fn.tokens('r_text')}) AS token FROM {p}_R)",
+        f"{p}_sum AS (SELECT l_text, l_postcode, r_text, sum(w) AS shared FROM {p}_ltok JOIN {p}_rtok USING (bkey, token) GROUP BY ALL)",
+        f"{p}_y3 AS (SELECT l_text, l_postcode, r_text, round(shared / total, 9) AS score_y3 FROM {p}_sum JOIN {p}_total USING (l_text, l_postcode))",
+        f"{p}_near AS (SELECT * FROM {p}_y3 QUALIFY score_y3 = max(score_y3) OVER (PARTITION BY l_text, l_postcode))",
+        f"{p}_best AS (SELECT l_text, l_postcode, r_text AS matched_text, score_y1, score_y3 FROM (SELECT *, round({y1}, 9) AS score_y1 FROM {p}_near) "
+        f"QUALIFY row_number() OVER (PARTITION BY l_text, l_postcode ORDER BY score_y1 DESC, r_text) = 1)",
     ]
-    return ctes
 
 
 def enrich_ctes() -> list[str]:

@@ -217,3 +217,12 @@ def ratio(a: str, b: str) -> str:
 
 def wratio(a: str, b: str, a_s: str, b_s: str) -> str:
     return f"greatest({ratio(a, b)}, 0.95 * {ratio(a_s, b_s)})"
+
+
+def weighted_ratio(a: str, b: str) -> str:
+    shared = f"list_sort(list_intersect({tokens(a)}, {tokens(b)}))"
+    only = [f"list_sort(list_filter({tokens(x)}, lambda t: NOT list_contains({tokens(y)}, t)))" for x, y in ((a, b), (b, a))]
+    both = f"array_to_string({shared}, ' ')"
+    one, two = (f"array_to_string(list_concat({shared}, {o}), ' ')" for o in only)
+    sets = f"greatest({ratio(both, one)}, {ratio(both, two)}, {ratio(one, two)})"
+    return f"greatest({ratio(a, b)}, 0.95 * {ratio(token_sort(a), token_sort(b))}, 0.95 * {sets})"

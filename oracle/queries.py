@@ -199,7 +199,10 @@ def build() -> dict[str, str]:
         "measures_mart": with_ctes(en + _measures_ctes(), "SELECT * FROM mm"),
         "fuzzy_block_match": with_ctes(st + match_ctes("j6", _KEYLESS, _GAZ), "SELECT * FROM j6_best"),
         "district_fuzzy_match": with_ctes(
-            st + match_ctes("j7", _KEYLESS, _GAZ, top_k=None, level="district"), "SELECT * FROM j7_best"
+            st + match_ctes("j7", _KEYLESS, _GAZ),
+            "SELECT c.lmk_key, b.l_text, b.matched_text, o.uprn, CASE WHEN o.udprn IN ('', 'N/A') THEN NULL ELSE o.udprn END AS udprn, o.postcode, b.score_y3 "
+            "FROM stg_certificates c JOIN j7_best b ON lower(concat_ws(', ', c.address, c.posttown, c.postcode)) = b.l_text AND c.postcode = b.l_postcode "
+            "JOIN stg_addresses o ON lower(o.address) = b.matched_text WHERE c.uprn = ''",
         ),
         "title_case_documents": f"SELECT doc_id, {fn.title('text')} AS title FROM documents",
         "format_address_documents": f"SELECT doc_id, {fn.fmt_address('text')} AS formatted FROM documents",
