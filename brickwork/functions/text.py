@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference's --------------------------------
 # UK postcode pattern used when upper-casing postcodes inside addresses.
 POSTCODE_PATTERN = r"[a-zA-Z]{1,2}[0-9][a-zA-Z0-9]? ?[0-9][a-zA-Z]{2}|GIR ?0AA"
+# UK postcode pattern of the hand-off: upper case, one space.
+HANDOFF_POSTCODE = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
 # Whole values (any case) that mean "no value".
 PLACEHOLDER_VALUES = ["unknown", "no data!", "nodata!", "nan", "n/a"]
 # ----------------------------------------------------------------------------
@@ -32,10 +34,10 @@ def trim_ws(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """Python ``str.title()``: every letter run gets a capital first letter,
-    the rest lower case; a letter after any non-letter starts a new run
-    (``o'b`` -> ``O'B``, ``1st`` -> ``1St``)."""
-    runs = F.regexp_extract_all(F.lower(_c(c)), F.lit(r"(\p{L}+|[^\p{L}]+)"), 0)
+    """Python ``str.title()``: every run of cased letters gets a capital first
+    letter, the rest lower case; a letter after anything else, uncased letters
+    included, starts a new run (``o'b`` -> ``O'B``, ``1st`` -> ``1St``)."""
+    runs = F.regexp_extract_all(F.lower(_c(c)), F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), 0)
     def cap(x):
         first, rest = F.substring(x, 1, 1), F.substring(x, 2, 1 << 30)
         # a word-initial sharp s titles to "Ss" (no single-letter title case)
@@ -137,20 +139,18 @@ def title_case_address_parts(c, case_sensitive: bool = True) -> Column:
     """Title-case each ``", "`` part except a part that is a postcode
     (anchored), which is upper-cased."""
     flags = "" if case_sensitive else "(?i)"
-    pc_upper = r"[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}"
     parts = F.split(_c(c), ", ")
     return F.array_join(
-        F.transform(parts, lambda p: F.when(p.rlike(rf"{flags}^(?:{pc_upper})$"), F.upper(p)).otherwise(title_case(p))),
+        F.transform(parts, lambda p: F.when(p.rlike(rf"{flags}^(?:{HANDOFF_POSTCODE})$"), F.upper(p)).otherwise(title_case(p))),
         ", ",
     )
 
 
 def remove_postcode_and_title_case(c) -> Column:
-    """Drop a trailing postcode (with its comma) and title-case the rest."""
-    pc = r"[A-Za-z]{1,2}[0-9][A-Za-z0-9]? ?[0-9][A-Za-z]{2}"
-    no_pc = F.regexp_replace(_c(c), rf",?\s*(?:{pc})\s*$", "")
-    no_pc = F.regexp_replace(no_pc, r",\s*$", "")
-    return F.array_join(F.transform(F.split(no_pc, ", "), lambda p: title_case(p)), ", ")
+    """Drop every upper-case postcode (with a comma before it), trim, and
+    title-case the comma parts, except one that is a postcode in any case."""
+    rest = trim_ws(F.regexp_replace(_c(c), rf"(,\s*)?{HANDOFF_POSTCODE}", ""))
+    return title_case_address_parts(rest, case_sensitive=False)
 
 
 def first_contains(c, pairs, default=None) -> Column:

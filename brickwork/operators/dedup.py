@@ -30,8 +30,9 @@ def latest_per_key(
     broken by ``tiebreak`` ascending.  Rows with a NULL key are kept as one
     group, like pandas.
 
-    Implemented as ``min_by(row, ordering)`` in a hash aggregate, which is
-    partially aggregated before the shuffle (skew-safe).
+    Implemented as ``min_by(row, ordering)``.  Rows are not fixed in width, so
+    Spark plans a sort aggregate; it is partial before the shuffle, so a hot
+    key sends one row a task.
     """
     cols = df.columns
     ordv = F.col(order_by)

@@ -14,11 +14,7 @@ from .profiling import profile, with_sap_scores
 
 
 def staged_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The derived feed lands '' floor areas; the reference database would
-    # reject them in a strict cast, so the chain stages leniently.
-    return staging.stage_certificates(
-        load_feed(spark, sf_dir, "domestic_raw"), load_feed(spark, sf_dir, "non_domestic_raw"), lenient=True
-    )
+    return staging.stage_certificates(load_feed(spark, sf_dir, "domestic_raw"), load_feed(spark, sf_dir, "non_domestic_raw"))
 
 
 def staged_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -238,8 +238,8 @@ def pages_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unblocked_inputs(spark: SparkSession, sf_dir: str):
-    left = _keyless(spark, sf_dir).select(F.lower(F.concat_ws(" ", "address", "postcode")).alias("text"))
-    right = chain.staged_addresses(spark, sf_dir).select(F.concat_ws(" ", F.lower("address"), F.lower("postcode")).alias("text"))
+    left = _keyless(spark, sf_dir).select(F.lower(F.concat("address", F.lit(" "), "postcode")).alias("text"))
+    right = chain.staged_addresses(spark, sf_dir).select(F.concat(F.lower("address"), F.lit(" "), F.lower("postcode")).alias("text"))
     return left, right
 
 
@@ -277,21 +277,19 @@ def handoff_base_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     b = marts.base_plus(chain.staged_addresses(spark, sf_dir))
     b = b.filter(F.col("UPRN").isNotNull()).withColumns(
-        {"UPRN": X.numeric_key_text("UPRN"), "Address": X.title_case_address_parts("Address", case_sensitive=False)}
+        {"UPRN": X.numeric_key_text("UPRN"), "Address": X.title_case_address_parts("Address")}
     )
     return normalise_headers(b)
 
 
 @register
 def segment_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page accounting over a landing table -- events landed per event
-    type in pages of 1000 offsets; per segment the page count, rows, last
-    offset, whether an offset page is missing and whether it reached the
-    warning size."""
+    """Page accounting over a landing log derived from events: pages of
+    1000 offsets per event type, of which every fifth is missing, every
+    seventh landed twice, and some are short."""
     from .sources.pages import page_audit
 
     e = _read(spark, sf_dir, "events")
-    landed = e.groupBy("event_type", (F.floor(F.col("event_id") / 1000) * 1000).alias("offset")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    return page_audit(landed, ["event_type"], "offset", "rows")
+    page = F.floor(F.col("event_id") / 1000)
+    landed = e.filter(page % 5 != 3).groupBy("event_type", (page * 1000).alias("offset")).agg(F.least(F.lit(1000), 4 * F.count(F.lit(1))).alias("rows"))
+    return page_audit(landed.unionByName(landed.filter("offset % 7000 = 0")), ["event_type"], "offset", "rows")

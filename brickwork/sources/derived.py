@@ -101,7 +101,7 @@ SELECT cast(o as string) AS {q}lmk-key{q}, CASE WHEN o % 11 = 0 THEN '' ELSE cas
  CASE WHEN o % 19 = 0 THEN '' ELSE cast(1 + o % 100 as string) END AS {q}current-energy-efficiency{q},
  cast(1 + (o * 7) % 100 as string) AS {q}environment-impact-current{q},
  cast(o % 90 as string) || '.' || cast(o % 10 as string) AS {q}co2-emissions-current{q},
- CASE WHEN o % 13 = 0 THEN '' ELSE cast(30 + o % 170 as string) END AS {q}total-floor-area{q},
+ CASE WHEN o % 13 = 0 THEN NULL ELSE cast(30 + o % 170 as string) END AS {q}total-floor-area{q},
  cast(100 + o % 900 as string) AS {q}heating-cost-current{q},
  CASE WHEN o % 17 = 0 THEN '' ELSE cast(60 + o % 240 as string) END AS {q}hot-water-cost-current{q},
  cast(40 + o % 120 as string) AS {q}lighting-cost-current{q},

@@ -121,16 +121,27 @@ def segment_plan(authorities: DataFrame, start_year: int, end_year: int, bands:
 
 
 def page_audit(pages: DataFrame, segment_cols, offset_col: str, rows_col: str, page_size: int = 1000, warn_rows: int = 10_000) -> DataFrame:
-    """Per segment: pages, rows, last offset, whether an offset is missing,
-    whether the segment reached the warning size."""
-    agg = pages.groupBy(*segment_cols).agg(
+    """Per segment: distinct pages, their rows, last offset, pages landed again,
+    offsets missing before the last, short pages that are not the last,
+    whether either leaves a gap, and whether the segment reached the warning
+    size.  A page landed more than once counts with its largest landing."""
+    once = pages.groupBy(*segment_cols, offset_col).agg(F.max(rows_col).alias("_rows"), F.count(F.lit(1)).alias("_landed"))
+    short = F.count_if(F.col("_rows") < page_size)
+    last_short = F.max_by("_rows", offset_col) < page_size
+    agg = once.groupBy(*segment_cols).agg(
         F.count(F.lit(1)).alias("pages"),
-        F.sum(rows_col).alias("rows"),
+        F.sum("_rows").alias("rows"),
         F.max(offset_col).alias("last_offset"),
+        F.sum(F.col("_landed") - 1).alias("landed_again"),
+        (short - last_short.cast("long")).alias("short_inside"),
     )
-    return agg.withColumns(
-        {
-            "gapped": F.col("last_offset") != (F.col("pages") - 1) * F.lit(page_size),
-            "capped": F.col("rows") >= F.lit(warn_rows),
-        }
-    )
+    missing = F.floor(F.col("last_offset") / page_size) + 1 - F.col("pages")
+    agg = agg.withColumn("missing", missing)
+    return agg.withColumns({"gapped": (F.col("missing") > 0) | (F.col("short_inside") > 0), "capped": F.col("rows") >= F.lit(warn_rows)})
+
+
+def missing_offsets(pages: DataFrame, segment_cols, offset_col: str, page_size: int = 1000) -> DataFrame:
+    """The offsets before a segment's last one at which no page landed."""
+    last = pages.groupBy(*segment_cols).agg(F.max(offset_col).alias("_last"))
+    due = last.select(*segment_cols, F.explode(F.sequence(F.lit(0), F.col("_last").cast("long"), F.lit(page_size))).alias(offset_col))
+    return due.join(pages.select(*segment_cols, offset_col), [*segment_cols, offset_col], "left_anti")

@@ -1,9 +1,10 @@
 """Incremental certificate sync (T1) with Structured Streaming.
 
 Landed page files are picked up once each by the file source (its checkpoint
-is the cursor); every micro-batch is exploded and appended.  ``availableNow``
-processes what has landed and stops, so the same job serves as a scheduled
-batch.  No state beyond the file log is needed.
+is the cursor); every micro-batch is exploded and written to a directory of
+its own, which a repeated batch overwrites, so a failure between write and
+commit leaves nothing twice.  ``availableNow`` processes what has landed and
+stops, so the same job serves as a scheduled batch.
 """
 
 from __future__ import annotations
@@ -20,11 +21,16 @@ def page_stream(spark: SparkSession, landing: str, record: T.StructType) -> Data
     return raw.select(F.explode(ROWS).alias("r")).select("r.*", F.current_timestamp().alias("_loaded_at"))
 
 
+def write_batch(batch: DataFrame, batch_id: int, target: str) -> None:
+    """One directory per batch id: writing a batch again replaces it."""
+    batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+
 def sync_pages(spark: SparkSession, landing: str, record: T.StructType, target: str, checkpoint: str):
-    """Append newly landed pages to ``target`` (parquet); returns the query."""
+    """Add newly landed pages to ``target`` (parquet by ``batch_id``); returns the query."""
     stream = page_stream(spark, landing, record)
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("append").parquet(target)
+    def put(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, target)
 
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

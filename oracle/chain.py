@@ -15,7 +15,7 @@ from .fn import lit, q
 _TYPES = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "date": "DATE"}
 
 
-def _staged(raw, dtype, rule, lenient=True) -> str:
+def _staged(raw, dtype, rule, lenient=False) -> str:
     t = _TYPES[dtype]
     if raw is None:
         return "'NO DATA!'" if rule == NO_DATA else f"CAST(NULL AS {t})"

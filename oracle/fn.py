@@ -31,7 +31,7 @@ def trim_ws(x: str) -> str:
 
 def title(x: str) -> str:
     return (
-        f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(\\p{{L}}+|[^\\p{{L}}]+)', 0), "
+        f"array_to_string(list_transform(regexp_extract_all(lower({x}), '([\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+)', 0), "
         f"lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' || r[2:] ELSE upper(r[1]) || r[2:] END), '')"
     )
 

@@ -127,9 +127,9 @@ def _quality_sql() -> str:
 
 
 _UNBLOCKED = [
-    "ul AS (SELECT DISTINCT lower(concat_ws(' ', address, postcode)) AS l_text FROM stg_certificates "
+    "ul AS (SELECT DISTINCT lower(address || ' ' || postcode) AS l_text FROM stg_certificates "
     f"WHERE uprn = '' AND {fn.outward('postcode')} IN ({_DIST}))",
-    "ur AS (SELECT DISTINCT concat_ws(' ', lower(address), lower(postcode)) AS r_text FROM stg_addresses)",
+    "ur AS (SELECT DISTINCT lower(address) || ' ' || lower(postcode) AS r_text FROM stg_addresses)",
 ]
 
 
@@ -145,10 +145,10 @@ def _brute_best(score_sql: str, threshold: float) -> str:
 def _handoff_sql() -> str:
     from brickwork.operators.columns import header_title_no_underscore
 
-    pc = r"[A-Z]{1,2}[0-9][A-Z0-9]? ?[0-9][A-Z]{2}"
+    pc = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
     addr = (
         "array_to_string(list_transform(string_split(Address, ', '), lambda p: "
-        f"CASE WHEN regexp_full_match(p, '(?i){pc}') THEN upper(p) ELSE {fn.title('p')} END), ', ')"
+        f"CASE WHEN regexp_full_match(p, '{pc}') THEN upper(p) ELSE {fn.title('p')} END), ', ')"
     )
     cols = list(marts.BASE_ORDER)
     names = [marts.BASE_RENAME_2.get(c, c) for c in cols]
@@ -230,9 +230,14 @@ def build() -> dict[str, str]:
         ),
         "handoff_base_plus": with_ctes(st + _base_plus_ctes(), _handoff_sql()),
         "segment_audit": (
-            "SELECT event_type, pages, rows, last_offset, last_offset <> (pages - 1) * 1000 AS gapped, rows >= 10000 AS capped "
-            "FROM (SELECT event_type, count(*) AS pages, sum(rows) AS rows, max(\"offset\") AS last_offset FROM ("
-            "SELECT event_type, (event_id // 1000) * 1000 AS \"offset\", count(*) AS rows FROM events GROUP BY ALL) GROUP BY event_type)"
+            "WITH landed AS (SELECT event_type, (event_id // 1000) * 1000 AS page, least(1000, 4 * count(*)) AS rows FROM events "
+            "WHERE event_id // 1000 % 5 <> 3 GROUP BY ALL), twice AS (SELECT * FROM landed UNION ALL SELECT * FROM landed WHERE page % 7000 = 0), "
+            "pages AS (SELECT event_type, page, max(rows) AS rows, count(*) AS n FROM twice GROUP BY ALL), "
+            "ends AS (SELECT *, max(page) OVER (PARTITION BY event_type) AS last FROM pages) "
+            "SELECT event_type, count(*) AS pages, sum(rows)::BIGINT AS rows, max(page) AS last_offset, sum(n - 1)::BIGINT AS landed_again, "
+            "max(page) // 1000 + 1 - count(*) AS missing, count(*) FILTER (rows < 1000 AND page < last) AS short_inside, "
+            "(max(page) // 1000 + 1 > count(*) OR count(*) FILTER (rows < 1000 AND page < last) > 0) AS gapped, sum(rows) >= 10000 AS capped "
+            "FROM ends GROUP BY event_type"
         ),
         "pages_explode": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "duplicated_keys": with_ctes(

@@ -103,3 +103,24 @@ def test_build_marts_writes_every_mart(spark):
     prof = spark.read.parquet(paths["address_profiling"])
     assert prof.count() == prof.select("UPRN").distinct().count() > 0
     assert len(os.listdir(os.path.join(out, "exports"))) == 4
+
+
+def test_page_audit_finds_duplicate_missing_and_short_pages(spark):
+    rows = [("dup", 0, 1000), ("dup", 0, 1000), ("dup", 2000, 5), ("short", 0, 1000), ("short", 1000, 400), ("short", 2000, 7), ("ok", 0, 1000), ("ok", 1000, 3)]
+    pages_ = spark.createDataFrame(rows, "seg string, offset long, rows long")
+    got = {r.seg: r for r in pages.page_audit(pages_, ["seg"], "offset", "rows").collect()}
+    assert [(got[s].gapped, got[s].missing, got[s].short_inside, got[s].landed_again, got[s].rows) for s in ("dup", "short", "ok")] == [
+        (True, 1, 0, 1, 1005),
+        (True, 0, 1, 0, 1407),
+        (False, 0, 0, 0, 1003),
+    ]
+    assert [tuple(r) for r in pages.missing_offsets(pages_, ["seg"], "offset").collect()] == [("dup", 1000)]
+
+
+def test_replayed_stream_batch_changes_nothing(spark):
+    target = tempfile.mkdtemp(prefix="bw-replay-")
+    batch = spark.range(7)
+    for _ in range(2):
+        incremental.write_batch(batch, 0, target)
+    incremental.write_batch(spark.range(3), 1, target)
+    assert spark.read.parquet(target).count() == 10
