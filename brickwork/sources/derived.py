@@ -46,6 +46,43 @@ def _address(k: str) -> str:
     return f"(cast(1 + {k} % 997 as string) || ' ' || {_street(k)} || ', ' || {_town(k)} || ', ' || lower({_postcode(k)}))"
 
 
+# Landed descriptions, one for every label of the category maps and some for none.
+HEATING = (
+    "Boiler and radiators, mains gas", "Electric storage heaters", "Portable electric heaters", "Boiler and radiators, LPG",
+    "Boiler and underfloor heating, LPG", "Boiler and radiators, oil", "Boiler and underfloor heating, oil", "Electric underfloor heating",
+    "Community scheme", "Warm air, mains gas", "Boiler & underfloor, mains gas", "Boiler and underfloor heating, mains gas",
+    "Air source heat pump, radiators, electric", "Boiler and radiators, electric", "Boiler and underfloor heating, electric",
+    "Ground source heat pump, radiators", "Boiler and radiators, dual fuel (mineral and wood)", "Boiler and radiators, wood logs",
+    "Room heaters, mains gas", "No system present: electric heaters assumed", "Water source heat pump, radiators",
+    "boiler and radiators, oil", "Solar panels", None,
+)
+FUEL = (
+    "mains gas (not community)", "Electricity: electricity, unspecified tariff", "oil (not community)", "LPG (community)",
+    "To be used only when there is no heating/hot-water system", "dual fuel - mineral + wood", "wood logs", "house coal (not community)",
+    "biomass (community)", "INVALID!", "anthracite", "smokeless coal", "bulk wood pellets", "wood chips", "biogas (community)", "straw", None,
+)
+GLAZING = (
+    "double glazing installed before 2002", "double glazing installed during or after 2002", "double glazing, unknown install date",
+    "not defined", "secondary glazing", "single glazing", "INVALID!", "triple glazing", "double, known data", "triple, known data", "other", None,
+)
+LEVEL = (
+    "Basement", "-1.0", "-1", "Ground", "ground floor", "00", "0.0", "1st", "01", "1.0", "1", "2nd", "02", "2.0", "2", "3rd", "03", "3.0", "3",
+    "4th", "04", "5th", "05", "5.0", "6th", "7th", "07", "8th", "12th", "TopFloor", "MidFloor", "mid floor", None,
+)
+WALLS = (
+    "Cavity wall, filled cavity", "Cavity wall, filled cavity and internal insulation", "Cavity wall, filled cavity and external insulation",
+    "Sandstone or limestone, as built, no insulation (assumed)", "Sandstone, with internal insulation", "Solid brick, with external insulation",
+    "Timber frame, as built, insulated (assumed)", "Granite or whinstone, with additional insulation", "Park home wall, as built", "Cob,",
+    "System built, with internal insulation", "Average thermal transmittance 0.2", None,
+)
+
+
+def _pick(values: tuple, step: int) -> str:
+    """The values in turn; ``step`` keeps two lists from going round together."""
+    whens = " ".join(f"WHEN {i} THEN " + ("NULL" if v is None else "'" + v.replace("'", "''") + "'") for i, v in enumerate(values))
+    return f"CASE cast(floor(o / {step}) as bigint) % {len(values)} {whens} END"
+
+
 # --- feed definitions ----------------------------------------------------------
 # {q} quotes a hyphenated identifier, {t[name]} references a source table.
 
@@ -80,23 +117,19 @@ SELECT cast(o as string) AS {q}lmk-key{q}, CASE WHEN o % 11 = 0 THEN '' ELSE cas
  CASE o % 8 WHEN 0 THEN 'Pitched, 270 mm loft insulation' WHEN 1 THEN 'Pitched, 400+ mm loft insulation' WHEN 2 THEN '(another dwelling above)'
       WHEN 3 THEN 'Flat, insulated  (assumed)' WHEN 4 THEN 'Roof room(s), ceiling insulated' WHEN 5 THEN 'Pitched, 75mm insulation'
       WHEN 6 THEN 'Pitched, *** INVALID INPUT Code : 57 *** loft insulation' ELSE NULL END AS {q}roof-description{q},
- CASE o % 7 WHEN 0 THEN 'Cavity wall, filled cavity' WHEN 1 THEN 'Sandstone or limestone, as built, no insulation (assumed)'
-      WHEN 2 THEN 'Solid brick, with external insulation' WHEN 3 THEN 'Timber frame, as built, insulated (assumed)' WHEN 4 THEN 'Cob,'
-      WHEN 5 THEN 'Average thermal transmittance 0.2' ELSE NULL END AS {q}walls-description{q},
+ {walls} AS {q}walls-description{q},
  CASE o % 5 WHEN 0 THEN 'Solid, no insulation (assumed)' WHEN 1 THEN 'Suspended, uninsulated' WHEN 2 THEN '(other premises below)'
       WHEN 3 THEN 'To unheated space, limited insulation (assumed)' ELSE NULL END AS {q}floor-description{q},
  CASE o % 3 WHEN 0 THEN 'Fully double glazed' WHEN 1 THEN 'Single glazed' ELSE ' Partial double glazing ' END AS {q}windows-description{q},
- CASE o % 5 WHEN 0 THEN 'Boiler and radiators, mains gas' WHEN 1 THEN 'Electric storage heaters' WHEN 2 THEN 'Air source heat pump, radiators, electric'
-      WHEN 3 THEN 'boiler and radiators, oil' ELSE NULL END AS {q}mainheat-description{q},
- CASE o % 7 WHEN 0 THEN 'mains gas (not community)' WHEN 1 THEN 'Electricity: electricity, unspecified tariff' WHEN 2 THEN 'oil (not community)'
-      WHEN 3 THEN 'INVALID!' WHEN 4 THEN 'To be used only when there is no heating/hot-water system' WHEN 5 THEN 'bulk wood pellets' ELSE NULL END AS {q}main-fuel{q},
+ {heating} AS {q}mainheat-description{q},
+ {fuel} AS {q}main-fuel{q},
  CASE o % 4 WHEN 0 THEN 'Programmer, room thermostat and TRVs' WHEN 1 THEN 'unknown' WHEN 2 THEN 'No time or thermostatic control of room temperature' ELSE 'Appliance thermostats' END AS {q}main-heating-controls{q},
- CASE o % 4 WHEN 0 THEN 'double glazing installed before 2002' WHEN 1 THEN 'INVALID!' WHEN 2 THEN 'not defined' ELSE 'triple glazing' END AS {q}glazed-type{q},
+ {glazing} AS {q}glazed-type{q},
  CASE o % 4 WHEN 0 THEN '' WHEN 1 THEN 'Normal' WHEN 2 THEN 'Much More Than Typical' ELSE NULL END AS {q}glazed-area{q},
  CASE o % 6 WHEN 0 THEN 'Good' WHEN 1 THEN 'Very Good' WHEN 2 THEN 'Poor' WHEN 3 THEN 'Average' WHEN 4 THEN 'N/A' ELSE 'Excellent' END AS {q}walls-env-eff{q},
  CASE o % 6 WHEN 0 THEN 'England and Wales: 1900-1929' WHEN 1 THEN 'England and Wales: 2007 onwards' WHEN 2 THEN 'England and Wales: before 1900'
       WHEN 3 THEN '1999' WHEN 4 THEN 'Year 2012' ELSE 'Unknown' END AS {q}construction-age-band{q},
- CASE o % 6 WHEN 0 THEN 'Ground' WHEN 1 THEN '1st' WHEN 2 THEN 'MidFloor' WHEN 3 THEN 'TopFloor' WHEN 4 THEN 'mid floor' ELSE NULL END AS {q}floor-level{q},
+ {level} AS {q}floor-level{q},
  CASE o % 7 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'D' WHEN 4 THEN 'E' WHEN 5 THEN 'F' ELSE 'G' END AS {q}current-energy-rating{q},
  CASE WHEN o % 19 = 0 THEN '' ELSE cast(1 + o % 100 as string) END AS {q}current-energy-efficiency{q},
  cast(1 + (o * 7) % 100 as string) AS {q}environment-impact-current{q},
@@ -155,6 +188,8 @@ def feed_sql(name: str, quote: str, table_ref) -> str:
     """Render one feed for an engine: ``quote`` wraps hyphenated names,
     ``table_ref(name)`` gives the text that reads a source table."""
     k_exprs = {"addr": _address("k"), "pc": _postcode("k"), "town": _town("k"), "street": _street("k")}
+    lists = {"heating": (HEATING, 1), "fuel": (FUEL, 2), "glazing": (GLAZING, 3), "level": (LEVEL, 1), "walls": (WALLS, 5)}
+    k_exprs |= {column: _pick(*values) for column, values in lists.items()}
     tables = {t: table_ref(t) for t in SOURCE_TABLES}
     return FEEDS[name].format(q=quote, **k_exprs, **tables)
 

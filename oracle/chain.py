@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from brickwork.functions import categories as cat
 from brickwork.operators.columns import NO_DATA, NULLIF, STRICT, TEXT
 from brickwork.plans import profiling as prof
 from brickwork.plans import staging
-from brickwork.plans.enrich import TARGET_DISTRICTS
 from brickwork.sources import derived
 
+from . import fixed as cat
 from . import fn
+from .fixed import TARGET_DISTRICTS
 from .fn import lit, q
 
 _TYPES = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "date": "DATE"}

@@ -6,9 +6,9 @@ the documented semantics, independently of the Spark expressions.
 
 from __future__ import annotations
 
-from brickwork.functions import categories as cat
-from brickwork.functions import energy
-from brickwork.functions.text import PLACEHOLDER_VALUES, POSTCODE_PATTERN
+from . import fixed as cat
+from . import fixed as energy
+from .fixed import PLACEHOLDER_VALUES, POSTCODE_PATTERN
 
 WS = r"[ \t\n\x0B\f\r]"
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from brickwork.functions import geo
-from brickwork.operators import quality as QC
 from brickwork.plans import marts
 from brickwork.plans import profiling as prof
-from brickwork.plans.enrich import TARGET_DISTRICTS
 
+from . import fixed as QC
 from . import fn
 from .chain import enrich_ctes, match_ctes, profiling_ctes, sap_ctes, staging_ctes, with_ctes
+from .fixed import TARGET_DISTRICTS
 from .fn import lit, q
 
 _DIST = ", ".join(lit(d) for d in TARGET_DISTRICTS)
