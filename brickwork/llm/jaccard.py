@@ -7,9 +7,10 @@ A document's set holds the 64-bit hashes of its distinct shingles.  Two document
 2.  Short lists.  Shingles are ordered rarest first (those that a bounded sample of documents holds twice come
     last; any one order for all is exact).  Of its T lists a document may leave out the T - 1 most frequent,
     so two linked documents meet in a list of their first size - T + 1 shingles.  Lists of one are dropped.
-3.  Each list is thinned to a star: its first document is held against the others by 64 four-bit minima.
-    Those that look alike join its group; those that look linked are done with in this list, as their
-    partners must look alike too; the rest go on with the next first.  So a list of copies costs its
+3.  Each list is thinned to a star: its smallest document is held against the others by 64 four-bit minima, each
+    two documents once for all their lists.  Those that look alike join its group; those that look linked
+    are done with in this list, as their partners must look alike too; the rest go on with the next first,
+    which gives an edge only to what is not in its group already.  So a list of copies costs its
     length, not its square.  Long lists are dealt in chunks, and what is left of the chunks meets in pairs.
 4.  Groups (components of the stars) get their documents' full sets, and DivideSkip runs in each: short
     lists are merged, candidates below T less the number of long lists fall out, long lists are probed by
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brickwork.llm.common import Stage, key_runs, small_side
@@ -182,8 +183,20 @@ def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return SLOTS - np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1).astype(np.int64)
 
 
+def _equal_minima() -> Column:
+    """Equal four-bit minima of s0 to s3 and f0 to f3."""
+    different = F.lit(0)
+    for i in range(4):
+        x = F.col(f"s{i}").bitwiseXOR(F.col(f"f{i}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        different = different + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return SLOTS - different
+
+
 def _stars(frames: Iterator, keys: list[str], linked: int) -> Iterator:
-    """Edges from each list's first documents to those alike (kind 0), and what no first took in (kind 1)."""
+    """Edges from each list's first documents to those alike that are not tied yet, by their labels (kind 0), and
+    what no first took in, with its label (kind 1)."""
     import pandas as pd
 
     def rows(kind: int, token: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -191,7 +204,7 @@ def _stars(frames: Iterator, keys: list[str], linked: int) -> Iterator:
 
     for frame in key_runs(frames, keys, 200_000):
         sketches = frame[["s0", "s1", "s2", "s3"]].to_numpy(np.int64).view(np.uint64)
-        docs, token, salts = frame["doc"].to_numpy(), frame["token"].to_numpy(), frame["salts"].to_numpy()
+        docs, label, token, salts = (frame[c].to_numpy() for c in ("doc", "label", "token", "salts"))
         key = frame[keys].to_numpy()
         live = np.arange(len(frame))
         edges, left = [], []
@@ -200,7 +213,7 @@ def _stars(frames: Iterator, keys: list[str], linked: int) -> Iterator:
             first = np.concatenate([[True], (k[1:] != k[:-1]).any(axis=1)])
             pivot = live[first][np.cumsum(first) - 1]
             same = _matches(sketches[live], sketches[pivot])
-            alike = (same >= ALIKE) & (docs[live] != docs[pivot])
+            alike = (same >= ALIKE) & (label[live] != label[pivot])
             edges.append(np.stack([docs[live][alike], docs[pivot][alike]], axis=1))
             left.append(live[first])
             live = live[~first & (same < linked)]
@@ -208,7 +221,7 @@ def _stars(frames: Iterator, keys: list[str], linked: int) -> Iterator:
         yield rows(0, np.zeros(len(found), np.int64), found[:, 0], found[:, 1])
         left = np.concatenate(left)
         left = left[salts[left] > 1]
-        yield rows(1, token[left], docs[left], docs[left])
+        yield rows(1, token[left], docs[left], label[left])
 
 
 def _paired(rows: DataFrame, key: list[str], chunks: str, doc: str) -> DataFrame:
@@ -221,21 +234,29 @@ def _paired(rows: DataFrame, key: list[str], chunks: str, doc: str) -> DataFrame
 def _groups(signed: DataFrame, num: int, den: int) -> DataFrame:
     """(doc, group) of all documents that may link with another."""
     tokens = signed.select(F.col("doc"), F.explode("prefix").alias("token"))
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("doc").alias("first")).filter("df > 1")
     salts = F.ceil(F.col("df") / LIST_CHUNK).cast("int")
-    lists = Stage(tokens.join(often, "token").select("token", "doc", salts.alias("salts")), "jaccard-lists").df
+    lists = Stage(tokens.join(often, "token").filter("doc <> first").select("token", "doc", "first", salts.alias("salts")), "jaccard-lists").df
     minima = small_side(Stage(signed.select("doc", "s0", "s1", "s2", "s3"), "jaccard-minima").df, 1_000_000)
     linked = -(-SLOTS * num // den)
     schema = "kind int, token bigint, a bigint, b bigint"
 
+    # the first of a list is often the first of many, so these pairs are made distinct before they are held together
+    firsts = minima.select(F.col("doc").alias("first"), *[F.col(f"s{i}").alias(f"f{i}") for i in range(4)])
+    pairs = lists.select("doc", "first").distinct().join(minima, "doc").join(firsts, "first")
+    alike = Stage(pairs.select("doc", "first", _equal_minima().alias("same")).filter(F.col("same") >= ALIKE), "jaccard-alike").df
+    rest = lists.join(alike, ["doc", "first"], "left").filter(F.col("same").isNull() | (F.col("same") < linked))
+    rest = rest.select("token", "doc", "salts", F.when(F.col("same").isNull(), F.col("doc")).otherwise(F.col("first")).alias("label"))
+    edges = alike.select(F.col("doc").alias("a"), F.col("first").alias("b"))
+
     def star(rows: DataFrame, keys: list[str]) -> DataFrame:
         dealt = rows.join(minima, "doc").repartition(*keys).sortWithinPartitions(*keys, "doc")
         return dealt.mapInPandas(lambda frames: _stars(frames, keys, linked), schema)
 
     salt = F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int")
-    found = Stage(star(lists.withColumn("salt", salt), ["token", "salt"]), "jaccard-stars")
-    edges = found.df.filter("kind = 0").select("a", "b")
-    left = found.df.filter("kind = 1").select("token", F.col("a").alias("doc")).distinct()
+    found = Stage(star(rest.withColumn("salt", salt), ["token", "salt"]), "jaccard-stars")
+    edges = edges.unionByName(found.df.filter("kind = 0").select("a", "b"))
+    left = found.df.filter("kind = 1").select("token", F.col("a").alias("doc"), F.col("b").alias("label")).distinct()
     if left.limit(1).count():
         chunks = F.ceil(F.count(F.lit(1)) / LIST_CHUNK).cast("int")
         sized = left.join(left.groupBy("token").agg(chunks.alias("chunks")), "token").withColumn("salts", F.lit(1))
