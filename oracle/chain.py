@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from brickwork.operators.columns import NO_DATA, NULLIF, STRICT, TEXT
-from brickwork.plans import profiling as prof
 from brickwork.plans import staging
 from brickwork.sources import derived
 
@@ -128,11 +127,11 @@ _NON_TEXT = {
 
 
 def profiling_ctes(source: str = "enriched") -> list[str]:
-    keep = ", ".join(prof.KEEP)
+    keep = ", ".join(cat.PROFILE_KEEP)
     splits = ", ".join(
         f"{fn.part(c, ',', i)} AS {c}_{i + 1}" for c in ["roof_description", "walls_description", "floor_description"] for i in range(3)
     )
-    cols_after_split = prof.KEEP + [f"{c}_{i + 1}" for c in ["roof_description", "walls_description", "floor_description"] for i in range(3)]
+    cols_after_split = cat.PROFILE_KEEP + [f"{c}_{i + 1}" for c in ["roof_description", "walls_description", "floor_description"] for i in range(3)]
     titled = {
         "address": fn.fmt_address(fn.title("address")),
         "property_type": fn.title("property_type"),
@@ -143,7 +142,7 @@ def profiling_ctes(source: str = "enriched") -> list[str]:
     p3 = ", ".join(
         (f"{fn.strip_null(c)} AS {c}" if c not in _NON_TEXT else c) for c in cols_after_split
     )
-    ren = dict(prof.RENAMES)
+    ren = dict(cat.PROFILE_RENAMES)
     derived_cols = {
         "roof_description_3": fn.roof_thickness_raw("roof_description_2"),
         "roof_description_4": fn.roof_remainder("roof_description_2"),
@@ -176,8 +175,8 @@ def profiling_ctes(source: str = "enriched") -> list[str]:
         f"{derived_cols['roof_description_4']} AS roof_description_4 FROM p3"
     )
     out = []
-    for name in prof.ORDER:
-        if name in prof.BLANK:
+    for name in cat.PROFILE_ORDER:
+        if name in cat.PROFILE_BLANK:
             out.append(f"CAST(NULL AS DOUBLE) AS {q(name)}")
             continue
         s = src_of.get(name)
@@ -195,7 +194,7 @@ def profiling_ctes(source: str = "enriched") -> list[str]:
             out.append(f"CAST(lmk_key AS VARCHAR) AS {q(name)}")
         else:
             out.append(f"{s} AS {q(name)}")
-    final_cols = ", ".join(q(c) for c in prof.ORDER)
+    final_cols = ", ".join(q(c) for c in cat.PROFILE_ORDER)
     return [
         f"p0 AS (SELECT DISTINCT {keep} FROM {source})",
         f"p1 AS (SELECT *, {splits} FROM p0)",

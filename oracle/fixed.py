@@ -163,3 +163,67 @@ WALLS_ENV_EFF_VALUES = ['Very Good', 'Good', 'Average', 'Poor', 'Very Poor', 'N/
 GLAZED_AREA_VALUES = ['Much More Than Typical', 'More Than Typical', 'Normal', 'Less Than Typical', 'Much Less Than Typical', 'NO DATA!']
 
 POSTCODE_OR_NA_REGEX = '^([A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][A-Z]{2})|(N\\/A)$'
+
+PROFILE_KEEP = ['lmk_key', 'uprn', 'address', 'postcode', 'property_type', 'built_form', 'current_energy_rating', 'current_energy_efficiency', 'roof_description',
+ 'walls_description', 'floor_description', 'windows_description', 'glazed_type', 'total_floor_area', 'environment_impact_current', 'lodgement_date',
+ 'co2_emissions_current', 'floor_level', 'heating_cost_current', 'construction_age_band', 'main_heating_controls', 'mainheat_description',
+ 'main_fuel', 'number_open_fireplaces', 'wind_turbine_count', 'mechanical_ventilation', 'hot_water_cost_current', 'lighting_cost_current',
+ 'inspection_date', 'flat_storey_count', 'fuzzy_matched', 'certificate_type']
+
+PROFILE_RENAMES = {'lmk_key': 'LMK_KEY',
+ 'uprn': 'UPRN',
+ 'current_energy_efficiency': 'SAPRating',
+ 'current_energy_rating': 'SAPBand',
+ 'roof_description_1': 'RoofConstruction',
+ 'roof_description_3': 'RoofInsulationThickness',
+ 'roof_description_4': 'RoofInsulationLocation',
+ 'walls_description': 'WallConstruction',
+ 'walls_description_2': 'WallInsulationType',
+ 'walls_description_3': 'WallInsulationThickness',
+ 'floor_description_1': 'FloorConstruction',
+ 'floor_description_2': 'FloorInsulation',
+ 'glazed_type': 'MultipleGlazingType',
+ 'co2_emissions_current': 'tCO2',
+ 'heating_cost_current': 'HeatingCost(£/yr)',
+ 'main_heating_controls': 'MainHeatingControl',
+ 'mainheat_description': 'MainHeatingCategory',
+ 'main_fuel': 'MainFuelType',
+ 'number_open_fireplaces': 'OpenFireplacesCount',
+ 'wind_turbine_count': 'Renewables',
+ 'mechanical_ventilation': 'Ventilation',
+ 'hot_water_cost_current': 'WaterHeatingCost(£/yr)',
+ 'lighting_cost_current': 'LightingCost(£/yr)',
+ 'flat_storey_count': 'StoreysCount',
+ 'floor_level': 'FlatLevel',
+ 'address': 'Address',
+ 'postcode': 'Postcode',
+ 'environment_impact_current': 'EnvironmentalImpactRating',
+ 'lodgement_date': 'LodgementDate',
+ 'property_type': 'PropertyType',
+ 'construction_age_band': 'ConstructionAgeBand',
+ 'built_form': 'BuiltForm',
+ 'total_floor_area': 'TotalFloorArea',
+ 'fuzzy_matched': 'FuzzyMatched',
+ 'certificate_type': 'CertificateType'}
+
+PROFILE_BLANK = ['UDPRN', 'ParityAddressId', 'EnvironmentalImpactRatingBand', 'FuelBills(£/yr)', 'FloorInsulationThickness', 'RealisticFuelBill(Regional)',
+ 'SAPVersion', 'FlatLocation', 'LowestFloorArea', 'DerivedSAPMainHeatingCode', 'HeatEmitterType', 'WaterHeatingFuel']
+
+PROFILE_ORDER = ['LMK_KEY', 'UPRN', 'UDPRN', 'ParityAddressId', 'Address', 'Postcode', 'EnvironmentalImpactRating', 'EnvironmentalImpactRatingBand',
+ 'FuelBills(£/yr)', 'RealisticFuelBill(Regional)', 'tCO2', 'HeatingCost(£/yr)', 'SAPRating', 'SAPBand', 'LodgementDate', 'SAPVersion', 'PropertyType',
+ 'ConstructionAgeBand', 'BuiltForm', 'StoreysCount', 'FlatLocation', 'FlatLevel', 'LowestFloorArea', 'MainHeatingCategory', 'MainFuelType',
+ 'MainHeatingControl', 'DerivedSAPMainHeatingCode', 'HeatEmitterType', 'WaterHeatingFuel', 'RoofConstruction', 'RoofInsulationLocation',
+ 'RoofInsulationThickness', 'WallConstruction', 'WallInsulationType', 'WallInsulationThickness', 'FloorConstruction', 'FloorInsulation',
+ 'FloorInsulationThickness', 'MultipleGlazingType', 'OpenFireplacesCount', 'Renewables', 'Ventilation', 'WaterHeatingCost(£/yr)',
+ 'LightingCost(£/yr)', 'TotalFloorArea', 'FuzzyMatched', 'CertificateType']
+
+BASE_BLANK = ['WardCode', 'LSOA11Code', 'COA11Code', 'ParishCode', 'ConservationArea', 'NationalPark', 'WorldHeritageSite', 'AONB']
+
+BASE_NAMES = ['UPRN', 'UDPRN', 'TOID', 'SharesTOID', 'Address', 'PostcodeLocator', 'XCoordinate', 'YCoordinate', 'Latitude', 'Longitude', 'ParentUPRN', 'WardCode',
+ 'LSOA11Code', 'COA11Code', 'ParishCode', 'ConservationArea', 'NationalPark', 'WorldHeritageSite', 'AONB', 'Class', 'ClassDescription',
+ 'OSAPISource']
+
+ZERO_BEFORE = ['KgCO2SAP2012', 'KgCO22017', 'KgCO2SAP102', 'KgCO22025', 'KgCO22030', 'KgCO22038', 'KgCO22050', 'FuelBills', 'FuelBillsRealistic', 'HeatingCost',
+ 'kWhyr', 'kWhHeatingDemandm2yr', 'AvHeatLossCoefficientwK', 'TotalFloorArea']
+
+ZERO_AFTER = ['CumulativeCost', 'SAPfollowingthisMeasure', 'IndividualSAPincrease', 'CumulativeSAPincrease', 'AverageHeatLossCoefficient (w/K)']

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from brickwork.functions import geo
-from brickwork.plans import marts
-from brickwork.plans import profiling as prof
 
 from . import fixed as QC
 from . import fn
@@ -24,7 +22,7 @@ def _base_plus_ctes() -> list[str]:
     geo_sql = geo.duckdb_lat_lon_sql(
         "SELECT * FROM stg_addresses WHERE os_api_source = 'DPA'", "x_coordinate", "y_coordinate", _ADDR_COLS, "LATITUDE", "LONGITUDE"
     )
-    blanks = ", ".join(f"CAST(NULL AS DOUBLE) AS {q(marts.BASE_RENAME_2.get(c, c))}" for c in marts.BASE_BLANK)
+    blanks = ", ".join(f"CAST(NULL AS DOUBLE) AS {q(c)}" for c in QC.BASE_BLANK)
     return [
         f"bp1 AS ({geo_sql})",
         "bp2 AS (SELECT uprn AS UPRN, udprn AS UDPRN, topography_layer_toid AS TOID, "
@@ -38,8 +36,8 @@ def _base_plus_ctes() -> list[str]:
 
 
 def _measures_ctes() -> list[str]:
-    zeros_a = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in marts._ZERO_A)
-    zeros_b = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in marts._ZERO_B)
+    zeros_a = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in QC.ZERO_BEFORE)
+    zeros_b = ", ".join(f"CAST(0.0 AS DOUBLE) AS {q(c)}" for c in QC.ZERO_AFTER)
     base = (
         "SELECT epc.uprn AS uprn, os.udprn AS udprn, '' AS AddressId, epc.address AS Address, "
         "CAST(epc.current_energy_efficiency AS DECIMAL(38,10)) AS SAP, CAST(epc.environment_impact_current AS DECIMAL(38,10)) AS EI, "
@@ -69,8 +67,8 @@ _GAZ = "SELECT lower(address) AS r_text, postcode AS r_postcode FROM stg_address
 
 def _table_diff_sql() -> str:
     text_cols = [
-        c for c in prof.ORDER
-        if c not in prof.BLANK and c not in {
+        c for c in QC.PROFILE_ORDER
+        if c not in QC.PROFILE_BLANK and c not in {
             "UPRN", "EnvironmentalImpactRating", "tCO2", "HeatingCost(£/yr)", "SAPRating", "LodgementDate", "StoreysCount",
             "FlatLevel", "OpenFireplacesCount", "Renewables", "WaterHeatingCost(£/yr)", "LightingCost(£/yr)", "TotalFloorArea",
             "FuzzyMatched",
@@ -150,8 +148,7 @@ def _handoff_sql() -> str:
         "array_to_string(list_transform(string_split(Address, ', '), lambda p: "
         f"CASE WHEN regexp_full_match(p, '{pc}') THEN upper(p) ELSE {fn.title('p')} END), ', ')"
     )
-    cols = list(marts.BASE_ORDER)
-    names = [marts.BASE_RENAME_2.get(c, c) for c in cols]
+    names = QC.BASE_NAMES
     exprs = []
     for n, h in zip(names, header_title_no_underscore(names)):
         if n == "UPRN":
