@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from .operators import dedup
 from .plans import chain
+from .plans.profiling import with_sap_scores
+from .session import cut_lineage
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -184,12 +186,12 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text columns that changed per property between the profiling
-    release and the scored release."""
-    a = chain.profiling_mart(spark, sf_dir)
-    b = chain.profiling_sap_mart(spark, sf_dir)
+    """What changed per property, text or heating cost, between the
+    profiling release (computed once) and the scored release."""
+    a = cut_lineage(chain.profiling_mart(spark, sf_dir))
+    b = with_sap_scores(a)
     text_cols = [f.name for f in a.schema.fields if f.dataType.simpleString() == "string"]
-    return QC.table_diff(a, b, "UPRN", text_cols)
+    return QC.table_diff(a, b, "UPRN", [*text_cols, "HeatingCost(£/yr)"])
 
 
 @register

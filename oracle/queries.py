@@ -69,7 +69,7 @@ def _table_diff_sql() -> str:
     text_cols = [
         c for c in QC.PROFILE_ORDER
         if c not in QC.PROFILE_BLANK and c not in {
-            "UPRN", "EnvironmentalImpactRating", "tCO2", "HeatingCost(£/yr)", "SAPRating", "LodgementDate", "StoreysCount",
+            "UPRN", "EnvironmentalImpactRating", "tCO2", "SAPRating", "LodgementDate", "StoreysCount",
             "FlatLevel", "OpenFireplacesCount", "Renewables", "WaterHeatingCost(£/yr)", "LightingCost(£/yr)", "TotalFloorArea",
             "FuzzyMatched",
         }
