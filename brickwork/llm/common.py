@@ -41,7 +41,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def small_side(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
     """``df`` (a written table of narrow rows) marked for broadcast if it is counted to hold at most
     ``rows`` rows; otherwise unchanged, and the join shuffles."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def key_runs(frames: Iterator, keys: list[str], least: int = 50_000) -> Iterator:
