@@ -34,6 +34,24 @@ class Stage:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_held: dict = {}
+
+
+def remembered(key, make):
+    """What ``make`` returns, kept by a Python worker until an operator asks for something else: workers outlive
+    stages, and what one operator remembers must not lie beside the next one's data."""
+    if key not in _held:
+        import gc
+
+        import pyarrow
+
+        _held.clear()
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
+        _held[key] = make()
+    return _held[key]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

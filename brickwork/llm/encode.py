@@ -9,11 +9,12 @@ given to the tokenizer whole.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 
-MEMORY = 800_000
+from brickwork.llm.common import remembered
+
+MEMORY = 700_000
 _PLAIN = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 _SPACE = re.compile(r"[^\S\n]|.\n", re.DOTALL)
 
@@ -32,13 +33,15 @@ def _byte_letters() -> dict[int, str]:
 class Words(dict):
     """Word to little-endian unsigned 32-bit ids; the first occurrence asks the tokenizer."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
+        self.memory = memory
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.marks = {m: np.array(self._model(m), "<u4").tobytes() for m in ".,;:!?"}
         self.spaced = self.tokenizer.normalizer is None  # else white space is dropped and case folded
 
     def whole(self, text: str) -> bytes:
@@ -49,15 +52,19 @@ class Words(dict):
         return [t.id for t in self.model.tokenize(token)]
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMORY:
+        if len(self) >= self.memory:
             self.clear()
         if plain := _PLAIN.fullmatch(word):
             line, letters, mark = plain.groups()
-            if self.spaced:
+            if mark:
+                found = self[line + letters] + self.marks[mark]
+            elif self.spaced:
                 ids = self._model(line) + self._model(letters) if line else self._model(" " + letters)
+                found = np.array(ids, "<u4").tobytes()
+            elif line or letters != letters.lower():
+                found = self[letters.lower()]
             else:
-                ids = self._model(letters.lower())
-            found = np.array(ids + self._model(mark) if mark else ids, "<u4").tobytes()
+                found = np.array(self._model(letters), "<u4").tobytes()
         elif not self.spaced:
             found = self.whole(word)
         elif not word or word == "\n" or _SPACE.search(word):
@@ -81,7 +88,6 @@ class Words(dict):
             return self.whole(text)
 
 
-@lru_cache(maxsize=2)
-def words(path: str) -> Words:
-    """One memory for each vocabulary and Python worker."""
-    return Words(path)
+def words(path: str, memory: int = MEMORY) -> Words:
+    """One memory a Python worker."""
+    return remembered(("words", path, memory), lambda: Words(path, memory))

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brickwork.llm.common import Stage, key_runs, small_side
+from brickwork.llm.common import Stage, key_runs, remembered, small_side
 from brickwork.llm.components import components
 
 #: Documents sampled for the order of shingles, and shingles that the order puts last.
@@ -49,8 +49,11 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
-@lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
+    return remembered("powers", _make_powers)
+
+
+def _make_powers() -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
     with np.errstate(over="ignore"):
         up, down = np.full(PIECE, _BASE), np.full(PIECE, inverse)

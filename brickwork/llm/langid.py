@@ -18,24 +18,22 @@ empty table gives no rows; columns named like the two outputs are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from brickwork.llm.common import Stage, small_side
+from brickwork.llm.common import Stage, remembered, small_side
 
 TOP, ORDERS, PER_LANG = 300, 5, 500
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Whether each code point is a letter."""
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    return remembered("letters", lambda: np.array([chr(c).isalpha() for c in range(0x110000)]))
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brickwork.llm.common import Stage, small_side
+from brickwork.llm.encode import MEMORY, words
 
 TIERS = (1024, 512, 256, 128, 64)
 #: Characters tokenized before their documents are packed together.
@@ -109,16 +110,14 @@ class Packer:
             self.pools[self.tiers[-1]] = []
 
 
-def _packed(batches: Iterator, path: str, end_id: int, tiers: tuple[int, ...]) -> Iterator:
+def _packed(batches: Iterator, path: str, end_id: int, tiers: tuple[int, ...], memory: int) -> Iterator:
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
 
-    from brickwork.llm.encode import words
-
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     schema = pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in SCHEMA.split(", "))])
-    encode, end = words(path).encode, np.array([end_id], "<u4").tobytes()
+    encode, end = words(path, memory).encode, np.array([end_id], "<u4").tobytes()
     packer = Packer(tiers, TaskContext.get().partitionId())
 
     def flush() -> pa.RecordBatch:
@@ -152,10 +151,13 @@ def pack_documents(
     end_id: int = 0,
     tiers: tuple[int, ...] = TIERS,
     step_tokens: int = 65_536,
+    memory: int = MEMORY,
 ) -> DataFrame:
-    """One row a piece: (doc_id, start, length, doc_tokens, ids, sequence_id, offset, tier, step, step_at)."""
+    """One row a piece: (doc_id, start, length, doc_tokens, ids, sequence_id, offset, tier, step, step_at).
+
+    ``memory`` is how many words a Python worker remembers; it changes the time taken only."""
     rows = docs.select(F.col(id).cast("long"), F.col(text))
-    pieces = Stage(rows.mapInArrow(lambda batches: _packed(batches, path, end_id, tiers), SCHEMA), "packing").df
+    pieces = Stage(rows.mapInArrow(lambda batches: _packed(batches, path, end_id, tiers, memory), SCHEMA), "packing").df
     made = pieces.filter("offset = 0").groupBy("part", "tier").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("n").over(Window.partitionBy("tier"))
