@@ -23,14 +23,16 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from brickwork.llm.common import remembered
+
 BLANK = "▁"
 MEMORY = 900_000
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
@@ -67,6 +69,16 @@ def a_star(ends: list[list[tuple]], ahead: list[float], n: int) -> list[tuple[fl
     return found
 
 
+class Index(dict):
+    """Word to its place; a new word is learned first."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, word: str) -> int:
+        return self.learn(word)
+
+
 class Segmenter:
     """A vocabulary, and what is known of the words met so far."""
 
@@ -86,14 +98,17 @@ class Segmenter:
             for k in range(1, len(piece)):
                 self.known.setdefault(piece[:k], None)
             self.known[piece] = (-math.log(i - first + 2), (i,))
+        self.joints = {p[k : k + 2] for p in (self.pieces[i] for i in plain) for k in range(len(p) - 1)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.spelled = [None if i in self.byte_of else p for i, p in enumerate(self.pieces)]
         self.forget()
 
-    def forget(self) -> None:
-        self.index: dict[str, int] = {}
+    def forget(self, room: int = 0) -> None:
+        """Room for so many words and parts of words; a text has at most one of each a character."""
+        self.index = Index(self.learn)
         self.ids: list[bytes] = []
-        self.best, self.loss, self.length = (np.zeros(MEMORY + 1) for _ in range(3))
+        self.best, self.loss = np.zeros(room + 1), np.zeros(room + 1)
+        self.size = np.zeros(room + 1, np.int64)
 
     def edges(self, word: str) -> Iterator[tuple[int, int, float, tuple]]:
         """(start, end, score, ids) by start."""
@@ -111,74 +126,111 @@ class Segmenter:
                 raw = word[i].encode("utf-8", "surrogatepass")
                 yield i, i + 1, self.byte_score * len(raw), tuple(self.bytes[b] for b in raw)
 
-    def forward(self, word: str) -> tuple[list[list[tuple]], list[float], list[tuple]]:
-        """Edges by end, best scores of the prefixes, and the last edges of these."""
+    def forward(self, word: str) -> tuple[list[list[tuple]], list[float]]:
+        """Edges by end, and the best scores of the prefixes."""
         n = len(word)
         ends: list[list[tuple]] = [[] for _ in range(n + 1)]
-        ahead, last = [0.0] + [-math.inf] * n, [()] * (n + 1)
+        ahead = [0.0] + [-math.inf] * n
         for i, j, score, ids in self.edges(word):
             ends[j].append((i, score, ids))
-            if ahead[i] + score > ahead[j]:
-                ahead[j], last[j] = ahead[i] + score, (i, ids)
-        return ends, ahead, last
+            ahead[j] = max(ahead[j], ahead[i] + score)
+        return ends, ahead
 
     def nbest(self, word: str, n: int) -> list[tuple[float, bytes]]:
-        ends, ahead, _ = self.forward(word)
+        ends, ahead = self.forward(word)
         return [(score, np.array([i for ids in labels for i in ids], "<u4").tobytes()) for score, labels in a_star(ends, ahead, n)]
 
+    def parts(self, word: str) -> list[str]:
+        """A word cut between any two characters that no piece has next to each other."""
+        joints, start, out = self.joints, 0, []
+        for i in range(1, len(word)):
+            if word[i - 1 : i + 1] not in joints:
+                out.append(word[start:i])
+                start = i
+        out.append(word[start:])
+        return out
+
     def learn(self, word: str) -> int:
         """Best segmentation of a word, and what the second best loses."""
+        parts = self.parts(word)
+        if len(parts) > 1:
+            at = [self.index[p] if p in self.index else self.learn_part(p) for p in parts]
+            found = b"".join([self.ids[i] for i in at]), float(self.best[at].sum()), float(self.loss[at].min())
+            return self.keep(word, *found)
+        return self.learn_part(word)
+
+    def keep(self, word: str, ids: bytes, best: float, loss: float) -> int:
         at = self.index[word] = len(self.ids)
-        ends, ahead, last = self.forward(word)
-        n, path, j = len(word), [], len(word)
-        on_path = set()
+        self.ids.append(ids)
+        self.best[at], self.loss[at], self.size[at] = best, loss, len(ids)
+        return at
+
+    def learn_part(self, word: str) -> int:
+        n, known = len(word), self.known
+        ahead, last = [0.0] + [-math.inf] * n, [None] * (n + 1)
+        edges = []
+        for i in range(n):
+            here, single = ahead[i], False
+            for j in range(i + 1, n + 1):
+                hit = known.get(word[i:j], False)
+                if hit is False:
+                    break
+                if hit is not None:
+                    single = single or j == i + 1
+                    score = here + hit[0]
+                    edges.append((i, j, hit[0]))
+                    if score > ahead[j]:
+                        ahead[j], last[j] = score, (i, hit[1])
+            if not single:
+                raw = word[i].encode("utf-8", "surrogatepass")
+                cost = self.byte_score * len(raw)
+                edges.append((i, i + 1, cost))
+                if here + cost > ahead[i + 1]:
+                    ahead[i + 1], last[i + 1] = here + cost, (i, tuple(self.bytes[b] for b in raw))
+        path, on_path, j = [], set(), n
         while j:
             i, ids = last[j]
-            on_path.add((i, j, ids))
+            on_path.add((i, j))
             path.append(ids)
             j = i
-        behind = [-math.inf] * n + [0.0]
-        second = -math.inf
-        for j in range(n, 0, -1):
-            for i, score, ids in ends[j]:
-                if behind[j] + score > behind[i]:
-                    behind[i] = behind[j] + score
-        for j in range(1, n + 1):
-            for i, score, ids in ends[j]:
-                if ahead[i] + score + behind[j] > second and (i, j, ids) not in on_path:
-                    second = ahead[i] + score + behind[j]
-        self.ids.append(np.array([i for ids in reversed(path) for i in ids], "<u4").tobytes())
-        self.best[at], self.loss[at], self.length[at] = ahead[-1], ahead[-1] - second, len(self.ids[-1]) // 4
-        return at
+        behind, second = [-math.inf] * n + [0.0], -math.inf
+        for i, j, score in reversed(edges):
+            rest = score + behind[j]
+            if rest > behind[i]:
+                behind[i] = rest
+            rest += ahead[i]
+            if rest > second and (i, j) not in on_path:
+                second = rest
+        ids = struct.pack(f"<{sum(map(len, path))}I", *(i for ids in reversed(path) for i in ids))
+        return self.keep(word, ids, ahead[n], ahead[n] - second)
 
     def segment(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a text: scores and ids."""
         words = words_of(text)
-        if len(words) > MEMORY:
-            return self.nbest(BLANK + text.replace(" ", BLANK), n)
-        if len(self.ids) + len(words) > MEMORY:
-            self.forget()
-        index, learn = self.index, self.learn
-        at = np.array([index[w] if w in index else learn(w) for w in words], np.int64)
-        ids = [self.ids[i] for i in at.tolist()]
-        whole = float(self.best[at].sum())
-        found = [(whole, b"".join(ids))]
+        if len(text) + 1 > MEMORY // 2:
+            self.forget(2 * len(text) + 2)
+        elif len(self.ids) + 2 * len(text) > len(self.best):
+            self.forget(MEMORY)
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        whole, best = float(self.best[at].sum()), b"".join(map(self.ids.__getitem__, at.tolist()))
+        found = [(whole, best)]
         loss = self.loss[at]
-        few = sorted(i for i in np.argsort(loss, kind="stable")[: n - 1].tolist() if loss[i] < math.inf)
+        few = loss.argsort(kind="stable") if len(loss) < 4 * n else np.argpartition(loss, n - 1)
+        few = sorted(i for i in few[: n - 1].tolist() if loss[i] < math.inf)
         if n == 1 or not few:
             return found
         chain: list[list[tuple]] = [[]]
-        ahead = [0.0]
-        others = {i: self.nbest(words[i], n) for i in few}
-        for k, i in enumerate(few):
-            best = others[i][0][0]
-            chain.append([(k, score - best, raw) for score, raw in others[i]])
-            ahead.append(0.0)
-        for score, raws in a_star(chain, ahead, n)[1:]:
-            changed = ids.copy()
+        spans = np.cumsum(self.size[at])
+        others = [self.nbest(words[i], n) for i in few]
+        for k, ways in enumerate(others):
+            chain.append([(k, score - ways[0][0], raw) for score, raw in ways])
+        for score, raws in a_star(chain, [0.0] * len(chain), n)[1:]:
+            changed, done = [], 0
             for i, raw in zip(few, raws, strict=True):
-                changed[i] = raw
-            found.append((whole + score, b"".join(changed)))
+                end = int(spans[i])
+                changed += [best[done : end - int(self.size[at[i]])], raw]
+                done = end
+            found.append((whole + score, b"".join([*changed, best[done:]])))
         return found
 
     def decode(self, ids: bytes) -> str:
@@ -190,10 +242,9 @@ class Segmenter:
         return b"".join(out).decode("utf-8", "surrogatepass").replace(BLANK, " ")[1:]
 
 
-@lru_cache(maxsize=1)
 def segmenter(path: str) -> Segmenter:
     """One memory a Python worker."""
-    return Segmenter(path)
+    return remembered(("pieces", path), lambda: Segmenter(path))
 
 
 def nbest(docs: DataFrame, path: str, n: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
