@@ -153,10 +153,10 @@ def best_match(
 
     Candidates come from an exact prefix-filter join, so no pair that can
     pass the threshold is missed and no cross join is formed.  Thresholds
-    at or below 50 (ratio) admit pairs with no shared bigram and are
+    below 75 admit pairs of short texts with no shared bigram and are
     refused: they need every pair.
     """
-    if threshold <= 50 or (scorer == "wratio" and threshold / 0.95 <= 50):
+    if threshold < 75:
         raise ValueError("threshold too low for an exact indexed search")
     L = left.select(F.col(left_text).alias("l_text")).filter(F.col("l_text").isNotNull()).distinct()
     R = right.select(F.col(right_text).alias("r_text")).filter(F.col("r_text").isNotNull()).distinct()

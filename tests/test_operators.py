@@ -146,3 +146,28 @@ def test_latest_is_partially_aggregated(spark):
 
     plan = _plan(Q.latest_per_key(spark, "/root/testdata/sf0.001"))
     assert "partial_min_by" in plan
+
+
+def test_best_match_equals_all_pairs_and_refuses_low_thresholds(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        match.best_match(spark.range(1).selectExpr("'abc' text"), spark.range(1).selectExpr("'axc' text"), threshold=60)
+    words = ["mill", "high", "road", "lane", "ab", "b"]
+    texts = [" ".join(words[(i * k) % 6] for k in range(1, 4)) + str(i % 5) for i in range(40)] + ["ab", "a", "b"]
+    left, right = texts[::2], texts[1::2] + ["a"]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    ratio = lambda a, b: 100 * (1 - distance(a, b) / max(len(a), len(b)))
+    order = lambda t: " ".join(sorted(t.split()))
+    got = {r.l_text: r.score for r in match.best_match(spark.createDataFrame([(t,) for t in left], "text string"), spark.createDataFrame([(t,) for t in right], "text string"), threshold=75.0).collect()}
+    for a in set(left):
+        best = max(max(ratio(a, b), 0.95 * ratio(order(a), order(b))) for b in right)
+        assert abs(got.get(a, 0) - (best if best > 75 + 1e-9 else 0)) < 1e-6, (a, best, got.get(a))
