@@ -1,7 +1,9 @@
 """Licence recognition by sentence rules.
 
 A text is cut into sentences, each is normalised (case, white space, comment marks, quotes, years, spelling of
-"license"), and those that a known licence sentence matches become its identifier.  A document's identifiers,
+"license"), and those that a known licence sentence matches become its identifier.  Sentences run on over
+wrapped lines, without the comment marks of each line; they end at punctuation, at a blank line, around a
+copyright notice or SPDX line, and before a line that names a licence by itself after one that did.  A document's identifiers,
 in order, are then matched against the licence rules: from left to right, the first rule in the list that
 fits the identifiers at that place names a licence and takes them; identifiers between, which no rule fits, are
 passed over.  A sentence with a licence word that matches no known sentence is counted as unknown.
@@ -17,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Texts without any of these hold no licence sentence.
-HINT = "(?i)licen[cs]e|copyright|permission|warrant|redistribut|spdx|all rights reserved|public domain|free software|as is|contributors"
+#: Texts without any of these hold no licence sentence: every pattern of SENTENCES and ABOUT needs one.  No hint
+#: holds a blank, as any blank may be a line end.
+HINT = r"(?i)licen[cs]e|copyright|\(c\)|©|permission|warrant|redistribut|reserved|\bcc0\b|domain|applicable|\bhope\b|endorse"
 
 #: Known licence sentences, as patterns over a normalised sentence; the first that matches counts.  Fixed values.
 SENTENCES = [
@@ -92,17 +95,24 @@ RULES = [
 #: A sentence with one of these that is not known counts as unknown.
 ABOUT = r"\blicense[ds]?\b|\bcopyright\b|\bwarrant(y|ies)\b|\bredistribut"
 UNKNOWN = "Unknown"
-_END = r"([.!?;])[ \t]+"
-_MARKS = r"^[\s/*#%;>\-\"']+|[\s*\"']+$"
-
-
-def normalise(sentence: Column) -> Column:
-    """A sentence in the form that the patterns are written for."""
-    plain = F.regexp_replace(F.lower(sentence), _MARKS, "")
-    plain = F.regexp_replace(plain, r"[\"'“”‘’`]", "")
+_LEAD = r"[\s/*#%;>|!\-]"
+#: Not after "v." and not between "Foundation;" and "either version 2".
+_END = rf"(?i)((?<!\bv)\.|[!?]|;(?!{_LEAD}+(?:either{_LEAD}+)?version\b))[ \t]+"
+_QUOTES = "\"'“”‘’`"
+_MARKS = r"^(<!--|[\s/*#%;>|!\-\"'])+|(?<![\s*#|\"'])[\s*#|\"']+$"
+#: A copyright notice at the start of a line, not a wrapped line of a sentence about copyright.
+_NOTICE = r"(?:copyright|\(c\)|©)(?![,.;:]| (?:notice|holder|owner|law|license|statement|protection|interest|and|or|in|is|are|to|of|as|which|that|for|on)s?\b)"
+_ALONE = "|".join(f"(?:{'^' + _NOTICE if name == 'Copyright' else pattern})" for name, pattern in SENTENCES)
+#: Marks of a line that is known by itself, and of the end of a sentence.
+_KNOWN, _STOP = "\x01", "\x02"
+
+
+def normalise(line: Column) -> Column:
+    """A line or sentence in the form that the patterns are written for."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(line), r"\s+", " "), _MARKS, "")
+    plain = F.translate(plain, _QUOTES, "")
     plain = F.regexp_replace(plain, "licence", "license")
-    plain = F.regexp_replace(plain, r"\b(19|20)[0-9][0-9]\b", "<year>")
-    return F.regexp_replace(plain, r"\s+", " ")
+    return F.regexp_replace(plain, r"\b(19|20)[0-9][0-9]\b", "<year>")
 
 
 def identifier(sentence: Column) -> Column:
@@ -112,17 +122,25 @@ def identifier(sentence: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Sentences that may be about licences."""
-    cut = F.split(F.regexp_replace(text, _END, "$1\n"), r"[\r\n]+")
-    return F.filter(cut, lambda s: s.rlike(HINT))
+    """Normalised sentences that may be about licences."""
+    cut = F.regexp_replace(F.translate(text, _KNOWN + _STOP, "  "), _END, "$1\n")
+    lines = F.transform(F.split(cut, r"\r\n?|\n"), normalise)
+    whole = F.array_join(F.transform(lines, lambda s: F.when(s.rlike(HINT) & s.rlike(_ALONE), F.concat(F.lit(_KNOWN), s)).otherwise(s)), "\n")
+    whole = F.regexp_replace(whole, r"\n{2,}|(?<=[.!?:]|[.!?;:]\))\n|(?<=;)\n(?!(?:either\s)?version\b)", _STOP)
+    whole = F.regexp_replace(whole, rf"\n(?={_KNOWN}?(?:{_NOTICE}|spdx-))", _STOP)
+    whole = F.regexp_replace(whole, rf"(?<![^{_STOP}])({_KNOWN}?(?:{_NOTICE}|spdx-)[^\n{_STOP}]*+)\n", "$1" + _STOP)
+    whole = F.regexp_replace(whole, rf"({_KNOWN}[^{_KNOWN}{_STOP}]*+)(?={_KNOWN})", "$1" + _STOP)
+    whole = F.regexp_replace(F.translate(whole, _KNOWN, ""), r"-\n", "-")
+    joined = F.transform(F.split(whole, _STOP), lambda s: F.btrim(F.translate(s, "\n", " ")))
+    return F.filter(joined, lambda s: s.rlike(HINT))
 
 
 def recognise(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, identifiers, licences, n_unknown) of each row."""
-    named = F.filter(F.transform(sentences(F.col("_text")), lambda s: identifier(normalise(s))), lambda s: s.isNotNull())
+    named = F.filter(F.transform(sentences(F.col("_text")), identifier), lambda s: s.isNotNull())
     none = F.array().cast("array<string>")
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("_text"))
-    rows = rows.select("doc_id", F.when(F.col("_text").rlike(HINT), named).otherwise(none).alias("found"))
+    rows = rows.select("doc_id", F.when(F.translate("_text", _QUOTES, "").rlike(HINT), named).otherwise(none).alias("found"))
     rows = rows.select(
         "doc_id",
         F.coalesce(F.filter("found", lambda s: s != UNKNOWN), none).alias("identifiers"),

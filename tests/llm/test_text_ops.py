@@ -73,6 +73,103 @@ def test_licence_rules(spark):
     assert licences.recognise(frame.limit(0)).count() == 0
 
 
+BSD = """Copyright (c) 2020, Foo
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+* Redistributions of source code must retain the above
+  copyright notice, this list of conditions and the following disclaimer.
+* Redistributions in binary form must reproduce the above copyright
+  notice, this list of conditions.
+* Neither the name of the copyright holder nor the names of its
+  contributors may be used to endorse or promote products derived from
+  this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND
+CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} either version {2} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will
+be useful, but WITHOUT ANY WARRANTY.
+
+You should have received a copy of the GNU General
+Public License along with this program."""
+APACHE = """Copyright 2020 Foo
+Licensed under the Apache License,
+Version 2.0 (the "License"); you may not use this
+file except in compliance with the License.
+You may obtain a copy of the License
+at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or
+agreed to in writing, software is distributed on an "AS IS" BASIS."""
+
+
+def commented(text, mark):
+    return "\r\n".join(mark + line for line in text.split("\n"))
+
+
+def test_licence_sentences_over_wrapped_lines(spark):
+    bsd2 = BSD[: BSD.index("* Neither")] + BSD[BSD.index("THIS SOFTWARE") :]
+    cases = [
+        (BSD, "Copyright RightsReserved BsdGrant BsdSource BsdBinary BsdNames BsdAsIs", ["All rights reserved", "BSD-3-Clause"]),
+        (bsd2, "Copyright RightsReserved BsdGrant BsdSource BsdBinary BsdAsIs", ["All rights reserved", "BSD-2-Clause"]),
+        (GPL.format(":", ",", 3), "Gpl3Ref GplHope GplCopy", ["GPL-3.0"]),
+        (GPL.format(";", ";", 2), "Gpl2Ref GplHope GplCopy", ["GPL-2.0"]),
+        (APACHE, "Copyright ApacheRef ApacheUse ApacheCopy ApacheAsIs", ["Apache-2.0"]),
+    ]
+    cases = [(commented(t, m), ids, names) for t, ids, names in cases for m in ("", " * ", "// ", "# ", "-- ")] + [
+        ("This work is released under CC0 1.0.", "Cc0", ["CC0-1.0"]),
+        ("This program is distributed in the hope that it will be useful.", "GplHope", []),
+        ("(c) 2020 Foo", "Copyright", []),
+        ("SPDX-License-Identifier: MIT\nSPDX-License-Identifier: GPL-2.0\nfoo", "SpdxMit SpdxGpl2", ["MIT", "GPL-2.0"]),
+        ("- Licensed under the MIT License\n- or at your option\n- Licensed under CC BY 4.0", "MitRef CcBy", ["MIT", "CC-BY"]),
+        ("text without an end\nCopyright 2020 Foo\nmore text", "Copyright", []),
+        ("Subject to the terms of the Mozilla Public License, v. 2.0", "Mpl2Ref", ["MPL-2.0"]),
+        ("Licensed under CC BY-\nSA 4.0", "CcBySa", ["CC-BY-SA"]),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (" ".join(r.identifiers), list(r.licences)) for r in licences.recognise(frame).collect()}
+    for i, (text, ids, names) in enumerate(cases):
+        assert got[i] == (ids, names), text
+
+
+def test_every_licence_pattern_needs_a_hint():
+    """All choices of the patterns' branches and options hold a hint, also with a line end for each blank."""
+    import itertools
+    import re
+    from re import _constants as c
+    from re import _parser
+
+    def spelled(tree):
+        parts = []
+        for op, arg in tree:
+            if op is c.LITERAL:
+                parts.append([chr(arg)])
+            elif op is c.IN:
+                parts.append([chr(x) for kind, x in arg if kind is c.LITERAL])
+            elif op is c.BRANCH:
+                parts.append([x for branch in arg[1] for x in spelled(branch)])
+            elif op is c.SUBPATTERN:
+                parts.append(spelled(arg[3]))
+            elif op is c.MAX_REPEAT:
+                parts.append([x * arg[0] for x in spelled(arg[2])] + [x * (arg[0] + 1) for x in spelled(arg[2])])
+            else:
+                assert op in (c.ANY, c.AT), op
+                parts.append(["x" if op is c.ANY else ""])
+        return ["".join(x) for x in itertools.product(*parts)]
+
+    for pattern in [p for _, p in licences.SENTENCES] + [licences.ABOUT]:
+        for text in spelled(_parser.parse(pattern)):
+            assert re.search(licences.HINT, text.replace(" ", "\n")), text
+
+
 def test_pipeline_stages_against_brute_force(spark):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["language ID", "line dedup", "n-gram Jaccard join", "packing"]
