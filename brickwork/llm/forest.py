@@ -5,7 +5,9 @@ string of up to 63 bits, of which near vectors share a long prefix.  A tree is t
 strings, dealt in buckets of equal first bits.  A query descends in all trees at once: two binary
 searches give the rows that share its first l bits, for each l.  Then all trees ascend in step, from
 long prefixes to short, until together they hold ``share`` of the rows and at least ``least``; the rows
-below that level are the candidates, and their inner products are taken in double precision.
+below that level are the candidates, and their inner products are taken in double precision.  Above its own
+bucket a query meets the buckets beside it that share its bits; it meets all rows, in one tree, only where that
+is no more work.  The queries of a bucket are dealt in blocks, its rows in chunks, and every two of them meet.
 
 Inner product becomes nearness by one more coordinate that lengthens all vectors of a band of norms to the
 largest norm there.  Equal vectors are one class: it is searched once, and only its k + 1 smallest ids
@@ -34,6 +36,9 @@ TREES, SEED = 48, 7
 SHARE, LEAST = 0.25, 2_000
 #: Rows of a bucket, or of a chunk of a bucket.
 BUCKET = 65_536
+#: Queries of a block, and products held at once.
+ASKED, PRODUCTS = 8_192, 1 << 22
+KEY = ["tree", "bucket", "chunk", "block"]
 LEVELS = 32
 
 
@@ -96,10 +101,9 @@ def _hash(batches: Iterator, dim: int, trees: int, longest: dict[int, float]) ->
 
 
 def _runs(frames: Iterator) -> Iterator:
-    """For each (tree, bucket, chunk): rows of candidates sorted by string, and rows of queries."""
-    key = ["tree", "bucket", "chunk"]
-    for frame in key_runs(frames, key, 1):
-        k = frame[key].to_numpy()
+    """For each (tree, bucket, chunk, block): rows of candidates sorted by string, and rows of queries."""
+    for frame in key_runs(frames, KEY, 1):
+        k = frame[KEY].to_numpy()
         bounds = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(frame)]
         for a, b in zip(bounds, bounds[1:]):
             part = frame.iloc[a:b]
@@ -148,15 +152,17 @@ def _score(frames: Iterator, width: int, k: int) -> Iterator:
         for s, (a, b) in enumerate(spans.T.tolist()):
             if a == b:
                 continue
-            mine = np.flatnonzero(of == s)
-            rough = asked[mine] @ vectors[a:b].T
-            # a few more than k: the last bits of a matrix product depend on its shape
-            keep = min(k + 4, b - a)
-            near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-            for q, row in zip(mine.tolist(), near):
-                exact = (vectors[a + row] * asked[q]).sum(axis=1)
-                order = np.lexsort((ids[a + row], -exact))[:k]
-                found.append((np.full(len(order), qids[q]), ids[a + row[order]], exact[order]))
+            every = np.flatnonzero(of == s)
+            step = max(1, PRODUCTS // (b - a))
+            for mine in (every[i : i + step] for i in range(0, len(every), step)):
+                rough = asked[mine] @ vectors[a:b].T
+                # a few more than k: the last bits of a matrix product depend on its shape
+                keep = min(k + 4, b - a)
+                near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
+                for q, row in zip(mine.tolist(), near):
+                    exact = (vectors[a + row] * asked[q]).sum(axis=1)
+                    order = np.lexsort((ids[a + row], -exact))[:k]
+                    found.append((np.full(len(order), qids[q]), ids[a + row[order]], exact[order]))
         if found:
             yield pd.DataFrame({"query": np.concatenate([f[0] for f in found]), "id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found])})
 
@@ -167,6 +173,46 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def meet(held: DataFrame, asks: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows and queries by ``KEY``: each chunk of a bucket with each block of the queries that ask it."""
+    blocks = F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("blocks")
+    blocks = small_side(Stage(asks.groupBy("tree", "bucket").agg(blocks), "forest-blocks").df)
+    sides = [
+        held.join(blocks, ["tree", "bucket"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("asks", F.lit(False)),
+        asks.join(blocks, ["tree", "bucket"]).join(sizes.select("tree", "bucket", "chunks"), ["tree", "bucket"])
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn("asks", F.lit(True)),
+    ]
+    columns = [*KEY, "asks", *[c for c in asks.columns if c not in KEY]]
+    rows, queries = (side.select(*columns) for side in sides)
+    return rows.unionByName(queries).repartition(*KEY).sortWithinPartitions(*KEY)
+
+
+def above(sizes: DataFrame, asking: DataFrame, first: int) -> DataFrame:
+    """For each (tree, bucket), how many rows share its first bits, by the numbers of bits below ``first``."""
+    buckets = sizes.select("tree", "bucket", "n").unionByName(asking.select("tree", "bucket", F.lit(0).cast("long").alias("n")).distinct())
+    buckets = buckets.groupBy("tree", "bucket").agg(F.sum("n").alias("n"))
+    shared = [F.sum("n").over(Window.partitionBy("tree", F.shiftright("bucket", first - i))).alias(f"c{i}") for i in range(1, first)]
+    return buckets.select("tree", "bucket", *shared)
+
+
+def asked_buckets(asking: DataFrame, levels: DataFrame, sizes: DataFrame, first: int, trees: int) -> DataFrame:
+    """(tree, bucket, hash, id, vector, level) of the buckets that each query asks from its level on."""
+    columns = ["tree", "bucket", "hash", "id", "vector", "level"]
+    level = asking.select("id").distinct().join(levels, "id", "left").select("id", F.coalesce("level", F.lit(0)).alias("level"))
+    own = asking.join(level.filter(F.col("level") >= max(first, 1)), "id").select(*columns)
+    # at level 0 all rows, in the first tree of each band
+    first_trees = sizes.filter(F.pmod("tree", F.lit(trees)) == 0).select("tree", "bucket")
+    found = own.unionByName(asking.join(level.filter("level = 0"), "id").filter("t = 0").drop("bucket").join(first_trees, "tree").select(*columns))
+    if first < 2:
+        return found
+    prefix = F.expr(f"shiftright(bucket, {first} - level)").alias("prefix")
+    beside = sizes.select("tree", "bucket", F.explode(F.sequence(F.lit(1), F.lit(first - 1))).alias("level")).select("tree", "bucket", "level", prefix)
+    beside = small_side(Stage(beside, "forest-beside").df)
+    climbing = asking.join(level.filter((F.col("level") > 0) & (F.col("level") < first)), "id").select("tree", "hash", "id", "vector", "level", prefix)
+    return found.unionByName(climbing.join(beside, ["tree", "level", "prefix"]).select(*columns))
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -209,30 +255,31 @@ def nearest(
 
     bucket = F.shiftrightunsigned("hash", width - first).alias("bucket") if first else F.lit(0).cast("long").alias("bucket")
     held = hashed.select("id", "band", "vector", F.posexplode("own").alias("t", "hash")).select("id", (F.col("band") * trees + F.col("t")).alias("tree"), bucket, "hash", "vector")
-    sizes = Stage(held.groupBy("tree", "bucket").agg(F.ceil(F.count(F.lit(1)) / BUCKET).cast("int").alias("chunks")), "forest-buckets").df
+    sizes = held.groupBy("tree", "bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", F.ceil(F.col("n") / BUCKET).cast("int"))
+    sizes = small_side(Stage(sizes, "forest-buckets").df)
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk")
-    held = held.join(small_side(sizes), ["tree", "bucket"]).select("tree", "bucket", chunk, "hash", "id", "vector")
+    held = held.join(sizes, ["tree", "bucket"]).select("tree", "bucket", chunk, "hash", "id", "vector")
     asking = hashed.join(queries.select("h1", "h2").distinct().join(classes.select("id", "h1", "h2"), ["h1", "h2"]).select("id"), "id", "left_semi")
     asking = asking.select("id", "vector", "asked", F.explode(F.array(*[F.lit(b) for b in sorted(bands)])).alias("band"))
     asking = Stage(asking.select("id", "vector", F.col("band"), F.posexplode("asked").alias("t", "hash")).select("id", "vector", (F.col("band") * trees + F.col("t")).alias("tree"), "t", bucket, "hash"), "forest-queries").df
-    chunks = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
-    routed = asking.join(small_side(sizes), ["tree", "bucket"]).select("tree", "bucket", chunks, "hash", "id", "vector")
-
-    key = ["tree", "bucket", "chunk"]
-    light = held.drop("vector").withColumn("asks", F.lit(False)).unionByName(routed.drop("vector").withColumn("asks", F.lit(True)))
-    counts = light.repartition(*key).sortWithinPartitions(*key).mapInPandas(lambda f: _descend(f, width, first, last), "id bigint, " + ", ".join(f"c{i} bigint" for i in range(last + 1)))
-    counts = counts.groupBy("id").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(max(first, 1), last + 1)])
-    reached = F.coalesce(*[F.when(F.col(f"c{i}") >= wanted, i) for i in range(last, max(first, 1) - 1, -1)], F.lit(0))
-    levels = Stage(counts.select("id", reached.alias("level")), "forest-levels").df
 
-    # a query that ascends above its buckets asks all rows, in the first tree of each band
-    below = asking.select("id").distinct().join(levels, "id", "left").select("id", F.coalesce("level", F.lit(0)).alias("level"))
-    partial = routed.join(below.filter("level > 0"), "id")
-    first_trees = sizes.filter(F.pmod("tree", F.lit(trees)) == 0).select("tree", "bucket", chunks)
-    whole = asking.join(below.filter("level = 0"), "id").filter("t = 0").drop("bucket").join(first_trees, "tree").select("tree", "bucket", "chunk", "hash", "id", "vector", "level")
-    asks = partial.select(*key, "hash", "id", "vector", "level").unionByName(whole).withColumn("asks", F.lit(True))
-    full = held.withColumn("level", F.lit(0)).withColumn("asks", F.lit(False)).unionByName(asks)
-    near = full.repartition(*key).sortWithinPartitions(*key).mapInPandas(lambda f: _score(f, width, k + 1), "query bigint, id bigint, score double")
+    light = meet(held.drop("vector"), asking.select("tree", "bucket", "hash", "id"), sizes)
+    counts = light.mapInPandas(lambda f: _descend(f, width, first, last), "id bigint, " + ", ".join(f"c{i} bigint" for i in range(last + 1))).drop("c0")
+    if first > 1:
+        shared = small_side(Stage(above(sizes, asking, first), "forest-above").df)
+        shared = asking.select("id", "tree", "bucket").join(shared, ["tree", "bucket"])
+        counts = counts.unionByName(shared.select("id", *[f"c{i}" if i < first else F.lit(0).cast("long").alias(f"c{i}") for i in range(1, last + 1)]))
+    counts = counts.groupBy("id").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(1, last + 1)])
+
+    def place_at(i: int) -> Column:
+        """Level i, or 0 where its buckets hold more rows than one tree."""
+        return F.when(F.col(f"c{i}") < n, i).otherwise(0) if i < first else F.lit(i)
+
+    reached = F.coalesce(*[F.when(F.col(f"c{i}") >= wanted, place_at(i)) for i in range(last, 0, -1)], F.lit(0))
+    levels = Stage(counts.select("id", reached.alias("level")), "forest-levels").df
+    asks = asked_buckets(asking, levels, sizes, first, trees)
+    full = meet(held.withColumn("level", F.lit(0)), asks, sizes)
+    near = full.mapInPandas(lambda f: _score(f, width, k + 1), "query bigint, id bigint, score double")
     best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     near = near.groupBy("query", "id").agg(F.max("score").alias("score")).withColumn("r", best).filter(F.col("r") <= k + 1)
 

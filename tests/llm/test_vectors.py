@@ -60,6 +60,52 @@ def test_forest_buckets_and_chunks(spark, monkeypatch):
     assert hits >= 0.8 * 5 * 15
 
 
+def test_forest_ascends_through_buckets_beside(spark, monkeypatch):
+    """A query that needs more rows than its own buckets hold meets those that share its bits, not all rows."""
+    monkeypatch.setattr(forest, "BUCKET", 16)
+    monkeypatch.setattr(forest, "ASKED", 8)
+    met = []
+    inner = forest.meet
+    monkeypatch.setattr(forest, "meet", lambda held, asks, sizes: met.append((held, asks, inner(held, asks, sizes))) or met[-1][2])
+    vectors = np.random.default_rng(5).normal(size=(3000, 6))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    wanted = 1200
+    found = forest.nearest(frame, F.col("id") % 60 == 0, k=5, trees=12, share=wanted / 3000, least=0).collect()
+    held, asks, dealt = met[1]
+    sizes = held.groupBy("tree", "bucket").count()
+    per_query = asks.filter("level > 0").join(sizes, ["tree", "bucket"]).groupBy("id", "level").sum("count").collect()
+    assert len(per_query) >= 40
+    assert {r.level for r in per_query} & set(range(1, 7))
+    assert all(wanted <= r[2] < 3000 for r in per_query)
+    assert dealt.filter("asks").groupBy(*forest.KEY).count().agg(F.max("count")).first()[0] <= 3 * forest.ASKED
+    hits = 0
+    for q in range(0, 3000, 60):
+        got = [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q]
+        assert len(got) == 5
+        hits += len({i for i, _ in got} & {i for i, _ in exact(vectors, list(range(3000)), q, 5)})
+    assert hits >= 0.8 * 5 * 50
+
+
+def test_forest_scores_in_bounded_slices():
+    """Many queries of one span: no matrix of all their products."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(9000, 4))
+    frame = pd.DataFrame({"tree": 0, "bucket": 0, "chunk": 0, "block": 0, "hash": 5, "id": range(9000), "vector": [v.tobytes() for v in vectors], "level": 1, "asks": [i < 4000 for i in range(9000)]})
+    tracemalloc.start()
+    (found,) = forest._score(iter([frame]), 63, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # 4000 by 5000 doubles are 160e6
+    best = np.argsort(-(vectors[:4000] @ vectors[4000:].T), axis=1)[:, :3] + 4000
+    assert (found["id"].to_numpy().reshape(4000, 3) == best).all()
+
+
 def test_forest_copies_ties_and_few_rows(spark):
     rows = [(i, [1.0, 0.0]) for i in range(0, 120, 2)] + [(1, [0.5, 0.5]), (3, [0.0, 2.0])]
     found = forest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 20 == 0, k=4).collect()
