@@ -144,6 +144,7 @@ def _score(frames: Iterator, width: int, k: int) -> Iterator:
             continue
         ids, vectors = have["id"].to_numpy(), np.stack([np.frombuffer(v, np.float64) for v in have["vector"]])
         asked = np.stack([np.frombuffer(v, np.float64) for v in asks["vector"]])
+        long = np.linalg.norm(vectors, axis=1)
         low, high = _range(have["hash"].to_numpy(), asks["hash"].to_numpy(), asks["level"].to_numpy(), width)
         spans, of = np.unique(np.stack([low, high]), axis=1, return_inverse=True)
         of = of.ravel()
@@ -156,10 +157,10 @@ def _score(frames: Iterator, width: int, k: int) -> Iterator:
             step = max(1, PRODUCTS // (b - a))
             for mine in (every[i : i + step] for i in range(0, len(every), step)):
                 rough = asked[mine] @ vectors[a:b].T
-                # a few more than k: the last bits of a matrix product depend on its shape
-                keep = min(k + 4, b - a)
-                near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-                for q, row in zip(mine.tolist(), near):
+                # all that may be among the k best or tie with them: the last bits of a matrix product depend on its shape
+                margin = 4 * asked.shape[1] * np.finfo(float).eps * long[a:b].max() * np.linalg.norm(asked[mine], axis=1)
+                least = np.partition(rough, max(b - a - k, 0), axis=1)[:, max(b - a - k, 0)] - margin
+                for q, row in zip(mine.tolist(), (np.flatnonzero(r >= x) for r, x in zip(rough, least))):
                     exact = (vectors[a + row] * asked[q]).sum(axis=1)
                     order = np.lexsort((ids[a + row], -exact))[:k]
                     found.append((np.full(len(order), qids[q]), ids[a + row[order]], exact[order]))

@@ -106,6 +106,17 @@ def test_forest_scores_in_bounded_slices():
     assert (found["id"].to_numpy().reshape(4000, 3) == best).all()
 
 
+def test_forest_ties_of_different_vectors(spark):
+    """Binary vectors: hundreds of different ones at the same score, of which the smallest ids count."""
+    rng = np.random.default_rng(8)
+    vectors = np.unique(np.concatenate([np.ones((600, 1)), rng.integers(0, 2, (600, 16))], axis=1), axis=0)[::-1]
+    vectors = np.concatenate([np.eye(17)[:1], rng.permutation(vectors)])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    found = forest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") == 0, k=6).collect()
+    got = [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])]
+    assert got == [(i, 1.0) for i in range(1, 7)]
+
+
 def test_forest_copies_ties_and_few_rows(spark):
     rows = [(i, [1.0, 0.0]) for i in range(0, 120, 2)] + [(1, [0.5, 0.5]), (3, [0.0, 2.0])]
     found = forest.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") % 20 == 0, k=4).collect()
