@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, licences, lines, nbest, oracle_licences, packing, rans, segments
+from brickwork.llm import chat, forest, jaccard, langid, licences, lines, merkle, nbest, oracle_licences, oracle_merkle, packing, rans, segments
 from brickwork.llm.common import read
 
 
@@ -81,6 +81,18 @@ def op10_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read(spark, sf_dir, "documents"), words=3, num=9, den=10)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Merkle manifest of all documents; every document's proof is folded, for a fifth with a tampered leaf."""
+    docs = read(spark, sf_dir, "documents")
+    about = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(chosen, merkle.leaf_digest(*about, lines.ascii_lower(F.col("text"))))
+    manifest = merkle.build(docs, merkle.leaf_digest(*about, F.col("text")), tampered=tampered)
+    found = manifest.proofs(F.coalesce("tampered", "digest"))
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return found.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", verified)
+
+
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
@@ -92,6 +104,7 @@ REGISTRY = {
     "op8_rans_blocks": op8_rans_blocks,
     "op9_line_runs": op9_line_runs,
     "op10_divide_skip": op10_divide_skip,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -131,6 +144,7 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS
 FROM marked GROUP BY doc_id
 """,
     "op6_sentence_rules": oracle_licences.SQL,
+    "op11_merkle_manifest": oracle_merkle.SQL,
     "op7_segment_bounds": """
 WITH usable AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
