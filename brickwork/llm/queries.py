@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, licences, lines, merkle, nbest, oracle_licences, oracle_merkle, packing, rans, segments
+from brickwork.llm import chat, forest, jaccard, langid, licences, lines, merkle, nbest, oracle_licences, oracle_merkle, packing, periods, rans, segments
 from brickwork.llm.common import read
 
 
@@ -93,6 +93,27 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", verified)
 
 
+def _planted(doc_id: Column, text: Column) -> Column:
+    """A tenth of the texts, chosen by the id, repeat a stretch of words from some word on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(held: Column) -> Column:
+        ws, g = held["ws"], held["g"]
+        a = g % F.size(ws)
+        p = 1 + F.floor((F.size(ws) - a) / (3 + g % 8))
+        return F.array_join(F.transform(ws, lambda w, i: F.when(i < a, w).otherwise(F.get(ws, (a + (i - a) % p).cast("int")))), " ")
+
+    held = F.array(F.struct(words.alias("ws"), F.floor(h / 10).alias("g")))
+    return F.when((h % 10 == 0) & F.rlike(text, F.lit(r"[^\x20\x09-\x0D]")), F.get(F.transform(held, repeated), F.lit(0))).otherwise(text)
+
+
+def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents; a tenth of them has a planted period."""
+    docs = read(spark, sf_dir, "documents")
+    return periods.periodic_runs(docs, _planted(F.col("doc_id"), F.col("text")), keep=["doc_id"])
+
+
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
@@ -105,6 +126,7 @@ REGISTRY = {
     "op9_line_runs": op9_line_runs,
     "op10_divide_skip": op10_divide_skip,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_synchronising_runs": op12_synchronising_runs,
 }
 
 ORACLE_SQL = {
