@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickwork.llm import chat, forest, jaccard, langid, licences, lines, merkle, nbest, oracle_licences, oracle_merkle, packing, periods, rans, segments
+from brickwork.llm import chat, forest, improbable, jaccard, langid, licences, lines, merkle, nbest, oracle_licences, oracle_merkle, packing, periods, rans, segments
 from brickwork.llm.common import read
 
 
@@ -114,6 +114,18 @@ def op12_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.periodic_runs(docs, _planted(F.col("doc_id"), F.col("text")), keep=["doc_id"])
 
 
+def _edited(text: str, following: str) -> str:
+    """The last third replaced by the start of the following text."""
+    third = len(text) // 3
+    return text[: len(text) - third] + following[:third]
+
+
+def op13_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, compared with each other and with the next document's."""
+    docs = read(spark, sf_dir, "documents")
+    return improbable.compare_next(docs, improbable.learn(docs), _edited).withColumnRenamed("id", "doc_id")
+
+
 REGISTRY = {
     "op1_chat_trees": op1_chat_trees,
     "op2_tier_packing": op2_tier_packing,
@@ -127,6 +139,7 @@ REGISTRY = {
     "op10_divide_skip": op10_divide_skip,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_synchronising_runs": op12_synchronising_runs,
+    "op13_improbable_features": op13_improbable_features,
 }
 
 ORACLE_SQL = {
