@@ -49,12 +49,14 @@ def words_of(text: str) -> list[str]:
 
 def a_star(ends: list[list[tuple]], ahead: list[float], n: int) -> list[tuple[float, list]]:
     """The n best paths from place 0 to the last, backward; ``ends[j]`` has (place, score, label) of the
-    edges into j, ``ahead`` the best scores from 0."""
+    edges into j, ``ahead`` the best scores from 0.  Of equal costs the place nearest to 0 goes on; a place is left at
+    most n times, as its first n visits hold the n best ways behind it."""
     found: list[tuple[float, list]] = []
-    heap = [(-ahead[-1], 0, len(ahead) - 1, 0.0, None)]
+    heap = [(-ahead[-1], len(ahead) - 1, 0, 0.0, None)]
+    visits = [0] * len(ahead)
     made = 0
     while heap and len(found) < n:
-        cost, _, at, behind, path = heapq.heappop(heap)
+        cost, at, _, behind, path = heapq.heappop(heap)
         if at == 0:
             labels = []
             while path:
@@ -62,10 +64,13 @@ def a_star(ends: list[list[tuple]], ahead: list[float], n: int) -> list[tuple[fl
                 path = path[1]
             found.append((-cost, labels))
             continue
+        visits[at] += 1
+        if visits[at] > n:
+            continue
         for start, score, label in ends[at]:
-            if ahead[start] > -math.inf:
+            if ahead[start] > -math.inf and visits[start] < n:
                 made += 1
-                heapq.heappush(heap, (-(ahead[start] + score + behind), made, start, score + behind, (label, path)))
+                heapq.heappush(heap, (-(ahead[start] + score + behind), start, made, score + behind, (label, path)))
     return found
 
 

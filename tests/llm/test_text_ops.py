@@ -26,6 +26,23 @@ def all_segmentations(s, text):
     return sorted(go(0, 0.0, ()), key=lambda x: -x[0])
 
 
+@pytest.mark.parametrize("text", ["x" * 1000, "x" * 100_000, "ab" * 20_000, "-" * 100_000, "é" * 20_000, "a" * 500 + " " + "a" * 500])
+def test_ties_end_soon(text):
+    """Equal characters have very many segmentations of equal score."""
+    s = nbest.Segmenter(PATH)
+    found = s.segment(text, 4)
+    assert 1 < len(found) <= 4 and all(s.decode(ids) == text for _, ids in found)
+    assert [x for x, _ in found] == sorted((x for x, _ in found), reverse=True)
+    assert len({ids for _, ids in found}) == len(found)
+
+
+@pytest.mark.parametrize("text", ["x" * 12, "aaaa aaaa", "-" * 9, "xxxxxx ababab"])
+def test_ties_match_all_segmentations(text):
+    s = nbest.Segmenter(PATH)
+    want = [x for x, _ in all_segmentations(s, text)[:6]]
+    assert [x for x, _ in s.segment(text, 6)] == pytest.approx(want)
+
+
 @pytest.mark.parametrize("text", ["ab cd", "the other", " a  b", "a\nb", "a\n\nb c", "é𝔘 x", "  ", "hello", "\n", "x▁y", "a b c d e f"])
 def test_nbest_matches_all_segmentations(text):
     s = nbest.segmenter(PATH)
