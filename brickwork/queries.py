@@ -295,3 +295,28 @@ def segment_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.floor(F.col("event_id") / 1000)
     landed = e.filter(page % 5 != 3).groupBy("event_type", (page * 1000).alias("offset")).agg(F.least(F.lit(1000), 4 * F.count(F.lit(1))).alias("rows"))
     return page_audit(landed.unionByName(landed.filter("offset % 7000 = 0")), ["event_type"], "offset", "rows")
+
+
+@register
+def sliced_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + S8: domestic certificates landed as pages by authority and year, loaded in two runs (the second one loads
+    the years after 1995 and the one open before), read back without the last year and summed up by slice."""
+    from .session import scratch_path
+    from .sources import slices
+    from .sources.derived import load_feed
+
+    raw = load_feed(spark, sf_dir, "domestic_raw")
+    at = F.when(F.col("posttown").isin("cowes", "ryde"), "E06000046").otherwise("E06000011")
+    page = F.floor(F.col("`lmk-key`").cast("long") / 1000)
+    where = raw.withColumns({"authority": at, "year": F.year("lodgement-date"), "page": page})
+    body = F.to_json(F.struct(F.collect_list(F.struct(*[f"`{c}`" for c in raw.columns])).alias("rows"))).alias("value")
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "certificates")
+    where.groupBy("authority", "year", "page").agg(body).drop("page").write.partitionBy("authority", "year").text(landing)
+    for last in (1995, 1998):
+        plan = slices.slice_plan(spark, ["E06000046", "E06000011"], 1992, last)
+        slices.sync(spark, landing, raw.schema, target, plan, page_per_file=False)
+    table = slices.read_slices(spark, target, raw.schema, last_year=1997)
+    area = F.col("`total-floor-area`").cast("double")
+    return table.groupBy("authority", "year").agg(
+        F.count(F.lit(1)).alias("certificates"), F.min("lmk-key").alias("first_key"), F.max("lmk-key").alias("last_key"), F.sum(area).alias("floor_area")
+    )

@@ -7,6 +7,7 @@ the caller owns.  ``local_session`` is only for tests and ``bench.py``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir"))
         return df.checkpoint(eager=True)
     return df
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint directory, for tables that a query writes on its way."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

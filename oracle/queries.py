@@ -236,6 +236,12 @@ def build() -> dict[str, str]:
             "(max(page) // 1000 + 1 > count(*) OR count(*) FILTER (rows < 1000 AND page < last) > 0) AS gapped, sum(rows) >= 10000 AS capped "
             "FROM ends GROUP BY event_type"
         ),
+        "sliced_certificates": with_ctes(
+            st,
+            "SELECT CASE WHEN posttown IN ('cowes', 'ryde') THEN 'E06000046' ELSE 'E06000011' END AS authority, "
+            'CAST(year(CAST("lodgement-date" AS DATE)) AS INTEGER) AS year, count(*) AS certificates, min("lmk-key") AS first_key, max("lmk-key") AS last_key, '
+            'sum(CAST("total-floor-area" AS DOUBLE)) AS floor_area FROM domestic_raw WHERE year(CAST("lodgement-date" AS DATE)) BETWEEN 1992 AND 1997 GROUP BY ALL',
+        ),
         "pages_explode": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
         "duplicated_keys": with_ctes(
             st,
