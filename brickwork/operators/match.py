@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import token_sort_text, tokens, weighted_ratio, wratio
+from ..functions.similarity import ratio, token_sort_text, tokens, weighted_ratio, wratio
 from ..functions.text import outward_code
 from ..session import cut_lineage
 
@@ -97,45 +97,89 @@ def block_match(
 
 
 # ---- unblocked best match with a score threshold (J8/J9) ----------------------
-
-
-def _gram_tokens(c):
-    """Bigram occurrences of ``c`` as distinct tokens ``gram + \\x01 + k``
-    (k-th occurrence), so set overlap of tokens equals multiset overlap of
-    bigrams."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, 2))
-    grams = F.when(F.length(c) >= 2, grams).otherwise(F.array().cast("array<string>"))
+#
+# An exact search for the best right text of every left text, at any threshold, best first:
+#
+# 1. A left text's rarest words bring a few right texts; the best score among them is the row's floor
+#    (the threshold, where there is none).  A floor only saves work.
+# 2. Whatever scores as high as the floor shares many q-gram occurrences with the left text: an edit distance of
+#    d leaves at least max(n, m) - 1 - 2d bigrams and max(n, m) - d characters in common.  With t that
+#    count for the row's own floor and n occurrences, any n - t + 1 of them include a shared one, so the row asks the index for
+#    its n - t + 1 rarest occurrences.  Bigrams serve while t is positive, characters for the rest.
+#
+# So the price is set by how good the row's best match is, not by the threshold; a threshold of 10 costs more than one
+# of 80 only for rows without a better match.
+
+#: A word that more right texts hold brings no first candidates.
+FIRST_WORD = 500
+
+
+def _occurrences(c, q: int):
+    """The q-grams of ``c`` as distinct tokens ``gram + \\x01 + k`` (k-th occurrence), so that set overlap of tokens
+    is multiset overlap of q-grams."""
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (q - 1), F.lit(1))), lambda i: F.substring(c, i, q))
+    grams = F.when(F.length(c) >= q, grams).otherwise(F.array().cast("array<string>"))
     return F.transform(
         grams,
         lambda g, i: F.concat(g, F.lit("\x01"), F.size(F.filter(F.slice(grams, 1, i + 1), lambda y: y == g)).cast("string")),
     )
 
 
-def _prefix_candidates(L: DataFrame, R: DataFrame, l_col: str, r_col: str, c: float, l_keep, r_keep) -> DataFrame:
-    """``(l_text, r_text, *l_keep, *r_keep)`` rows (one per shared prefix
-    token) for pairs whose ``l_col``/``r_col`` strings can have
-    ``ratio > 100 * (1 - c)``: prefix filtering on rarity-ordered bigrams.
-
-    q-gram lemma (q = 2): edit distance d shares >= L - 1 - 2d bigrams, and
-    ratio > 100(1 - c) means d < c * L, so the overlap exceeds
-    (1 - 2c) * len(s) - 1 for either string s.  With t_s the smallest integer
-    above that bound, prefixes of length n_s - t_s + 1 in one global order
-    must intersect.  Exact; strings under two characters pair by equality.
-    """
-    r_tok = R.select("r_text", F.explode(_gram_tokens(F.col(r_col))).alias("tok"))
-    df = r_tok.select("tok").groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-
-    def prefixes(side: DataFrame, text: str, col: str, keep) -> DataFrame:
-        toks = side.select(text, *keep, F.col(col).alias("_s"), F.explode(_gram_tokens(F.col(col))).alias("tok"))
-        toks = toks.join(df, "tok", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        n = F.length("_s") - 1
-        t = F.floor(F.lit(1 - 2 * c) * F.length("_s") - 1) + 1
-        w = Window.partitionBy(text).orderBy("df", "tok")
-        return toks.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n - t + 1).select(text, *keep, "tok")
-
-    cands = prefixes(L, "l_text", l_col, l_keep).join(prefixes(R, "r_text", r_col, r_keep), "tok").drop("tok")
-    short = L.filter(F.length(l_col) < 2).join(R, F.col(l_col) == F.col(r_col)).select("l_text", *l_keep, "r_text", *r_keep)
-    return cands.unionByName(short)
+def _length_ok(a, b, c):
+    """The edit distance is at least the difference of lengths, and at most ``c`` of the longer one."""
+    la, lb = F.length(a), F.length(b)
+    return F.abs(la - lb) <= c * F.greatest(la, lb) + 1e-6
+
+
+def _candidates(L: DataFrame, R: DataFrame, l_col: str, r_col: str, c, q: int) -> DataFrame:
+    """``(l_text, l_sorted, r_text, r_sorted)``, once a shared token, for all pairs whose strings can be ``c`` of the
+    longer length apart; ``L`` holds the rows whose bound on shared q-grams is positive."""
+    n = F.length(l_col)
+    need = F.ceil((1 - 2 * c) * n - 1 - 1e-6) if q == 2 else F.ceil((1 - c) * n - 1e-6)
+    index = R.select("r_text", "r_sorted", F.col(r_col).alias("r_s"), F.explode(_occurrences(F.col(r_col), q)).alias("tok"))
+    df = index.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    asked = L.select("l_text", "l_sorted", F.col(l_col).alias("l_s"), c.alias("c"), (n - q + 1 - need + 1).alias("prefix"), F.explode(_occurrences(F.col(l_col), q)).alias("tok"))
+    asked = asked.join(df, "tok", "left").withColumn("place", F.row_number().over(Window.partitionBy("l_text").orderBy(F.coalesce("df", F.lit(0)), "tok")))
+    asked = asked.filter(F.col("place") <= F.col("prefix")).drop("df", "place", "prefix")
+    return asked.join(index, "tok").filter(_length_ok("l_s", "r_s", F.col("c"))).select("l_text", "l_sorted", "r_text", "r_sorted")
+
+
+def _floors(L: DataFrame, R: DataFrame, score, threshold: float) -> DataFrame:
+    """``L`` with ``floor``: the best score among the right texts that share one of a row's two rarest words."""
+    words = R.select("r_text", "r_sorted", F.explode(tokens("r_text")).alias("word"))
+    rare = words.groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") <= FIRST_WORD)
+    asked = L.select("l_text", "l_sorted", F.explode(tokens("l_text")).alias("word")).join(rare, "word")
+    asked = asked.withColumn("place", F.row_number().over(Window.partitionBy("l_text").orderBy("df", "word"))).filter("place <= 2")
+    first = asked.join(words, "word").groupBy("l_text").agg(F.max(score).alias("first"))
+    return L.join(first, "l_text", "left").withColumn("floor", F.greatest(F.lit(threshold), F.coalesce("first", F.lit(threshold)))).drop("first")
+
+
+def match_pairs(left: DataFrame, right: DataFrame, left_text: str, right_text: str, threshold: float, scorer: str) -> tuple[DataFrame, object]:
+    """The pairs whose scores have to be computed, (l_text, l_sorted, r_text, r_sorted), once each, and the score."""
+    L = left.select(F.col(left_text).alias("l_text")).filter(F.col("l_text").isNotNull()).distinct().withColumn("l_sorted", token_sort_text("l_text"))
+    R = right.select(F.col(right_text).alias("r_text")).filter(F.col("r_text").isNotNull()).distinct().withColumn("r_sorted", token_sort_text("r_text"))
+    L, R = cut_lineage(L), cut_lineage(R)
+    if scorer == "wratio":
+        score, terms = wratio("l_text", "r_text", "l_sorted", "r_sorted"), [("l_text", "r_text", 100.0), ("l_sorted", "r_sorted", 95.0)]
+    elif scorer == "token_sort":
+        score, terms = ratio("l_sorted", "r_sorted"), [("l_sorted", "r_sorted", 100.0)]
+    else:
+        raise ValueError(scorer)
+    L = cut_lineage(_floors(L, R, score, threshold))
+    found = L.join(R, (F.length("l_sorted") == 0) & (F.col("l_sorted") == F.col("r_sorted"))).select("l_text", "l_sorted", "r_text", "r_sorted")
+    for l_col, r_col, most in terms:
+        c = 1 - (F.col("floor") - 1e-6) / most
+        by_bigrams = F.ceil((1 - 2 * c) * F.length(l_col) - 1 - 1e-6) >= 1
+        reachable = L.filter((F.length(l_col) > 0) & (c >= 0))
+        for q, rows in ((2, reachable.filter(by_bigrams)), (1, reachable.filter(~by_bigrams))):
+            if not rows.isEmpty():
+                found = found.unionByName(_candidates(rows, R, l_col, r_col, c, q))
+    # Pairs are small but costly to score, so they are spread; the aggregate's outputs feed the score, which therefore
+    # cannot be computed before the de-duplication.
+    spark = left.sparkSession
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    pairs = found.groupBy("l_text", "r_text").agg(F.first("l_sorted").alias("l_sorted"), F.first("r_sorted").alias("r_sorted"))
+    return pairs.repartition(n_parts, "l_text"), score
 
 
 def best_match(
@@ -147,59 +191,12 @@ def best_match(
     threshold: float = 80.0,
     scorer: str = "wratio",
 ) -> DataFrame:
-    """Best right text with score strictly above ``threshold`` per distinct
-    left text, over all right texts (no block).  ``scorer`` is ``wratio``
-    (max of ratio and 0.95 x token-sort ratio) or ``token_sort``.
-
-    Candidates come from an exact prefix-filter join, so no pair that can
-    pass the threshold is missed and no cross join is formed.  Thresholds
-    below 75 admit pairs of short texts with no shared bigram and are
-    refused: they need every pair.
-    """
-    if threshold < 75:
-        raise ValueError("threshold too low for an exact indexed search")
-    L = left.select(F.col(left_text).alias("l_text")).filter(F.col("l_text").isNotNull()).distinct()
-    R = right.select(F.col(right_text).alias("r_text")).filter(F.col("r_text").isNotNull()).distinct()
-    L = L.withColumn("l_sorted", token_sort_text("l_text"))
-    R = R.withColumn("r_sorted", token_sort_text("r_text"))
-    from ..functions.similarity import ratio
-
-    spark = left.sparkSession
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    c_raw, c_sorted = 1 - threshold / 100, 1 - threshold / 95
-    keep_l, keep_r = ["l_sorted"], ["r_sorted"]
-    if scorer == "wratio":
-        cands = _prefix_candidates(L, R, "l_text", "r_text", c_raw, keep_l, keep_r).unionByName(
-            _prefix_candidates(L, R, "l_sorted", "r_sorted", c_sorted, keep_l, keep_r)
-        )
-    elif scorer == "token_sort":
-        cands = _prefix_candidates(L, R, "l_sorted", "r_sorted", c_raw, keep_l, keep_r)
-    else:
-        raise ValueError(scorer)
-    # De-duplicate pairs (one row per shared prefix token) with an aggregate
-    # whose outputs feed the score: a filter on the score cannot then be
-    # pushed below the de-duplication onto the duplicated rows.  The pairs
-    # are small in bytes but costly per row, so they are spread explicitly
-    # (AQE would coalesce them into a few tasks); the per-left aggregate
-    # below reuses this partitioning.
-    pairs = (
-        cands.groupBy("l_text", "r_text")
-        .agg(F.first("l_sorted").alias("l_sorted"), F.first("r_sorted").alias("r_sorted"))
-        .repartition(n_parts, "l_text")
-    )
-
-    def length_ok(a, b, c):
-        # edit distance >= length difference; ratio > 100(1-c) needs distance
-        # < c * longer length
-        la, lb = F.length(a), F.length(b)
-        return F.abs(la - lb) < F.lit(c) * F.greatest(la, lb)
-
-    if scorer == "wratio":
-        pairs = pairs.filter(length_ok("l_text", "r_text", c_raw) | length_ok("l_sorted", "r_sorted", c_sorted))
-        score = wratio("l_text", "r_text", "l_sorted", "r_sorted")
-    else:
-        pairs = pairs.filter(length_ok("l_sorted", "r_sorted", c_raw))
-        score = ratio("l_sorted", "r_sorted")
+    """Best right text with score strictly above ``threshold`` (0 or more) per distinct left text, over all right
+    texts (no block).  ``scorer`` is ``wratio`` (max of ratio and 0.95 x token-sort ratio) or ``token_sort``.
+    Ties go to the smallest text; NULL texts match nothing."""
+    if threshold < 0:
+        raise ValueError("the threshold must not be negative")
+    pairs, score = match_pairs(left, right, left_text, right_text, threshold, scorer)
     scored = pairs.select("l_text", "r_text", _round(score).alias("score")).filter(F.col("score") > threshold)
     ordering = F.struct((-F.col("score")).alias("a"), F.col("r_text").alias("b"))
     best = scored.groupBy("l_text").agg(F.min_by(F.struct("r_text", "score"), ordering).alias("w"))
