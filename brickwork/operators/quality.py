@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .snapshots import diff_rows
+
 # ---------------------------------------------------------------- fixed values
 WALLS_ENV_EFF_VALUES = ["Very Good", "Good", "Average", "Poor", "Very Poor", "N/A"]
 GLAZED_AREA_VALUES = [
@@ -96,30 +98,9 @@ def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def table_diff(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Keyed row diff in long form: ``(key, column, old, new, change)`` with
-    change in added / removed / changed.  Values compare NULL-safely and are
-    reported as text."""
-    cols = [c for c in (cols or a.columns) if c != key and c in b.columns]
-    l = a.select(F.col(key).alias("__k"), *[F.col(c).alias(f"l__{c}") for c in cols], F.lit(True).alias("__l"))
-    r = b.select(F.col(key).alias("__k"), *[F.col(c).alias(f"r__{c}") for c in cols], F.lit(True).alias("__r"))
-    j = l.join(r, "__k", "full_outer")
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"l__{c}").cast("string").alias("old"),
-                F.col(f"r__{c}").cast("string").alias("new"),
-                (~F.col(f"l__{c}").eqNullSafe(F.col(f"r__{c}"))).alias("diff"),
-            )
-            for c in cols
-        ]
-    )
-    change = (
-        F.when(F.col("__l").isNull(), F.lit("added")).when(F.col("__r").isNull(), F.lit("removed")).otherwise(F.lit("changed"))
-    )
-    long = j.select(F.col("__k").alias(key), change.alias("change"), F.explode(entries).alias("e"))
-    long = long.filter((F.col("change") != "changed") | F.col("e.diff"))
-    return long.select(key, F.col("e.column").alias("column"), F.col("e.old").alias("old"), F.col("e.new").alias("new"), "change")
+    """Keyed row diff in long form: ``(key, column, old, new, change)`` with change in added / removed / changed, as
+    ``snapshots.diff_rows`` has it: repeated keys are paired row by row, rows without a key never."""
+    return diff_rows(a, b, [key], cols).drop("occurrence")
 
 
 def frames_equal(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -12,10 +12,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .operators.ordering import in_order
 
-def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-refresh table (parquet), optionally directory-partitioned."""
-    w = df.write.mode("overwrite")
+
+def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None, order: list | None = None) -> None:
+    """Full-refresh table (parquet), optionally directory-partitioned or in a total order over its files (O1-O3)."""
+    w = (in_order(df, order) if order else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -25,9 +27,9 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header; ``single_file`` coalesces to one task (opt-in)."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order: list | None = None) -> None:
+    """CSV with header, in a total order over its files if ``order`` is given; ``single_file`` uses one task (opt-in)."""
+    out = in_order(df, order, 1 if single_file else None) if order else df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
@@ -42,11 +44,11 @@ def export_name(mart: str, user: str | None = None, now: _dt.datetime | None = N
     return f"{mart}_{user + '_' if user else ''}{ts}"
 
 
-def export(df: DataFrame, base: str, mart: str, user: str | None = None, write: bool = True, single_file: bool = False) -> DataFrame:
+def export(df: DataFrame, base: str, mart: str, user: str | None = None, write: bool = True, single_file: bool = False, order: list | None = None) -> DataFrame:
     """Mart export to ``{base}/{name}`` (any Hadoop URI, e.g. an object
     store); ``write=False`` is the skip switch and only passes through."""
     if write:
-        write_csv(df, f"{base.rstrip('/')}/{export_name(mart, user)}", single_file=single_file)
+        write_csv(df, f"{base.rstrip('/')}/{export_name(mart, user)}", single_file=single_file, order=order)
     return df
 
 
