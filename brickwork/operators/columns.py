@@ -55,6 +55,53 @@ def stage(df: DataFrame, spec: Sequence[tuple], lenient: bool = False, tags: dic
     return df.select(*cols)
 
 
+ERRORS = "_errors"
+_ERROR = "array<struct<column: string, value: string, type: string, rule: string>>"
+
+
+def checked(df: DataFrame, spec: Sequence[tuple], tags: dict | None = None) -> DataFrame:
+    """``stage`` with an error channel: values that their strict cast would refuse become NULL and are listed in
+    ``_errors`` (column, raw value, type, rule), so one bad value neither stops the run nor goes unseen."""
+    found = []
+    for raw, out, dtype, rule in spec:
+        if raw is None or dtype == "string":
+            continue
+        text = _q(raw).cast("string")
+        given = F.nullif(text, F.lit("")) if rule == NULLIF else text
+        bad = given.isNotNull() & given.try_cast(dtype).isNull()
+        found.append(F.when(bad, F.struct(F.lit(out).alias("column"), text.alias("value"), F.lit(dtype).alias("type"), F.lit(rule).alias("rule"))))
+    errors = F.filter(F.array(*found), lambda e: e.isNotNull()) if found else F.array().cast(_ERROR)
+    cols = []
+    for raw, out, dtype, rule in spec:
+        if raw is None or dtype == "string":
+            value = staged_column(raw, dtype, rule)
+        else:
+            text = F.nullif(_q(raw).cast("string"), F.lit("")) if rule == NULLIF else _q(raw).cast("string")
+            value = text.try_cast(dtype)
+        cols.append(value.alias(out))
+    cols += [F.lit(v).alias(k) for k, v in (tags or {}).items()]
+    return df.select(*cols, errors.cast(_ERROR).alias(ERRORS))
+
+
+def accepted(staged: DataFrame) -> DataFrame:
+    """The rows without an error."""
+    return staged.filter(F.size(ERRORS) == 0).drop(ERRORS)
+
+
+def quarantine(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One line an error: the row's ``keys``, column, raw value, type and rule."""
+    return staged.select(*keys, F.explode(ERRORS).alias("e")).select(*keys, "e.*")
+
+
+def write_checked(staged: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Writes the staged rows once, good and bad apart by directory, and returns (accepted, refused) readers:
+    the feed is read and cast one time only, and a reader of the good rows never opens the others."""
+    staged.withColumn("_bad", F.size(ERRORS) > 0).write.mode("overwrite").partitionBy("_bad").parquet(path)
+    schema = T.StructType([*staged.schema.fields, T.StructField("_bad", T.BooleanType())])
+    table = staged.sparkSession.read.schema(schema).parquet(path)
+    return table.filter(~F.col("_bad")).drop("_bad", ERRORS), table.filter("_bad").drop("_bad")
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 

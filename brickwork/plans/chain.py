@@ -6,6 +6,7 @@ feeds -> staging -> enrichment -> profiling (+ score) / measures / base-plus
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.derived import load_feed
 from . import staging
@@ -13,8 +14,8 @@ from .enrich import enrich_certificates
 from .profiling import profile, with_sap_scores
 
 
-def staged_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_certificates(load_feed(spark, sf_dir, "domestic_raw"), load_feed(spark, sf_dir, "non_domestic_raw"))
+def staged_certificates(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
+    return staging.stage_certificates(load_feed(spark, sf_dir, "domestic_raw"), load_feed(spark, sf_dir, "non_domestic_raw"), distinct=distinct)
 
 
 def staged_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,12 +26,13 @@ def staged_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_recommendations(load_feed(spark, sf_dir, "recommendations_raw"))
 
 
-def enriched_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_certificates(staged_certificates(spark, sf_dir), staged_addresses(spark, sf_dir))
+def enriched_certificates(spark: SparkSession, sf_dir: str, distinct: bool = True) -> DataFrame:
+    return enrich_certificates(staged_certificates(spark, sf_dir, distinct), staged_addresses(spark, sf_dir))
 
 
 def profiling_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(enriched_certificates(spark, sf_dir))
+    """One row per property: certificates landed twice cannot change it, so staging need not compare whole rows."""
+    return profile(enriched_certificates(spark, sf_dir, distinct=False))
 
 
 def profiling_sap_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +63,12 @@ def build_marts(spark: SparkSession, sf_dir: str, out_dir: str, csv_exports: boo
             marts.measures_base(enriched, staged_recommendations(spark, sf_dir), addresses)
         ),
     }
+    orders = {"improvement_measures": [F.desc_nulls_last("UPRN"), F.asc_nulls_last("ImprovementIndex")]}
     paths = {}
     for name, df in outputs.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        sinks.materialise(df, path)
+        sinks.materialise(df, path, order=orders.get(name))
         if csv_exports:
-            sinks.export(spark.read.parquet(path), f"{out_dir.rstrip('/')}/exports", name)
+            sinks.export(spark.read.parquet(path), f"{out_dir.rstrip('/')}/exports", name, order=orders.get(name))
         paths[name] = path
     return paths

@@ -10,79 +10,145 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.columns import NO_DATA, NULLIF, STRICT, TEXT, stage
-
-# (raw domestic name, staged name, type, rule).  The staged set is the subset
-# of the 92 certificate columns that the marts read.
-CERTIFICATE_SPEC = [
-    ("lmk-key", "lmk_key", "string", TEXT),
-    ("uprn", "uprn", "string", TEXT),
-    ("address", "address", "string", TEXT),
-    ("posttown", "posttown", "string", TEXT),
-    ("postcode", "postcode", "string", TEXT),
-    ("property-type", "property_type", "string", TEXT),
-    ("built-form", "built_form", "string", TEXT),
-    ("roof-description", "roof_description", "string", TEXT),
-    ("walls-description", "walls_description", "string", TEXT),
-    ("floor-description", "floor_description", "string", TEXT),
-    ("windows-description", "windows_description", "string", TEXT),
-    ("mainheat-description", "mainheat_description", "string", TEXT),
-    ("main-fuel", "main_fuel", "string", TEXT),
-    ("main-heating-controls", "main_heating_controls", "string", TEXT),
-    ("glazed-type", "glazed_type", "string", TEXT),
-    ("glazed-area", "glazed_area", "string", NO_DATA),
-    ("walls-env-eff", "walls_env_eff", "string", TEXT),
-    ("construction-age-band", "construction_age_band", "string", TEXT),
-    ("floor-level", "floor_level", "string", TEXT),
-    ("current-energy-rating", "current_energy_rating", "string", TEXT),
-    ("current-energy-efficiency", "current_energy_efficiency", "double", NULLIF),
-    ("environment-impact-current", "environment_impact_current", "double", NULLIF),
-    ("co2-emissions-current", "co2_emissions_current", "double", NULLIF),
-    ("total-floor-area", "total_floor_area", "double", STRICT),
-    ("heating-cost-current", "heating_cost_current", "double", NULLIF),
-    ("hot-water-cost-current", "hot_water_cost_current", "double", NULLIF),
-    ("lighting-cost-current", "lighting_cost_current", "double", NULLIF),
-    ("number-open-fireplaces", "number_open_fireplaces", "int", NULLIF),
-    ("wind-turbine-count", "wind_turbine_count", "int", NULLIF),
-    ("mechanical-ventilation", "mechanical_ventilation", "string", TEXT),
-    ("flat-storey-count", "flat_storey_count", "double", NULLIF),
-    ("inspection-date", "inspection_date", "date", STRICT),
-    ("lodgement-date", "lodgement_date", "date", STRICT),
-    ("transaction-type", "transaction_type", "string", TEXT),
-]
+from ..operators.columns import NO_DATA, NULLIF, STRICT, TEXT, checked, stage
+from ..sources.schemas import LINEAGE, NUMBERS
+
+# ---------------------------------------------------------------- fixed values
+# The 92 staged certificate columns with their type and cast rule; the raw name has hyphens.
+_CERTIFICATE_COLUMNS = """
+walls_env_eff text
+fixed_lighting_outlets_count double nullif
+glazed_area text no_data
+energy_consumption_potential double nullif
+low_energy_fixed_light_count double nullif
+secondheat_description text
+lmk_key text
+county text
+main_fuel text
+mains_gas_flag text
+number_open_fireplaces int nullif
+co2_emissions_potential double strict
+current_energy_efficiency double nullif
+walls_energy_eff text
+number_heated_rooms int nullif
+floor_env_eff text
+mechanical_ventilation text
+photo_supply double nullif
+mainheat_env_eff text
+environment_impact_potential double nullif
+windows_energy_eff text
+roof_env_eff text
+total_floor_area double strict
+flat_top_storey text
+multi_glaze_proportion double nullif
+tenure text
+posttown text
+uprn text
+mainheat_energy_eff text
+current_energy_rating text
+postcode text
+mainheat_description text
+sheating_env_eff text
+walls_description text
+flat_storey_count double nullif
+potential_energy_rating text
+hotwater_description text
+lighting_cost_current double nullif
+floor_height double nullif
+lighting_cost_potential double nullif
+floor_energy_eff text
+windows_description text
+sheating_energy_eff text
+energy_consumption_current double strict
+potential_energy_efficiency double strict
+heating_cost_current double nullif
+hot_water_cost_current double nullif
+construction_age_band text
+main_heating_controls text
+solar_water_heating_flag text
+built_form text
+property_type text
+co2_emiss_curr_per_floor_area double nullif
+roof_energy_eff text
+lighting_env_eff text
+extension_count double nullif
+floor_level text
+lodgement_datetime text
+heat_loss_corridor text
+mainheatc_env_eff text
+lighting_description text
+windows_env_eff text
+hot_water_energy_eff text
+transaction_type text
+mainheatc_energy_eff text
+co2_emissions_current double nullif
+local_authority_label text
+address text
+address1 text
+address2 text
+address3 text
+roof_description text
+hot_water_env_eff text
+environment_impact_current double nullif
+energy_tariff text
+hot_water_cost_potential double nullif
+glazed_type text
+lighting_energy_eff text
+heating_cost_potential double nullif
+local_authority text
+constituency_label text
+mainheatcont_description text
+building_reference_number text
+low_energy_lighting int nullif
+unheated_corridor_length double nullif
+constituency text
+floor_description text
+wind_turbine_count int nullif
+inspection_date date strict
+uprn_source text
+lodgement_date date strict
+number_habitable_rooms int nullif
+"""
+
+# Staged columns that the non-domestic feed has as well (glazed_area is the literal NO DATA!, the others typed NULLs).
+_NON_DOMESTIC_COLUMNS = """
+lmk_key county posttown uprn postcode property_type lodgement_datetime transaction_type local_authority_label address address1
+address2 address3 local_authority constituency_label building_reference_number constituency inspection_date uprn_source lodgement_date
+"""
+
+# The 36 staged address columns; the DPA feed has each in capitals.
+_ADDRESS_COLUMNS = """
+rpc postcode logical_status_code country_code_description x_coordinate last_update_date classification_code_description organisation_name
+udprn status parent_uprn postal_address_code local_custodian_code_description delivery_point_suffix building_number thoroughfare_name
+language dependent_locality blpu_state_code_description blpu_state_code local_custodian_code blpu_state_date
+dependent_thoroughfare_name post_town building_name sub_building_name postal_address_code_description uprn topography_layer_toid address
+y_coordinate match_description classification_code entry_date match country_code
+"""
+# Those that the LPI feed lacks: 'N/A'.
+_NOT_IN_LPI = """
+organisation_name udprn delivery_point_suffix building_number thoroughfare_name dependent_locality dependent_thoroughfare_name post_town
+building_name sub_building_name
+"""
+_LPI_NAMES = {"postcode": "POSTCODE_LOCATOR"}
+# ---------------------------------------------------------------- /fixed values
+
+_RULES = {"text": TEXT, "nullif": NULLIF, "strict": STRICT, "no_data": NO_DATA}
+
 
-# Staged name -> raw non-domestic name; every other staged column is a typed
-# NULL (``glazed_area`` the literal NO DATA!).
-NON_DOMESTIC_SOURCES = {
-    "lmk_key": "lmk-key",
-    "uprn": "uprn",
-    "address": "address",
-    "posttown": "posttown",
-    "postcode": "postcode",
-    "property_type": "property-type",
-    "total_floor_area": "floor-area",
-    "inspection_date": "inspection-date",
-    "lodgement_date": "lodgement-date",
-    "transaction_type": "transaction-type",
-}
+def _certificate(line: str) -> tuple[str, str, str, str]:
+    name, kind, *rule = line.split()
+    return name.replace("_", "-"), name, "string" if kind == "text" else kind, _RULES[(rule or ["text"])[0]]
 
+
+_LINEAGE = [(c, c, "string", TEXT) for c in LINEAGE]
+# (raw domestic name, staged name, type, rule)
+CERTIFICATE_SPEC = [_certificate(line) for line in _CERTIFICATE_COLUMNS.strip().splitlines()] + _LINEAGE
+# Staged name -> raw non-domestic name.
+NON_DOMESTIC_SOURCES = {c: c.replace("_", "-") for c in _NON_DOMESTIC_COLUMNS.split()} | {c: c for c in LINEAGE}
 # Address feeds: (staged name, DPA raw name, LPI raw name or None = 'N/A').
 ADDRESS_SPEC = [
-    ("uprn", "UPRN", "UPRN"),
-    ("udprn", "UDPRN", None),
-    ("address", "ADDRESS", "ADDRESS"),
-    ("postcode", "POSTCODE", "POSTCODE_LOCATOR"),
-    ("x_coordinate", "X_COORDINATE", "X_COORDINATE"),
-    ("y_coordinate", "Y_COORDINATE", "Y_COORDINATE"),
-    ("topography_layer_toid", "TOPOGRAPHY_LAYER_TOID", "TOPOGRAPHY_LAYER_TOID"),
-    ("parent_uprn", "PARENT_UPRN", "PARENT_UPRN"),
-    ("classification_code", "CLASSIFICATION_CODE", "CLASSIFICATION_CODE"),
-    ("classification_code_description", "CLASSIFICATION_CODE_DESCRIPTION", "CLASSIFICATION_CODE_DESCRIPTION"),
-    ("organisation_name", "ORGANISATION_NAME", None),
-    ("post_town", "POST_TOWN", None),
-    ("building_number", "BUILDING_NUMBER", None),
-    ("thoroughfare_name", "THOROUGHFARE_NAME", None),
-]
+    (c, c.upper(), None if c in _NOT_IN_LPI.split() else _LPI_NAMES.get(c, c.upper())) for c in _ADDRESS_COLUMNS.split()
+] + [(c, c, c) for c in LINEAGE]
 
 # ---------------------------------------------------------------- fixed values
 # Non-building address classes dropped from the LPI feed (NULL class drops too).
@@ -106,16 +172,26 @@ EXCLUDED_LPI_CLASSES = [
 ]
 # ---------------------------------------------------------------- /fixed values
 
-_ADDRESS_TYPES = {"x_coordinate": "double", "y_coordinate": "double"}
+_ADDRESS_TYPES = {c.lower(): "double" for c in NUMBERS}
 
 
-def stage_certificates(domestic: DataFrame, non_domestic: DataFrame, lenient: bool = False) -> DataFrame:
-    """Typed union of the two certificate feeds with a ``certificate_type``
-    tag; exact duplicate rows collapse (``UNION``)."""
+_NON_DOMESTIC_SPEC = [(NON_DOMESTIC_SOURCES.get(out), out, dtype, rule) for _, out, dtype, rule in CERTIFICATE_SPEC]
+
+
+def stage_certificates(domestic: DataFrame, non_domestic: DataFrame, lenient: bool = False, distinct: bool = True) -> DataFrame:
+    """Typed union of the two certificate feeds with a ``certificate_type`` tag; exact duplicate rows collapse
+    (``UNION``).  ``distinct=False`` is for readers whose result repeated rows cannot change: without the
+    distinct, the columns they do not read are pruned at the scan."""
     dom = stage(domestic, CERTIFICATE_SPEC, lenient, tags={"certificate_type": "domestic"})
-    nd_spec = [(NON_DOMESTIC_SOURCES.get(out), out, dtype, rule) for _, out, dtype, rule in CERTIFICATE_SPEC]
-    nd = stage(non_domestic, nd_spec, lenient, tags={"certificate_type": "non_domestic"})
-    return dom.unionByName(nd).distinct()
+    nd = stage(non_domestic, _NON_DOMESTIC_SPEC, lenient, tags={"certificate_type": "non_domestic"})
+    both = dom.unionByName(nd)
+    return both.distinct() if distinct else both
+
+
+def check_certificates(domestic: DataFrame, non_domestic: DataFrame) -> DataFrame:
+    """Both feeds staged row by row, with what could not be cast in ``_errors`` (see ``operators.columns.checked``)."""
+    dom = checked(domestic, CERTIFICATE_SPEC, tags={"certificate_type": "domestic"})
+    return dom.unionByName(checked(non_domestic, _NON_DOMESTIC_SPEC, tags={"certificate_type": "non_domestic"}))
 
 
 def stage_addresses(dpa: DataFrame, lpi: DataFrame) -> DataFrame:

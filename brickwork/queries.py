@@ -41,7 +41,7 @@ def address_feed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 + F5: latest certificate per property key (ties: lowest lmk_key)."""
-    c = chain.staged_certificates(spark, sf_dir).filter(F.col("uprn").isNotNull() & (F.col("uprn") != ""))
+    c = chain.staged_certificates(spark, sf_dir, distinct=False).filter(F.col("uprn").isNotNull() & (F.col("uprn") != ""))
     c = c.select("uprn", "lmk_key", "lodgement_date")
     return dedup.latest_per_key(c, "uprn", "lodgement_date", tiebreak=["lmk_key"])
 
@@ -259,6 +259,13 @@ def token_sort_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.best_match(left, right, threshold=80.0, scorer="token_sort")
 
 
+@register
+def token_sort_match_low(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 at its second threshold: best text with token-sort ratio > 10."""
+    left, right = _unblocked_inputs(spark, sf_dir)
+    return M.best_match(left, right, threshold=10.0, scorer="token_sort")
+
+
 @register
 def recommendation_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8: every recommendation segment in one read, API column names,
@@ -320,3 +327,89 @@ def sliced_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.groupBy("authority", "year").agg(
         F.count(F.lit(1)).alias("certificates"), F.min("lmk-key").alias("first_key"), F.max("lmk-key").alias("last_key"), F.sum(area).alias("floor_area")
     )
+
+
+@register
+def staging_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1-P3 with an error channel: a feed with bad numbers and dates is staged whole, and what could not be cast is
+    kept with its key, raw value and rule."""
+    from .operators import columns
+    from .plans import staging
+    from .session import scratch_path
+    from .sources.derived import load_feed
+
+    raw = load_feed(spark, sf_dir, "domestic_raw")
+    key = F.col("lmk-key").cast("long")
+    dirty = raw.withColumns(
+        {
+            "total-floor-area": F.when(key % 211 == 0, "n/a").otherwise(F.col("total-floor-area")),
+            "lodgement-date": F.when(key % 307 == 0, "31/12/2019").otherwise(F.col("lodgement-date")),
+            "number-open-fireplaces": F.when(key % 401 == 0, "two").otherwise(F.col("number-open-fireplaces")),
+        }
+    )
+    staged = staging.check_certificates(dirty, load_feed(spark, sf_dir, "non_domestic_raw"))
+    accepted, refused = columns.write_checked(staged, scratch_path(spark, "checked"))
+    lines = columns.quarantine(refused, ["lmk_key", "certificate_type"])
+    none = F.lit(None).cast("string")
+    kept = accepted.groupBy("certificate_type").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    return lines.unionByName(kept.select(none.alias("lmk_key"), "certificate_type", F.lit("*").alias("column"), "value", none.alias("type"), F.lit("accepted").alias("rule")))
+
+
+def _next_release(release: DataFrame) -> DataFrame:
+    """A later release: some certificates gone, changed or new."""
+    key = F.col("lmk_key").cast("long")
+    changed = release.filter(key % 101 != 0).withColumns(
+        {
+            "address": F.when(key % 53 == 0, F.upper("address")).otherwise(F.col("address")),
+            "total_floor_area": F.when(key % 47 == 0, F.col("total_floor_area") + 1).otherwise(F.col("total_floor_area")),
+            "lodgement_date": F.when(key % 59 == 0, F.date_add("lodgement_date", 1)).otherwise(F.col("lodgement_date")),
+        }
+    )
+    new = release.filter(key % 89 == 0).withColumn("lmk_key", F.concat("lmk_key", F.lit("-new")))
+    return changed.unionByName(new)
+
+
+@register
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two releases of all staged certificates, stored as snapshots and compared on all columns by
+    property, a key that repeats."""
+    from .operators import snapshots
+    from .session import scratch_path
+
+    release = cut_lineage(chain.staged_certificates(spark, sf_dir))
+    old, new = scratch_path(spark, "release"), scratch_path(spark, "release")
+    snapshots.write_snapshot(release, old, ["uprn"])
+    snapshots.write_snapshot(_next_release(release), new, ["uprn"])
+    return snapshots.diff_snapshots(spark, old, new, ["uprn"])
+
+
+@register
+def sorted_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 with positions: the measures mart by property descending and improvement ascending, NULLs last."""
+    from .operators.ordering import with_position
+
+    mart = measures_mart(spark, sf_dir)
+    rest = [F.asc_nulls_last(f"`{c}`") for c in mart.columns if c not in ("UPRN", "ImprovementIndex")]
+    placed = with_position(mart, [F.desc_nulls_last("UPRN"), F.asc_nulls_last("ImprovementIndex"), *rest])
+    return placed.select("position", "UPRN", "ImprovementIndex", "UDPRN", "Address", "MeasureGroupId", "COST")
+
+
+@register
+def declared_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q10, A10: every declared rule of staging and the marts, one scan a table for the rules on rows."""
+    from .operators import rules
+    from .plans.declared import RULES
+    from .plans.profiling import profile
+
+    certificates = cut_lineage(chain.staged_certificates(spark, sf_dir))
+    addresses, recommendations = chain.staged_addresses(spark, sf_dir), chain.staged_recommendations(spark, sf_dir)
+    enriched = cut_lineage(EN.enrich_certificates(certificates, addresses))
+    tables = {
+        "certificates": certificates,
+        "enriched": enriched,
+        "recommendations": recommendations,
+        "address_base": marts.base_plus(addresses),
+        "profiling": cut_lineage(profile(enriched)),
+        "measures": marts.measures_mart(marts.measures_base(enriched, recommendations, addresses)),
+    }
+    return rules.run(tables, RULES)

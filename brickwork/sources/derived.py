@@ -13,8 +13,12 @@ Every feed scales with its source table: nothing is sampled or capped.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from . import schemas
+
 # --- shared value expressions ------------------------------------------------
 
 
@@ -184,6 +188,54 @@ FEEDS = {
 SOURCE_TABLES = ("customer", "orders", "lineitem")
 
 
+# What the other columns hold, by the end of their name.
+_ENDINGS = (
+    (("-eff",), ("Very Good", "Good", "Average", "Poor", "Very Poor", "N/A", None)),
+    (("-rating",), ("A", "B", "C", "D", "E", "F", "G")),
+    (("-flag",), ("Y", "N", "", None)),
+    (("-description",), ("From main system", "Low energy lighting", "None", "", None)),
+)
+_NUMERIC = ("-count", "-cost-potential", "-potential", "-rooms", "-supply", "-height", "-length", "-lighting", "-proportion", "-current", "-area", "-efficiency")
+_STRICT = ("co2-emissions-potential", "energy-consumption-current", "potential-energy-efficiency")
+
+
+def _filler(column: str, place: int, key: str) -> str:
+    """A column that no rule of the marts reads: numbers, short texts, empty and missing values, by its place."""
+    turn = f"cast(floor({key} / {place % 5 + 1}) as bigint)"
+    if column.endswith("-datetime"):
+        return f"'2021-03-' || cast(10 + {key} % 19 as string) || ' 10:00:00'"
+    if column in _STRICT:
+        return f"CASE WHEN {key} % {place + 7} = 0 THEN NULL ELSE cast({turn} % {place + 20} as string) END"
+    if column.endswith(_NUMERIC):
+        return f"CASE {key} % {place % 7 + 5} WHEN 0 THEN '' WHEN 1 THEN NULL ELSE cast({turn} % 89 as string) END"
+    for ends, values in _ENDINGS:
+        if column.endswith(ends):
+            whens = " ".join(f"WHEN {i} THEN " + ("NULL" if v is None else f"'{v}'") for i, v in enumerate(values))
+            return f"CASE {turn} % {len(values)} {whens} END"
+    return f"CASE {key} % {place % 11 + 3} WHEN 0 THEN NULL WHEN 1 THEN '' ELSE '{column.lower()} ' || cast({turn} % 50 as string) END"
+
+
+def _whole_record(sql: str, columns: list[str], key: str, feed: str) -> str:
+    """The feed's SELECT with every column of its declared schema and the loader's lineage."""
+    before, rest = sql.split("\nFROM ", 1)
+    made = [c for c in columns if f"{{q}}{c}{{q}}" not in before and not re.search(rf"AS {c}\b", before)]
+    number = lambda c: f"cast({key} % 7 as double)" if c in schemas.NUMBERS else _filler(c, columns.index(c), key)
+    more = [f"{number(c)} AS {{q}}{c}{{q}}" for c in made]
+    stamp = f"cast(1 + cast(floor({key} / 1000) as bigint) as string)"
+    lineage = [f"'{feed}-' || {stamp}", f"'emitted ' || {stamp}", f"'normalised ' || {stamp}", f"'{feed}#' || cast({key} as string)"]
+    more += [f"{value} AS {name}" for value, name in zip(lineage, schemas.LINEAGE, strict=True)]
+    return before + ",\n " + ",\n ".join(more) + "\nFROM " + rest
+
+
+_WHOLE = {
+    "dpa_raw": (schemas.DPA, "k", "dpa"),
+    "lpi_raw": (schemas.LPI, "k", "lpi"),
+    "domestic_raw": (schemas.DOMESTIC, "o", "domestic"),
+    "non_domestic_raw": (schemas.NON_DOMESTIC, "o", "non-domestic"),
+}
+FEEDS |= {name: _whole_record(FEEDS[name], *how) for name, how in _WHOLE.items()}
+
+
 def feed_sql(name: str, quote: str, table_ref) -> str:
     """Render one feed for an engine: ``quote`` wraps hyphenated names,
     ``table_ref(name)`` gives the text that reads a source table."""

@@ -2,48 +2,45 @@
 
 from __future__ import annotations
 
-from brickwork.operators.columns import NO_DATA, NULLIF, STRICT, TEXT
-from brickwork.plans import staging
-from brickwork.sources import derived
+from brickwork.sources import derived, schemas
 
 from . import fixed as cat
 from . import fn
 from .fixed import TARGET_DISTRICTS
 from .fn import lit, q
 
-_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "date": "DATE"}
+_LINEAGE = ", ".join(schemas.LINEAGE)
 
 
-def _staged(raw, dtype, rule, lenient=False) -> str:
-    t = _TYPES[dtype]
-    if raw is None:
-        return "'NO DATA!'" if rule == NO_DATA else f"CAST(NULL AS {t})"
-    r = q(raw)
-    if rule == TEXT:
-        return f"CAST({r} AS {t})"
-    if rule == NULLIF:
-        return f"CAST(NULLIF({r}, '') AS {t})"
-    if rule == STRICT:
-        return f"TRY_CAST({r} AS {t})" if lenient else f"CAST({r} AS {t})"
-    if rule == NO_DATA:
-        return f"COALESCE(NULLIF(CAST({r} AS VARCHAR), ''), 'NO DATA!')"
-    raise ValueError(rule)
+def _certificate(name: str, real: set[str]) -> str:
+    raw = q(name.replace("_", "-"))
+    if name == "glazed_area":
+        return (f"COALESCE(NULLIF({raw}, ''), 'NO DATA!')" if name in real else "'NO DATA!'") + " AS glazed_area"
+    for names, kind, given in (
+        (cat.NULLIF_DOUBLE, "DOUBLE", f"NULLIF({raw}, '')"),
+        (cat.NULLIF_INTEGER, "INTEGER", f"NULLIF({raw}, '')"),
+        (cat.STRICT_DOUBLE, "DOUBLE", raw),
+        (cat.STRICT_DATE, "DATE", raw),
+    ):
+        if name in names:
+            return f"CAST({given if name in real else 'NULL'} AS {kind}) AS {name}"
+    return f"CAST({raw if name in real else 'NULL'} AS VARCHAR) AS {name}"
+
+
+def _address(name: str, raw: str) -> str:
+    return f"CAST({q(raw)} AS {'DOUBLE' if name in cat.ADDRESS_DOUBLE else 'VARCHAR'}) AS {name}"
 
 
 def staging_ctes() -> list[str]:
-    dom = ", ".join(f"{_staged(r, d, ru)} AS {o}" for r, o, d, ru in staging.CERTIFICATE_SPEC)
-    nd = ", ".join(
-        f"{_staged(staging.NON_DOMESTIC_SOURCES.get(o), d, ru)} AS {o}" for _, o, d, ru in staging.CERTIFICATE_SPEC
-    )
-    dpa = ", ".join(
-        f"CAST({q(r)} AS {'DOUBLE' if o in ('x_coordinate', 'y_coordinate') else 'VARCHAR'}) AS {o}"
-        for o, r, _ in staging.ADDRESS_SPEC
-    )
-    lpi = ", ".join(
-        (f"CAST({q(r)} AS {'DOUBLE' if o in ('x_coordinate', 'y_coordinate') else 'VARCHAR'}) AS {o}" if r else f"'N/A' AS {o}")
-        for o, _, r in staging.ADDRESS_SPEC
-    )
-    excl = ", ".join(lit(v) for v in staging.EXCLUDED_LPI_CLASSES)
+    names = [c.replace("-", "_") for c in schemas.DOMESTIC]
+    # of the columns that both feeds have, the marts take floor-area and the like from neither
+    shared = {c.replace("-", "_") for c in schemas.NON_DOMESTIC} & set(names)
+    dom = ", ".join([*(_certificate(c, set(names)) for c in names), _LINEAGE])
+    nd = ", ".join([*(_certificate(c, shared) for c in names), _LINEAGE])
+    both = ", ".join(_address(c, c.upper()) for c in cat.BOTH_ADDRESS)
+    dpa = f"{both}, {_address('postcode', 'POSTCODE')}, " + ", ".join(_address(c, c.upper()) for c in cat.DPA_ONLY) + f", {_LINEAGE}"
+    lpi = f"{both}, {_address('postcode', 'POSTCODE_LOCATOR')}, " + ", ".join(f"'N/A' AS {c}" for c in cat.DPA_ONLY) + f", {_LINEAGE}"
+    excl = ", ".join(lit(v) for v in cat.EXCLUDED_LPI_CLASSES)
     return [
         derived.duckdb_ctes(),
         f"stg_certificates AS (SELECT {dom}, 'domestic' AS certificate_type FROM domestic_raw "

@@ -227,3 +227,32 @@ ZERO_BEFORE = ['KgCO2SAP2012', 'KgCO22017', 'KgCO2SAP102', 'KgCO22025', 'KgCO220
  'kWhyr', 'kWhHeatingDemandm2yr', 'AvHeatLossCoefficientwK', 'TotalFloorArea']
 
 ZERO_AFTER = ['CumulativeCost', 'SAPfollowingthisMeasure', 'IndividualSAPincrease', 'CumulativeSAPincrease', 'AverageHeatLossCoefficient (w/K)']
+
+# Staging: how each certificate column that is no plain text is cast.
+NULLIF_DOUBLE = """
+fixed_lighting_outlets_count energy_consumption_potential low_energy_fixed_light_count current_energy_efficiency photo_supply
+environment_impact_potential multi_glaze_proportion flat_storey_count lighting_cost_current floor_height lighting_cost_potential
+heating_cost_current hot_water_cost_current co2_emiss_curr_per_floor_area extension_count co2_emissions_current
+environment_impact_current hot_water_cost_potential heating_cost_potential unheated_corridor_length
+""".split()
+NULLIF_INTEGER = "number_open_fireplaces number_heated_rooms low_energy_lighting wind_turbine_count number_habitable_rooms".split()
+STRICT_DOUBLE = "co2_emissions_potential total_floor_area energy_consumption_current potential_energy_efficiency".split()
+STRICT_DATE = ["inspection_date", "lodgement_date"]
+ADDRESS_DOUBLE = ["x_coordinate", "y_coordinate", "local_custodian_code", "match"]
+# The address columns that each feed's staging keeps, and those of the DPA feed alone.
+BOTH_ADDRESS = """
+rpc logical_status_code country_code_description x_coordinate last_update_date classification_code_description status parent_uprn
+postal_address_code local_custodian_code_description language blpu_state_code_description blpu_state_code local_custodian_code
+blpu_state_date postal_address_code_description uprn topography_layer_toid address y_coordinate match_description classification_code
+entry_date match country_code
+""".split()
+DPA_ONLY = """
+organisation_name udprn delivery_point_suffix building_number thoroughfare_name dependent_locality dependent_thoroughfare_name post_town
+building_name sub_building_name
+""".split()
+# Address classes that are no buildings.
+EXCLUDED_LPI_CLASSES = [
+    "Street Record", "Property Shell", "Static Water", "Electricity Sub-Station", "Postal Box", "Bus Shelter",
+    "Additional Mail / Packet Addressee", "Hopper / Silo / Cistern / Tank", "General Storage Land", "Telecommunication",
+    "House Boat", "Equestrian", "Telephone Box", "PO Box", "Advertising Hoarding", "Allocated Parking",
+]

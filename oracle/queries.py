@@ -161,6 +161,111 @@ def _handoff_sql() -> str:
     return f"SELECT {', '.join(exprs)} FROM base_plus WHERE UPRN IS NOT NULL"
 
 
+def _quarantine_sql() -> str:
+    key = 'CAST("lmk-key" AS BIGINT)'
+    bad = [("total_floor_area", 211, "n/a", "double", "strict"), ("lodgement_date", 307, "31/12/2019", "date", "strict"), ("number_open_fireplaces", 401, "two", "int", "nullif")]
+    lines = [
+        f"SELECT \"lmk-key\" AS lmk_key, 'domestic' AS certificate_type, '{c}' AS \"column\", '{v}' AS value, '{t}' AS type, '{r}' AS rule "
+        f"FROM domestic_raw WHERE {key} % {n} = 0"
+        for c, n, v, t, r in bad
+    ]
+    clean = " AND ".join(f"{key} % {n} <> 0" for _, n, *_ in bad)
+    for kind, table, where in (("domestic", "domestic_raw", clean), ("non_domestic", "non_domestic_raw", "true")):
+        lines.append(f"SELECT NULL, '{kind}', '*', CAST(count(*) AS VARCHAR), NULL, 'accepted' FROM {table} WHERE {where}")
+    return " UNION ALL ".join(lines)
+
+
+def _snapshot_ctes() -> list[str]:
+    from brickwork.sources import schemas
+
+    cols = [c.replace("-", "_") for c in schemas.DOMESTIC] + schemas.LINEAGE + ["certificate_type"]
+    # values are paired in the order in which staging lists its columns
+    from brickwork.plans.staging import CERTIFICATE_SPEC
+
+    listed = [out for _, out, _, _ in CERTIFICATE_SPEC] + ["certificate_type"]
+    assert sorted(listed) == sorted(cols)
+    order = ", ".join(f"{c} NULLS FIRST" for c in listed if c != "uprn")
+    key = "CAST(lmk_key AS BIGINT)"
+    entries = ", ".join(
+        f"{{'column': '{c}', 'old': CAST(l.{c} AS VARCHAR), 'new': CAST(r.{c} AS VARCHAR), 'diff': l.{c} IS DISTINCT FROM r.{c}}}" for c in listed if c != "uprn"
+    )
+    return [
+        f"changed AS (SELECT * REPLACE (CASE WHEN {key} % 53 = 0 THEN upper(address) ELSE address END AS address, "
+        f"CASE WHEN {key} % 47 = 0 THEN total_floor_area + 1 ELSE total_floor_area END AS total_floor_area, "
+        f"CASE WHEN {key} % 59 = 0 THEN CAST(lodgement_date + INTERVAL 1 DAY AS DATE) ELSE lodgement_date END AS lodgement_date) "
+        f"FROM stg_certificates WHERE {key} % 101 <> 0)",
+        f"next_release AS (SELECT * FROM changed UNION ALL SELECT * REPLACE (lmk_key || '-new' AS lmk_key) FROM stg_certificates WHERE {key} % 89 = 0)",
+        f"gone AS (SELECT *, true AS old_side, row_number() OVER (PARTITION BY uprn ORDER BY {order}) AS occurrence "
+        "FROM (SELECT * FROM stg_certificates EXCEPT ALL SELECT * FROM next_release))",
+        f"come AS (SELECT *, true AS new_side, row_number() OVER (PARTITION BY uprn ORDER BY {order}) AS occurrence "
+        "FROM (SELECT * FROM next_release EXCEPT ALL SELECT * FROM stg_certificates))",
+        "pairs AS (SELECT coalesce(l.uprn, r.uprn) AS uprn, CAST(coalesce(l.occurrence, r.occurrence) AS INTEGER) AS occurrence, "
+        "CASE WHEN old_side IS NULL THEN 'added' WHEN new_side IS NULL THEN 'removed' ELSE 'changed' END AS change, "
+        f"unnest([{entries}]) AS e FROM gone l FULL JOIN come r ON l.uprn = r.uprn AND l.occurrence = r.occurrence)",
+    ]
+
+
+def _declared_sql() -> str:
+    tables = {"certificates": "stg_certificates", "enriched": "enriched", "recommendations": "stg_recommendations", "address_base": "base_plus", "profiling": "profiling", "measures": "mm"}
+    out = []
+
+    def add(table, check, column, failures):
+        out.append(f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", {lit(column)} AS \"column\", CAST(({failures}) AS BIGINT) AS failures")
+
+    def rows(table, check, column, where):
+        add(table, check, column, f"SELECT count(*) FROM {tables[table]} WHERE {where}")
+
+    def kind(table, column, types):
+        listed = ", ".join(lit(t) for t in types)
+        add(table, "type", column, f"SELECT CASE WHEN max(split_part(typeof({q(column)}), '(', 1)) IN ({listed}) THEN 0 ELSE 1 END FROM {tables[table]}")
+
+    for t in ("certificates", "enriched"):
+        for c, values in (("walls_env_eff", QC.WALLS_ENV_EFF_VALUES), ("glazed_area", QC.GLAZED_AREA_VALUES)):
+            rows(t, "accepted_values", c, f"{c} NOT IN ({', '.join(lit(v) for v in values)})")
+        for c in ("fixed_lighting_outlets_count", "low_energy_fixed_light_count"):
+            rows(t, "between", c, f"{c} < 0 OR {c} > 300")
+    add("certificates", "row_count", "", "SELECT CASE WHEN count(*) > 0 THEN 0 ELSE 1 END FROM stg_certificates")
+    repeated = "SELECT count(*) FROM (SELECT {0} FROM {1} WHERE {0} IS NOT NULL GROUP BY {0} HAVING count(*) > 1)"
+    add("certificates", "unique", "lmk_key", repeated.format("lmk_key", "stg_certificates"))
+    rows("recommendations", "not_null", "lmk_key", "lmk_key IS NULL")
+    rows("recommendations", "relationship", "lmk_key", "lmk_key IS NOT NULL AND lmk_key NOT IN (SELECT lmk_key FROM stg_certificates WHERE lmk_key IS NOT NULL)")
+    for c in ("UPRN", "UDPRN", "PostcodeLocator"):
+        rows("address_base", "not_null", c, f"{q(c)} IS NULL")
+    rows("address_base", "regex", "PostcodeLocator", f"NOT regexp_matches(PostcodeLocator, {lit(QC.POSTCODE_OR_NA_REGEX)})")
+    rows("address_base", "between", "Latitude", "abs(Latitude) > 90")
+    rows("address_base", "between", "Longitude", "abs(Longitude) > 180")
+    empty = ["ConservationArea", "NationalPark", "WorldHeritageSite", "AONB"]
+    for c in empty:
+        rows("address_base", "all_null", c, f"{q(c)} IS NOT NULL")
+    for c in ["XCoordinate", "YCoordinate", "Latitude", "Longitude", "WardCode", "LSOA11Code", "COA11Code", "ParishCode", *empty]:
+        kind("address_base", c, ["DOUBLE"])
+    for c in ("Address", "ParentUPRN", "Class", "ClassDescription"):
+        kind("address_base", c, ["VARCHAR"])
+    add("address_base", "unique", "UPRN", repeated.format("UPRN", "base_plus"))
+    for c, t in {"Address": "VARCHAR", "FuelBills(£/yr)": "DOUBLE", "SAPRating": "DOUBLE", "SAPBand": "VARCHAR", "PropertyType": "VARCHAR"}.items():
+        kind("profiling", c, [t])
+    add("profiling", "unique", "UPRN", repeated.format("UPRN", "profiling"))
+    rows("profiling", "is_date", "LodgementDate", "LodgementDate IS NOT NULL AND TRY_CAST(CAST(LodgementDate AS VARCHAR) AS DATE) IS NULL")
+    add("profiling", "fewer_rows_than", "", "SELECT CASE WHEN (SELECT count(*) FROM profiling) < (SELECT count(*) FROM stg_certificates) THEN 0 ELSE 1 END")
+    rows("measures", "between", "SAP", "SAP < 0 OR SAP > 300")
+    rows("measures", "between", "EI", "EI < 0 OR EI > 150")
+    for c in ("EI", "KgCO2SAP2012", "KgCO22017", "FuelBills", "HeatingCost", "TotalFloorArea", "ImprovementIndex", "MeasureGroupId"):
+        kind("measures", c, ["DOUBLE"])
+    for c in ("Category", "MeasureGroupName", "COST", "ImprovementDescrText"):
+        kind("measures", c, ["VARCHAR"])
+    return " UNION ALL ".join(out)
+
+
+def _sorted_sql() -> str:
+    others = ["UDPRN", "AddressId", "Address", "SAP", "EI", *QC.ZERO_BEFORE, "Category", "MeasureGroupId", "MeasureGroupName", "COST",
+              "ImprovementDescrText", *QC.ZERO_AFTER, "MeasureOutcomeId", "MeasureOutcomeName", "FuzzyMatched"]
+    order = ", ".join(f"{q(c)} NULLS LAST" for c in others)
+    return (
+        f"SELECT row_number() OVER (ORDER BY UPRN DESC NULLS LAST, ImprovementIndex NULLS LAST, {order}) AS position, "
+        "UPRN, ImprovementIndex, UDPRN, Address, MeasureGroupId, COST FROM mm"
+    )
+
+
 def build() -> dict[str, str]:
     st = staging_ctes()
     en = st + enrich_ctes()
@@ -218,6 +323,14 @@ def build() -> dict[str, str]:
             st + _UNBLOCKED, _brute_best(fn.wratio("l_text", "r_text", fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)
         ),
         "token_sort_match": with_ctes(st + _UNBLOCKED, _brute_best(fn.ratio(fn.token_sort("l_text"), fn.token_sort("r_text")), 80.0)),
+        "token_sort_match_low": with_ctes(st + _UNBLOCKED, _brute_best(fn.ratio(fn.token_sort("l_text"), fn.token_sort("r_text")), 10.0)),
+        "staging_quarantine": with_ctes(st, _quarantine_sql()),
+        "snapshot_diff": with_ctes(
+            st + _snapshot_ctes(),
+            "SELECT uprn, occurrence, e['column'] AS \"column\", e['old'] AS old, e['new'] AS \"new\", change FROM pairs WHERE change <> 'changed' OR e['diff']",
+        ),
+        "sorted_measures": with_ctes(en + _measures_ctes(), _sorted_sql()),
+        "declared_tests": with_ctes(pr + _base_plus_ctes() + _measures_ctes(), _declared_sql()),
         "recommendation_consolidation": with_ctes(
             st,
             "SELECT DISTINCT lmk_key AS LMK_KEY, improvement_item AS IMPROVEMENT_ITEM, "
