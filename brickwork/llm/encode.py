@@ -3,14 +3,14 @@
 Both vocabularies cut a text before every run of white space, so the ids of a text are those of its words
 joined.  A word's ids come from the tokenizer once and are remembered (``MEMORY`` words a worker, then
 the memory starts anew).  Texts whose white space is not single blanks or line ends between words are
-given to the tokenizer whole.
+given to the tokenizer whole, as are texts that spell one of the vocabulary's control tokens, which keep their ids.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
-import numpy as np
 
 from brickwork.llm.common import remembered
 
@@ -30,6 +30,11 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids (Spark's executors and Arrow are little-endian throughout)."""
+    return array("I", ids).tobytes()
+
+
 class Words(dict):
     """Word to little-endian unsigned 32-bit ids; the first occurrence asks the tokenizer."""
 
@@ -38,18 +43,20 @@ class Words(dict):
 
         self.memory = memory
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.marks = {m: np.array(self._model(m), "<u4").tobytes() for m in ".,;:!?"}
+        self.blank = " ".translate(self.letters)
+        self.marks = {m: _packed(self._model(m)) for m in ".,;:!?"}
         self.spaced = self.tokenizer.normalizer is None  # else white space is dropped and case folded
+        self.controls = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _model(self, token: str) -> list[int]:
-        token = token.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(token)]
+    def _model(self, token: str, blank: bool = False) -> list[int]:
+        if not token.isascii() or "\n" in token:
+            token = token.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenize(self.blank + token if blank else token)]
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.memory:
@@ -59,12 +66,11 @@ class Words(dict):
             if mark:
                 found = self[line + letters] + self.marks[mark]
             elif self.spaced:
-                ids = self._model(line) + self._model(letters) if line else self._model(" " + letters)
-                found = np.array(ids, "<u4").tobytes()
+                found = _packed(self._model(line) + self._model(letters) if line else self._model(letters, True))
             elif line or letters != letters.lower():
                 found = self[letters.lower()]
             else:
-                found = np.array(self._model(letters), "<u4").tobytes()
+                found = _packed(self._model(letters))
         elif not self.spaced:
             found = self.whole(word)
         elif not word or word == "\n" or _SPACE.search(word):
@@ -77,6 +83,8 @@ class Words(dict):
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(c in text for c in self.controls):
+            return self.whole(text)
         if not self.spaced:
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         first, *rest = text.replace("\n", " \n").split(" ")

@@ -1,8 +1,8 @@
 """Token ids in compressed binary blocks: range asymmetric numeral system with one shared, static table.
 
 Writing takes three steps.  Documents are dealt to ranges of ascending id, tokenized and cut, in order, into
-blocks of whole documents (about ``BLOCK`` ids).  The frequencies of all ids are counted over all blocks
-and scaled to a table of 2^20 slots in which every id of the vocabulary has one.  Every block is then coded
+blocks of whole documents (about ``BLOCK`` ids).  Each task counts its ids as it goes and leaves the counts with its
+last block; their sums are scaled to a table of 2^20 slots in which every id of the vocabulary has one.  Every block is then coded
 by itself: its ids go round ``lanes`` interleaved coders, vectorised, and every ``EVERY`` rounds the
 coders' states and the place in the stream are kept, so that decoding can start there.  Blocks have a header
 and checksums; Spark's Parquet sink holds them with their document index, so any store that Spark
@@ -123,7 +123,7 @@ def decode_block(block: bytes, table: Table, checkpoint: int = 0) -> np.ndarray:
     return ids
 
 
-_RAW = "part int, block int, n_ids bigint, doc_ids binary, known binary, lengths binary, ids binary"
+_RAW = "part int, block int, n_ids bigint, doc_ids binary, known binary, lengths binary, ids binary, counts binary"
 _CODED = "part int, block int, n_ids bigint, doc_ids binary, known binary, lengths binary, payload binary"
 _DOCS = "doc_id bigint, part int, block int, offset bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -135,7 +135,7 @@ def _arrow(schema: str):
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in schema.split(", "))])
 
 
-def _blocks(batches: Iterator, path: str, end_id: int) -> Iterator:
+def _blocks(batches: Iterator, path: str, end_id: int, vocabulary: int) -> Iterator:
     import pyarrow as pa
     from pyspark import TaskContext
 
@@ -146,12 +146,15 @@ def _blocks(batches: Iterator, path: str, end_id: int) -> Iterator:
     docs: list = []
     texts: list[bytes] = []
     block = held = 0
+    counts = np.zeros(vocabulary, np.int64)
 
-    def flush() -> pa.RecordBatch:
+    def flush(last: bool = False) -> pa.RecordBatch:
+        coded = b"".join(texts)
+        np.add(counts, np.bincount(np.frombuffer(coded, "<u4"), minlength=vocabulary), out=counts)
         lengths = np.array([len(t) // 4 for t in texts], np.int64)
         known = np.array([d is not None for d in docs], np.uint8)
         ids = np.array([d or 0 for d in docs], np.int64)
-        row = [part, block, int(lengths.sum()), ids.tobytes(), known.tobytes(), lengths.tobytes(), b"".join(texts)]
+        row = [part, block, int(lengths.sum()), ids.tobytes(), known.tobytes(), lengths.tobytes(), coded, zlib.compress(counts.tobytes(), 1) if last else None]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, schema.types, strict=True)], schema=schema)
 
     for batch in batches:
@@ -164,8 +167,8 @@ def _blocks(batches: Iterator, path: str, end_id: int) -> Iterator:
                 if held >= BLOCK:
                     yield flush()
                     docs, texts, held, block = [], [], 0, block + 1
-    if docs:
-        yield flush()
+    if docs or block:
+        yield flush(last=True)
 
 
 def _counts(batches: Iterator, vocabulary: int) -> Iterator:
@@ -173,8 +176,8 @@ def _counts(batches: Iterator, vocabulary: int) -> Iterator:
 
     total = np.zeros(vocabulary, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            total += np.bincount(np.frombuffer(ids.as_buffer(), np.uint32), minlength=vocabulary)
+        for counts in batch.column(0).to_pylist():
+            total += np.frombuffer(zlib.decompress(counts), np.int64)
     chunks = [(i, total[i : i + CHUNK]) for i in range(0, vocabulary, CHUNK)]
     chunks = [(i, c) for i, c in chunks if c.any()]
     yield pa.RecordBatch.from_pydict({"first": pa.array([i for i, _ in chunks], pa.int32()), "counts": pa.array([c.tolist() for _, c in chunks], pa.list_(pa.int64()))})
@@ -183,7 +186,8 @@ def _counts(batches: Iterator, vocabulary: int) -> Iterator:
 def _frequencies(blocks: DataFrame, vocabulary: int) -> np.ndarray:
     """Occurrences of every id; the result is as long as the vocabulary, whatever the data."""
     sums = (
-        blocks.select("ids")
+        blocks.select("counts")
+        .filter("counts IS NOT NULL")
         .mapInArrow(lambda b: _counts(b, vocabulary), "first int, counts array<bigint>")
         .select("first", F.posexplode("counts").alias("at", "n"))
         .groupBy((F.col("first") + F.col("at")).alias("id"))
@@ -248,9 +252,9 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, id: str = "doc_id", te
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).withColumn("tie", F.xxhash64("text"))
     n = 2 * shuffle_partitions(docs.sparkSession)
     dealt = rows.repartitionByRange(n, "id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
-    raw = Stage(dealt.mapInArrow(lambda b: _blocks(b, path, end_id), _RAW), "rans-ids")
+    raw = Stage(dealt.mapInArrow(lambda b: _blocks(b, path, end_id, vocabulary), _RAW), "rans-ids")
     counts = _frequencies(raw.df, vocabulary)
     freq = counts.tobytes()
-    coded = Stage(raw.df.mapInArrow(lambda b: _coded(b, freq), _CODED), "rans-blocks")
+    coded = Stage(raw.df.drop("counts").filter("n_ids > 0").mapInArrow(lambda b: _coded(b, freq), _CODED), "rans-blocks")
     raw.drop()
     return TokenFiles(coded, counts)

@@ -12,20 +12,20 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def ids_of(text, path=PATH, end=0):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(path)  # as it comes: control tokens in a text keep their ids
     return np.array([*t.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_remembered_words_equal_the_tokenizer(name):
-    encoder = words(public_tokenizers.path(name))
+    encoder, plain = words(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
     texts = [
         "", " a", "a ", "a\n\nb", "a  b", "\n", "\tX y", "It's  don't we're", "x <|endoftext|> y", "é É ñandú", "a\xa0b c", "Å x", "ΣΑΣ x", "12 3,4 5.5",
+        "<|endoftext|>", "a<|endoftext|>b", "a\n<|startoftext|> <|endoftext|>.", "<|ENDOFTEXT|> x", "<|endoftext|",
         "  ", "a\n b", "A\nB.\nC!", "\nfoo", "foo\n", "日本語 テスト a", "it's\nwe'll", "İstanbul ß ẞ x", "a b c\x1cd e", "don't. 'S", "x…y", "Word. word, WORD!",
     ]
     for text in texts * 2:
-        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        want = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want, text
 
 
