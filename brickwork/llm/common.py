@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,21 +37,45 @@ class Stage:
 _held: dict = {}
 
 
-def remembered(key, make):
-    """What ``make`` returns, kept by a Python worker until an operator asks for something else: workers outlive
-    stages, and what one operator remembers must not lie beside the next one's data."""
-    if key not in _held:
-        import gc
+def give_back() -> None:
+    """What this Python worker no longer uses goes back to the system: workers outlive stages, and allocators keep
+    what was freed, so the memory of one stage would lie beside the next one's."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        pass
+
 
-        import pyarrow
+def tidied(batches: Iterator) -> Iterator:
+    """The same batches; memory is given back after the last one."""
+    yield from batches
+    give_back()
 
+
+def remembered(key, make):
+    """What ``make`` returns, kept by a Python worker until an operator asks for something else."""
+    if key not in _held:
         _held.clear()
-        gc.collect()
-        pyarrow.default_memory_pool().release_unused()
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def free_name(taken: Iterable[str], wanted: str) -> str:
+    """``wanted``, with as many underscores in front as keep it from clashing."""
+    taken = {c.lower() for c in taken}
+    while wanted.lower() in taken:
+        wanted = "_" + wanted
+    return wanted
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

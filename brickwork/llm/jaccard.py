@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brickwork.llm.common import Stage, key_runs, remembered, small_side
+from brickwork.llm.common import Stage, key_runs, remembered, small_side, tidied
 from brickwork.llm.components import components
 
 #: Documents sampled for the order of shingles, and shingles that the order puts last.
@@ -171,7 +171,7 @@ def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that a bounded sample of documents holds more than once, ascending, and their places by frequency."""
     share = min(1.0, SAMPLE / max(docs.count(), 1))
     sample = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
-    counts = sample.mapInArrow(lambda b: _sample_counts(b, words), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(lambda b: tidied(_sample_counts(b, words)), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counts.filter("n > 1").orderBy(F.desc("n"), "token").limit(COMMON).toPandas()
     tokens, n = rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
     order = np.argsort(tokens)
@@ -373,14 +373,14 @@ def _hash_sets(batches: Iterator, words: int) -> Iterator:
 def _links(docs: DataFrame, groups: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Edges that connect all linked documents of each group."""
     texts = docs.join(small_side(groups.select(F.col("doc").alias("id"))), "id", "left_semi")
-    sets = Stage(texts.mapInArrow(lambda b: _hash_sets(b, words), "doc bigint, n bigint, hashes binary"), "jaccard-sets").df
+    sets = Stage(texts.mapInArrow(lambda b: tidied(_hash_sets(b, words)), "doc bigint, n bigint, hashes binary"), "jaccard-sets").df
     sets = sets.dropDuplicates(["doc", "hashes"])
     load = groups.join(sets.select("doc", "n"), "doc").groupBy("group").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("load"))
     chunks = F.ceil(F.greatest(F.col("docs") / GROUP_DOCS, F.col("load") / GROUP_SHINGLES)).cast("int")
     members = groups.join(load.select("group", chunks.alias("chunks")), "group")
     dealt = _paired(members, ["group"], "chunks", "doc").join(sets.select("doc", "hashes"), "doc")
     key = ["group", "lo", "hi"]
-    return dealt.select(*key, "doc", "mine", "hashes").repartition(*key).sortWithinPartitions(*key, "doc").mapInPandas(lambda f: _link(f, num, den), "a bigint, b bigint")
+    return dealt.select(*key, "doc", "mine", "hashes").repartition(*key).sortWithinPartitions(*key, "doc").mapInPandas(lambda f: tidied(_link(f, num, den)), "a bigint, b bigint")
 
 
 def join_components(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -388,7 +388,7 @@ def join_components(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     common, place = _common(rows, words)
     schema = ", ".join(f"{name} {kind}" for name, kind in _SIGNED)
-    signed = Stage(rows.mapInArrow(lambda b: _sign(b, words, num, den, common, place), schema), "jaccard-signed").df
+    signed = Stage(rows.mapInArrow(lambda b: tidied(_sign(b, words, num, den, common, place)), schema), "jaccard-signed").df
     classes = signed.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
     firsts = signed.join(classes.select(F.col("rep").alias("doc"), F.col("f1").alias("g1"), F.col("f2").alias("g2")), "doc")
     firsts = firsts.filter("f1 = g1 AND f2 = g2").dropDuplicates(["doc", "f1", "f2"])

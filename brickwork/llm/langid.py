@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from brickwork.llm.common import Stage, remembered, small_side
+from brickwork.llm.common import Stage, remembered, small_side, tidied
 
 TOP, ORDERS, PER_LANG = 300, 5, 500
 UNKNOWN = "und"
@@ -128,6 +128,23 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     return Profiles({k: [int(np.int64(key).astype(np.uint64)) for _, key in sorted(v)] for k, v in ranked.items()})
 
 
+#: How many labelled documents the floor is fitted on, and the share of their lowest scores that it may be.
+FLOOR_SAMPLE, FLOOR_SHARE = 4_000, 0.75
+
+
+def floor_score(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str = "text", lang: str = "lang") -> float:
+    """The score below which a text is in none of the learned languages: three quarters of what all but one in a
+    thousand labelled documents reach that no profile was learned from.  0 if there are none.
+
+    Fitted on at most ``FLOOR_SAMPLE`` documents, those whose ids a hash puts first."""
+    labelled = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter(~learnable("id") & F.col("lang").isin(profiles.langs))
+    chosen = labelled.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(FLOOR_SAMPLE)
+    sample = labelled.join(small_side(Stage(chosen, "langid-floor").df), "id", "left_semi").filter("text IS NOT NULL").select("lang", "text")
+    found = identify(sample, profiles, pred="pred", score="score").filter("pred = lang")
+    low = found.agg(F.percentile_approx("score", 0.001, FLOOR_SAMPLE)).first()[0]
+    return FLOOR_SHARE * low if low is not None else 0.0
+
+
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score."""
     kept = [c for c in docs.columns if c not in (pred, score)]
@@ -143,4 +160,4 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", pred: str
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*kept, pred, score])
 
     schema = StructType([*rows.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: tidied(run(batches)), schema)
