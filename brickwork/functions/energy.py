@@ -54,9 +54,18 @@ def energy_used(area) -> Column:
     return _c(area) * F.lit(AVG_KWH_PER_M2_PER_ANNUM)
 
 
-def heating_cost(area, fuel) -> Column:
-    """Standing charge + unit price x energy used (a priced-fuel lookup)."""
-    return standing_cost(fuel) + unit_price(fuel) * energy_used(area)
+def known_fuel(fuel) -> Column:
+    """Whether a fuel has a price; NULL for no fuel."""
+    return _c(fuel).isin(list(FUEL_PRICES))
+
+
+def heating_cost(area, fuel, strict: bool = True) -> Column:
+    """Standing charge + unit price x energy used (a priced-fuel lookup).  A fuel without a price raises, as the
+    lookup in the reference does; with ``strict=False`` its cost is NULL."""
+    cost = standing_cost(fuel) + unit_price(fuel) * energy_used(area)
+    if not strict:
+        return cost
+    return F.when(~known_fuel(fuel), F.raise_error(F.concat(F.lit("no price for fuel "), _c(fuel)))).otherwise(cost)
 
 
 def total_energy_cost(water, lighting, heating) -> Column:

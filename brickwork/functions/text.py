@@ -147,9 +147,9 @@ def title_case_address_parts(c, case_sensitive: bool = True) -> Column:
 
 
 def remove_postcode_and_title_case(c) -> Column:
-    """Drop every upper-case postcode (with a comma before it), trim, and
-    title-case the comma parts, except one that is a postcode in any case."""
-    rest = trim_ws(F.regexp_replace(_c(c), rf"(,\s*)?{HANDOFF_POSTCODE}", ""))
+    """Drop every upper-case postcode (with a comma before it), trim it and
+    its commas at the end, and title-case the comma parts, except one that is a postcode in any case."""
+    rest = F.rtrim(trim_ws(F.regexp_replace(_c(c), rf"(,\s*)?{HANDOFF_POSTCODE}", "")), F.lit(","))
     return title_case_address_parts(rest, case_sensitive=False)
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.derived import load_feed
 from . import staging
 from .enrich import enrich_certificates
@@ -39,6 +40,21 @@ def profiling_sap_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_sap_scores(profiling_mart(spark, sf_dir))
 
 
+def staging_tables(spark: SparkSession, sf_dir: str, path: str, buckets: int, prefix: str = "stg") -> dict[str, DataFrame]:
+    """Staging as bucketed tables under ``path``, for the joins that the marts repeat: certificates and
+    recommendations by certificate (J1, J11), certificates and both address feeds by property (J3, J4)."""
+    from .. import sinks
+
+    certificates = cut_lineage(staged_certificates(spark, sf_dir))
+    feeds = {
+        "certificates": (certificates, ["lmk_key"]),
+        "certificates_by_property": (certificates, ["uprn"]),
+        "recommendations": (staged_recommendations(spark, sf_dir), ["lmk_key"]),
+        "addresses": (staged_addresses(spark, sf_dir), ["uprn"]),
+    }
+    return {name: sinks.save_bucketed(df, f"{prefix}_{name}", keys, buckets, f"{path.rstrip('/')}/{name}") for name, (df, keys) in feeds.items()}
+
+
 def build_marts(spark: SparkSession, sf_dir: str, out_dir: str, csv_exports: bool = False) -> dict[str, str]:
     """Run the whole model DAG once and write every mart under ``out_dir``.
 
@@ -49,7 +65,6 @@ def build_marts(spark: SparkSession, sf_dir: str, out_dir: str, csv_exports: boo
     still correct and recomputable after executor loss.
     """
     from .. import sinks
-    from ..session import cut_lineage
     from . import marts
 
     enriched = cut_lineage(enriched_certificates(spark, sf_dir))

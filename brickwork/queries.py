@@ -413,3 +413,39 @@ def declared_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "measures": marts.measures_mart(marts.measures_base(enriched, recommendations, addresses)),
     }
     return rules.run(tables, RULES)
+
+
+@register
+def handoff_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three marts as handed over, each row by its key, its address and a digest of the whole row."""
+    from .plans import handoff
+    from .plans.profiling import profile
+
+    addresses = chain.staged_addresses(spark, sf_dir)
+    enriched = cut_lineage(chain.enriched_certificates(spark, sf_dir))
+    done = {
+        "profiling": handoff.profiling(profile(enriched)),
+        "address_base": handoff.address_base(marts.base_plus(addresses)),
+        "measures": handoff.measures(marts.measures_mart(marts.measures_base(enriched, chain.staged_recommendations(spark, sf_dir), addresses))),
+    }
+    key = {"profiling": "LodgementDate", "address_base": "ParentUPRN", "measures": "UDPRN"}
+    out = [
+        d.select(F.lit(n).alias("mart"), "UPRN", "Address", F.col(key[n]).cast("string").alias("detail"), F.lit(",".join(d.columns)).alias("headers"))
+        for n, d in done.items()
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register
+def bucketed_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, J1, J3, J4, J11 over bucketed staging: certificates by recommendation, and by address feed."""
+    from .session import scratch_path
+
+    path = scratch_path(spark, "staging")
+    t = chain.staging_tables(spark, sf_dir, path, 16, f"stg_{path[-8:]}")
+    rec = t["recommendations"].groupBy("lmk_key").agg(F.count(F.lit(1)).alias("recommendations"), F.min("improvement_item").alias("first_item"))
+    by_key = t["certificates"].select("lmk_key", "uprn", "lodgement_date").join(rec, "lmk_key", "left")
+    feeds = t["addresses"].groupBy("uprn").agg(F.count_if(F.col("os_api_source") == "DPA").alias("dpa"), F.count_if(F.col("os_api_source") == "LPI").alias("lpi"))
+    by_property = t["certificates_by_property"].filter("uprn <> ''").select("lmk_key", "uprn").join(feeds, "uprn").select("lmk_key", "dpa", "lpi")
+    found = by_key.join(by_property, "lmk_key", "left")
+    return found.select("lmk_key", "uprn", "recommendations", "first_item", F.coalesce("dpa", F.lit(0)).alias("dpa"), F.coalesce("lpi", F.lit(0)).alias("lpi"))

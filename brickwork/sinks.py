@@ -27,6 +27,34 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """A table in buckets of its keys, each sorted by them and in one file (K1), and the table read back.  Tables with
+    the same buckets join on their keys without an exchange, as often as they are read."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def write_keyed(df: DataFrame, path: str, key: str, rows_per_group: int = 100_000) -> None:
+    """A table laid out for lookups by ``key`` (F8, F9): in order of the key over files and row groups, so their
+    least and greatest keys exclude most, and with Bloom filters of the key for values in between."""
+    ordered = in_order(df, [key])
+    options = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.block.row.count.limit": str(rows_per_group)}
+    ordered.write.mode("overwrite").options(**options).parquet(path)
+
+
+def lookup(table: DataFrame, key: str, *values) -> DataFrame:
+    """The rows of some keys (F8); the filter reaches the scan."""
+    return table.filter(F.col(key).isin(*values) if len(values) > 1 else F.col(key) == F.lit(values[0]))
+
+
+def open_range(table: DataFrame, key: str, above, below) -> DataFrame:
+    """The rows with a key strictly between two values."""
+    return table.filter((F.col(key) > F.lit(above)) & (F.col(key) < F.lit(below)))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, order: list | None = None) -> None:
     """CSV with header, in a total order over its files if ``order`` is given; ``single_file`` uses one task (opt-in)."""
     out = in_order(df, order, 1 if single_file else None) if order else df.coalesce(1) if single_file else df

@@ -98,11 +98,12 @@ def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield out.assign(source_path=path)
 
 
-def read_recommendation_zips(spark: SparkSession, path: str) -> DataFrame:
+def read_recommendation_zips(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Zipped segment downloads -> recommendation rows.  Zip is not a Hadoop
     codec, so each file is unpacked by ``mapInPandas`` on an executor (one
     file per task batch, streamed in chunks)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+    options = {"pathGlobFilter": "*.zip", "recursiveFileLookup": str(recursive).lower()}
+    files = spark.read.format("binaryFile").options(**options).load(path).select("path", "content")
     schema = T.StructType(RECOMMENDATION_SCHEMA.fields + [T.StructField("source_path", T.StringType())])
     return files.mapInPandas(_unzip_batches, schema)
 

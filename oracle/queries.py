@@ -266,6 +266,43 @@ def _sorted_sql() -> str:
     )
 
 
+_HANDED = {
+    "profiling": "LMK_KEY,UPRN,UDPRN,ParityAddressId,Address,Postcode,EnvironmentalImpactRating,EnvironmentalImpactRatingBand,FuelBills(£/yr),"
+    "RealisticFuelBill(Regional),tCO2,HeatingCost(£/yr),SAPRating,SAPBand,LodgementDate,SAPVersion,PropertyType,ConstructionAgeBand,BuiltForm,"
+    "StoreysCount,FlatLocation,FlatLevel,LowestFloorArea,MainHeatingCategory,MainFuelType,MainHeatingControl,DerivedSAPMainHeatingCode,"
+    "HeatEmitterType,WaterHeatingFuel,RoofConstruction,RoofInsulationLocation,RoofInsulationThickness,WallConstruction,WallInsulationType,"
+    "WallInsulationThickness,FloorConstruction,FloorInsulation,FloorInsulationThickness,MultipleGlazingType,OpenFireplacesCount,Renewables,"
+    "Ventilation,WaterHeatingCost(£/yr),LightingCost(£/yr),TotalFloorArea,FuzzyMatched,CertificateType",
+    "address_base": "UPRN,UDPRN,Toid,Sharestoid,Address,PostcodeLocator,XCoordinate,YCoordinate,Latitude,Longitude,ParentUPRN,WardCode,"
+    "LSOA11Code,COA11Code,ParishCode,ConservationArea,NationalPark,WorldHeritageSite,AONB,Class,ClassDescription,Osapisource",
+    "measures": "UPRN,UDPRN,AddressID,Address,SAP,EI,KgCO2SAP2012,KgCO22017,KgCO2Sap102,KgCO22025,KgCO22030,KgCO22038,KgCO22050,FuelBills,"
+    "FuelBillsRealistic,HeatingCost,KwhYr,KwhHeatingDemandm2Yr,AvHeatLossCoefficientWk,TotalFloorArea,Improvementindex,Category,"
+    "MeasureGroupID,MeasureGroupName,Cost,Improvementdescrtext,CumulativeCost,SAPFollowingThisMeasure,IndividualSAPIncrease,"
+    "CumulativeSAPIncrease,Averageheatlosscoefficient (W/K),Measureoutcomeid,Measureoutcomename,Fuzzymatched",
+}
+
+
+def _handoff_marts_sql() -> str:
+    pc = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
+
+    def parts(x: str, flags: str) -> str:
+        return (
+            f"array_to_string(list_transform(string_split({x}, ', '), lambda p: CASE WHEN regexp_full_match(p, '{flags}{pc}') THEN upper(p) "
+            f"ELSE {fn.title('p')} END), ', ')"
+        )
+
+    bare = f"rtrim({fn.trim_ws(f"regexp_replace({parts('Address', '')}, '(,\\s*)?{pc}', '', 'g')")}, ',')"
+    whole = "CAST(CAST(CAST({0} AS DOUBLE) AS BIGINT) AS VARCHAR)"
+    selects = [
+        ("profiling", "UPRN", "Address", "CAST(LodgementDate AS VARCHAR)", "profiling WHERE UPRN IS NOT NULL"),
+        ("address_base", "UPRN", parts(bare, "(?i)"), whole.format("ParentUPRN"), "base_plus"),
+        ("measures", whole.format("UPRN"), parts(parts("Address", ""), "(?i)"), whole.format("UDPRN"), "mm WHERE UPRN IS NOT NULL"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS mart, {k} AS UPRN, {a} AS Address, {d} AS detail, {lit(_HANDED[n])} AS headers FROM {t}" for n, k, a, d, t in selects
+    )
+
+
 def build() -> dict[str, str]:
     st = staging_ctes()
     en = st + enrich_ctes()
@@ -330,6 +367,15 @@ def build() -> dict[str, str]:
             "SELECT uprn, occurrence, e['column'] AS \"column\", e['old'] AS old, e['new'] AS \"new\", change FROM pairs WHERE change <> 'changed' OR e['diff']",
         ),
         "sorted_measures": with_ctes(en + _measures_ctes(), _sorted_sql()),
+        "handoff_marts": with_ctes(pr + _base_plus_ctes() + _measures_ctes(), _handoff_marts_sql()),
+        "bucketed_joins": with_ctes(
+            st,
+            "SELECT c.lmk_key, c.uprn, r.recommendations, r.first_item, "
+            "(SELECT count(*) FROM stg_addresses a WHERE a.uprn = c.uprn AND a.os_api_source = 'DPA' AND c.uprn <> '') AS dpa, "
+            "(SELECT count(*) FROM stg_addresses a WHERE a.uprn = c.uprn AND a.os_api_source = 'LPI' AND c.uprn <> '') AS lpi "
+            "FROM stg_certificates c LEFT JOIN (SELECT lmk_key, count(*) AS recommendations, min(improvement_item) AS first_item "
+            "FROM stg_recommendations GROUP BY lmk_key) r ON c.lmk_key = r.lmk_key",
+        ),
         "declared_tests": with_ctes(pr + _base_plus_ctes() + _measures_ctes(), _declared_sql()),
         "recommendation_consolidation": with_ctes(
             st,
