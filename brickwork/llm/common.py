@@ -19,6 +19,11 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 class Stage:
     """A written intermediate table: cuts lineage, survives lost executors, can be dropped early."""
 
@@ -30,8 +35,7 @@ class Stage:
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_path(self.spark, self.path)
 
 
 _held: dict = {}

@@ -104,8 +104,8 @@ class Segmenter:
                 self.known.setdefault(piece[:k], None)
             self.known[piece] = (-math.log(i - first + 2), (i,))
         self.joints = {p[k : k + 2] for p in (self.pieces[i] for i in plain) for k in range(len(p) - 1)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.spelled = [None if i in self.byte_of else p for i, p in enumerate(self.pieces)]
+        byte_of = {i: b for b, i in self.bytes.items()}
+        self.spelled = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
         self.forget()
 
     def forget(self, room: int = 0) -> None:
@@ -240,11 +240,8 @@ class Segmenter:
 
     def decode(self, ids: bytes) -> str:
         """The text of piece ids, without the blank in front."""
-        out: list[bytes] = []
-        for i in np.frombuffer(ids, "<u4").tolist():
-            piece = self.spelled[i]
-            out.append(bytes([self.byte_of[i]]) if piece is None else piece.encode())
-        return b"".join(out).decode("utf-8", "surrogatepass").replace(BLANK, " ")[1:]
+        spelled = b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return spelled.decode("utf-8", "surrogatepass")[1:]
 
 
 def segmenter(path: str) -> Segmenter:

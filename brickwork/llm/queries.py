@@ -42,9 +42,12 @@ def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 4 best segmentations of all documents."""
-    found = nbest.nbest(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=4)
-    return found.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"))
+    """The 4 best segmentations of all documents, and the text that each is decoded to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = nbest.nbest(read(spark, sf_dir, "documents"), path, n=4)
+    pieces = found.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "ids")
+    decoded = nbest.decode(pieces, path)
+    return decoded.select("doc_id", "rank", "score", "n_pieces", "ids_crc32", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op5_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,3 +58,31 @@ def test_empty_table_and_very_long_text(spark):
     got = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert [got[i].n_dropped for i in range(4)] == [1, 1, 1, 0]
     assert got[0].text == docs[0][1].split("\n", 1)[1]
+
+
+def test_runs_are_read_as_they_lie(spark):
+    """A batch is merge-anti-joined with the runs, and runs with runs, without an exchange or a sort of a run."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        runs = lines.Runs(2, lines.shuffle_partitions(spark))
+        rows = lambda a, b: spark.range(a, b).selectExpr("id AS h1", "id * 3 AS h2", "struct(true AS known, id AS doc) AS keeper", "1L AS docs")
+        runs.add_batch(rows(0, 100))
+        with lines.ordered_scans(spark):
+            anti = runs.unseen(rows(50, 150).select(*lines.HASH))._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in anti and anti.count("Exchange") == 1 and anti.count("Sort [") == 1
+        other = lines.Runs(3, lines.shuffle_partitions(spark))
+        other.add_batch(rows(0, 100))
+        other.add_batch(rows(50, 150))
+        with lines.ordered_scans(spark):
+            both = lines.merged(other.all())
+            plan = both._jdf.queryExecution().executedPlan().toString()
+            got = {r.h1: (r.keeper.doc, r.docs) for r in both.collect()}
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+        assert got == {i: (i, 2 if 50 <= i < 100 else 1) for i in range(150)}
+        runs.add_batch(rows(50, 150))
+        assert [len(level) for level in runs.levels] == [0, 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spark.conf.get(lines.KEEP_ORDER) == "false"

@@ -1,11 +1,13 @@
 """N-best segmentation, licence rules and the pipeline."""
 
+from hashlib import sha256
+
 import numpy as np
 import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from brickwork.llm import licences, nbest
+from brickwork.llm import licences, nbest, queries
 from tests.llm import test_jaccard, test_lines, test_packing
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -208,3 +210,12 @@ def test_pipeline_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in one.collect()) == sorted(d for d, _, c in test_jaccard.brute(rows, 5, 8, 10) if d == c)
     final = [(r.doc_id, r.text) for r in one.collect()]
     assert max(test_packing.check(corpus_pipeline.pack(spark, one, sf).collect(), final)) <= 1024
+
+
+def test_the_query_decodes_every_segmentation(spark, tmp_path):
+    texts = ["a few words", "", None, "é 𝔘\n\nx", "  two  blanks ", "x" * 300]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op4_nbest_pieces(spark, str(tmp_path)).collect()
+    want = {i: sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+    assert {r.doc_id for r in rows} == set(want) and all(r.decoded_sha256 == want[r.doc_id] for r in rows)
+    assert sum(r.rank == 2 for r in rows) >= 4
