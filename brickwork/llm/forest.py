@@ -10,14 +10,16 @@ bucket a query meets the buckets beside it that share its bits; it meets all row
 is no more work.  The queries of a bucket are dealt in blocks, its rows in chunks, and every two of them meet.
 
 Inner product becomes nearness by one more coordinate that lengthens all vectors of a band of norms to the
-largest norm there.  Equal vectors are one class: it is searched once, and only its k + 1 smallest ids
+largest norm there; bands are a factor of the root of two wide.  Each band has trees of its own, and a query ascends in
+them to a level of its own, so that the few long vectors are searched as thoroughly as the many short ones; a band of at
+most ``least`` rows is met whole.  Equal vectors are one class: it is searched once, and only its k + 1 smallest ids
 can be in an answer.
 
 How much is searched depends on the data: vectors without structure (random directions) need about a quarter
 of all rows for a recall of 0.9, clustered ones far fewer; ``share`` and ``least`` are parameters.
 
 Defined cases: vectors that are NULL, zero, empty or hold NULL or non-finite components take no part, nor do rows
-with a NULL id; shorter vectors count as padded with zeros; repeated ids are separate rows with one id;
+with a NULL id; shorter vectors count as padded with zeros; rows that share an id are candidates of the others' queries each, but none of their own id's, which is one query;
 with fewer candidates than k all are returned; a query without candidates has no row.
 """
 
@@ -125,7 +127,7 @@ def _descend(frames: Iterator, width: int, first: int, last: int) -> Iterator:
         if not len(have) or not len(asks):
             continue
         strings_, asked = have["hash"].to_numpy(), asks["hash"].to_numpy()
-        out = {"id": asks["id"].to_numpy()}
+        out = {"id": asks["id"].to_numpy(), "tree": asks["tree"].to_numpy()}
         for level in range(last + 1):
             if level < first:
                 out[f"c{level}"] = np.zeros(len(asked), np.int64)
@@ -200,17 +202,18 @@ def above(sizes: DataFrame, asking: DataFrame, first: int) -> DataFrame:
 def asked_buckets(asking: DataFrame, levels: DataFrame, sizes: DataFrame, first: int, trees: int) -> DataFrame:
     """(tree, bucket, hash, id, vector, level) of the buckets that each query asks from its level on."""
     columns = ["tree", "bucket", "hash", "id", "vector", "level"]
-    level = asking.select("id").distinct().join(levels, "id", "left").select("id", F.coalesce("level", F.lit(0)).alias("level"))
-    own = asking.join(level.filter(F.col("level") >= max(first, 1)), "id").select(*columns)
+    key = ["id", "band"]
+    level = asking.select(*key).distinct().join(levels, key, "left").select(*key, F.coalesce("level", F.lit(0)).alias("level"))
+    own = asking.join(level.filter(F.col("level") >= max(first, 1)), key).select(*columns)
     # at level 0 all rows, in the first tree of each band
     first_trees = sizes.filter(F.pmod("tree", F.lit(trees)) == 0).select("tree", "bucket")
-    found = own.unionByName(asking.join(level.filter("level = 0"), "id").filter("t = 0").drop("bucket").join(first_trees, "tree").select(*columns))
+    found = own.unionByName(asking.join(level.filter("level = 0"), key).filter("t = 0").drop("bucket").join(first_trees, "tree").select(*columns))
     if first < 2:
         return found
     prefix = F.expr(f"shiftright(bucket, {first} - level)").alias("prefix")
     beside = sizes.select("tree", "bucket", F.explode(F.sequence(F.lit(1), F.lit(first - 1))).alias("level")).select("tree", "bucket", "level", prefix)
     beside = small_side(Stage(beside, "forest-beside").df)
-    climbing = asking.join(level.filter((F.col("level") > 0) & (F.col("level") < first)), "id").select("tree", "hash", "id", "vector", "level", prefix)
+    climbing = asking.join(level.filter((F.col("level") > 0) & (F.col("level") < first)), key).select("tree", "hash", "id", "vector", "level", prefix)
     return found.unionByName(climbing.join(beside, ["tree", "level", "prefix"]).select(*columns))
 
 
@@ -231,8 +234,8 @@ def nearest(
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     rows = rows.select("id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(7), "v").alias("h2"), norm.alias("norm"))
-    rows = Stage(rows.withColumn("band", F.round(F.log2("norm")).cast("int")), "forest-rows").df
-    bands = {r.band: r.longest for r in rows.groupBy("band").agg(F.max("norm").alias("longest")).collect()}  # as many as powers of two
+    rows = Stage(rows.withColumn("band", F.round(2 * F.log2("norm")).cast("int")), "forest-rows").df
+    bands = {r.band: r.longest for r in rows.groupBy("band").agg(F.max("norm").alias("longest")).collect()}  # as many as powers of the root of two
     if not bands:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.col("norm").alias("score")).limit(0)
     dim = rows.agg(F.max(F.size("v"))).first()[0]
@@ -247,12 +250,15 @@ def nearest(
         classes.select("id", "band", "v").repartition("id").mapInArrow(lambda b: _hash(b, dim, trees, bands), "id bigint, band int, vector binary, own array<bigint>, asked array<bigint>"),
         "forest-strings",
     ).df
-    n = hashed.count()
+    held_by = {r.band: r["count"] for r in hashed.groupBy("band").count().collect()}
+    n = sum(held_by.values())
     bits, digits = _digit_bits(dim + 1)
     width = bits * digits
     first = min(max(0, (max(n, 1) - 1).bit_length() - BUCKET.bit_length() + 1), width)
     last = min(width, max(LEVELS, first))
-    wanted = max(least, int(share * n))
+    # what a query wants of each band; none is too few to be met at any level but 0, where all of the band is
+    wants = {b: max(least, int(share * m)) if m > least else -1 for b, m in held_by.items()}
+    of_band = lambda values: F.try_element_at(F.create_map(*[F.lit(x) for b, v in values.items() for x in (b, v)]), F.col("band"))
 
     bucket = F.shiftrightunsigned("hash", width - first).alias("bucket") if first else F.lit(0).cast("long").alias("bucket")
     held = hashed.select("id", "band", "vector", F.posexplode("own").alias("t", "hash")).select("id", (F.col("band") * trees + F.col("t")).alias("tree"), bucket, "hash", "vector")
@@ -262,22 +268,23 @@ def nearest(
     held = held.join(sizes, ["tree", "bucket"]).select("tree", "bucket", chunk, "hash", "id", "vector")
     asking = hashed.join(queries.select("h1", "h2").distinct().join(classes.select("id", "h1", "h2"), ["h1", "h2"]).select("id"), "id", "left_semi")
     asking = asking.select("id", "vector", "asked", F.explode(F.array(*[F.lit(b) for b in sorted(bands)])).alias("band"))
-    asking = Stage(asking.select("id", "vector", F.col("band"), F.posexplode("asked").alias("t", "hash")).select("id", "vector", (F.col("band") * trees + F.col("t")).alias("tree"), "t", bucket, "hash"), "forest-queries").df
+    asking = Stage(asking.select("id", "vector", F.col("band"), F.posexplode("asked").alias("t", "hash")).select("id", "vector", "band", (F.col("band") * trees + F.col("t")).alias("tree"), "t", bucket, "hash"), "forest-queries").df
 
     light = meet(held.drop("vector"), asking.select("tree", "bucket", "hash", "id"), sizes)
-    counts = light.mapInPandas(lambda f: _descend(f, width, first, last), "id bigint, " + ", ".join(f"c{i} bigint" for i in range(last + 1))).drop("c0")
+    counts = light.mapInPandas(lambda f: _descend(f, width, first, last), "id bigint, tree int, " + ", ".join(f"c{i} bigint" for i in range(last + 1))).drop("c0")
     if first > 1:
         shared = small_side(Stage(above(sizes, asking, first), "forest-above").df)
         shared = asking.select("id", "tree", "bucket").join(shared, ["tree", "bucket"])
-        counts = counts.unionByName(shared.select("id", *[f"c{i}" if i < first else F.lit(0).cast("long").alias(f"c{i}") for i in range(1, last + 1)]))
-    counts = counts.groupBy("id").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(1, last + 1)])
+        counts = counts.unionByName(shared.select("id", "tree", *[f"c{i}" if i < first else F.lit(0).cast("long").alias(f"c{i}") for i in range(1, last + 1)]))
+    counts = counts.groupBy("id", F.floor(F.col("tree") / trees).cast("int").alias("band")).agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(1, last + 1)])
 
     def place_at(i: int) -> Column:
         """Level i, or 0 where its buckets hold more rows than one tree."""
-        return F.when(F.col(f"c{i}") < n, i).otherwise(0) if i < first else F.lit(i)
+        return F.when(F.col(f"c{i}") < of_band(held_by), i).otherwise(0) if i < first else F.lit(i)
 
-    reached = F.coalesce(*[F.when(F.col(f"c{i}") >= wanted, place_at(i)) for i in range(last, 0, -1)], F.lit(0))
-    levels = Stage(counts.select("id", reached.alias("level")), "forest-levels").df
+    wanted = of_band(wants)
+    reached = F.coalesce(*[F.when((wanted >= 0) & (F.col(f"c{i}") >= wanted), place_at(i)) for i in range(last, 0, -1)], F.lit(0))
+    levels = Stage(counts.select("id", "band", reached.alias("level")), "forest-levels").df
     asks = asked_buckets(asking, levels, sizes, first, trees)
     full = meet(held.withColumn("level", F.lit(0)), asks, sizes)
     near = full.mapInPandas(lambda f: _score(f, width, k + 1), "query bigint, id bigint, score double")

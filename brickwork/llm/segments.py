@@ -12,8 +12,8 @@ rows.  Random directions are hardly pruned before the finest segments; the work
 and of exact products then, and the answer is the same.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components take no part, nor do rows with a NULL id;
-empty vectors are zero, shorter ones are padded with zeros; repeated ids are separate rows with one id; products
-beyond 2^53 are taken in whole numbers of any size and end at the limits of a long.
+empty vectors are zero, shorter ones are padded with zeros; rows that share an id are candidates of the others' queries
+each, but none of their own id's, which is one query; products beyond 2^53 are taken in whole numbers of any size and end at the limits of a long.
 """
 
 from __future__ import annotations

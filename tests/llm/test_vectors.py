@@ -158,3 +158,22 @@ def test_segments_ragged_zero_and_large(spark):
     assert got == [(3, 3072 * big + 1024 * big), (1, 3072 * 512), (2, 0)]
     assert segments.products(np.array([[1e17]]), np.array([[1e17]])).tolist() == [[segments.LONG]]
     assert segments.top_products(spark.createDataFrame([], SCHEMA), F.col("id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("norms", ["unit", "uniform", "lognormal"])
+def test_forest_recall_with_mixed_norms(spark, norms):
+    """At the production share, on random directions: the few long vectors hold most answers."""
+    rng = np.random.default_rng(11)
+    n = 5_000
+    v = rng.normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    v *= {"unit": np.ones(n), "uniform": rng.uniform(0.5, 2, n), "lognormal": rng.lognormal(0, 0.7, n)}[norms][:, None]
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = forest.nearest(frame, F.col("id") % 50 == 0, k=20).collect()
+    hits = 0
+    for q in range(0, n, 50):
+        score = v @ v[q]
+        score[q] = -np.inf
+        best = set(np.argsort(-score)[:20].tolist())
+        hits += len(best & {r.vec_id for r in got if r.query_id == q})
+    assert hits / (20 * n / 50) >= 0.9
