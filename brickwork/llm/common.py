@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +25,34 @@ def drop_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Rows of whole texts that go to a Python worker at once, where several operators share an executor's memory.
+TEXTS = 1_000
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Jobs inside hand Python workers ``rows`` rows at a time; the session's own setting comes back after."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if rows:
+        spark.conf.set(key, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        if rows:
+            spark.conf.set(key, before)
+
+
 class Stage:
     """A written intermediate table: cuts lineage, survives lost executors, can be dropped early."""
 
-    def __init__(self, df: DataFrame, name: str, partition_by: str | None = None):
+    def __init__(self, df: DataFrame, name: str, partition_by: str | None = None, batch: int | None = None):
+        """``batch``: rows that go to a Python worker at once while this table is written."""
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
-        writer.parquet(self.path)
+        with batches_of(self.spark, batch):
+            writer.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:

@@ -13,7 +13,7 @@ A document's set holds the 64-bit hashes of its distinct shingles.  Two document
     which gives an edge only to what is not in its group already.  So a list of copies costs its
     length, not its square.  Long lists are dealt in chunks, and what is left of the chunks meets in pairs.
 4.  Groups (components of the stars) get their documents' full sets, and DivideSkip runs in each: short
-    lists are merged, candidates below T less the number of long lists fall out, long lists are probed by
+    lists are merged by a heap that skips, candidates below T less the number of long lists fall out, long lists are probed by
     binary search, and the exact test decides.  A pair that is already connected is not tested again.  Large
     groups are dealt in chunks, and every two chunks meet in a task.
 5.  Components of the links.
@@ -29,6 +29,8 @@ of an equal set, if any; rows that share an id are one node.
 from __future__ import annotations
 
 import hashlib
+import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,13 +38,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brickwork.llm.common import Stage, key_runs, remembered, small_side, tidied
+from brickwork.llm.common import TEXTS, Stage, key_runs, remembered, small_side, tidied
 from brickwork.llm.components import components
 
 #: Documents sampled for the order of shingles, and shingles that the order puts last.
 SAMPLE, COMMON = 8_000, 100_000
 SLOTS, ALIKE = 64, 18
 LIST_CHUNK, GROUP_DOCS, GROUP_SHINGLES = 4_096, 1_024, 2_000_000
+#: Entries of short lists that a heap merges; more are merged as arrays.
+HEAP = 4_096
 PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -285,6 +289,46 @@ class Union:
         self.up[max(i, j)] = min(i, j)
 
 
+def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
+    """What at least ``least`` of the ascending lists hold, ascending, and how many do, by a heap of the lists' heads.
+
+    When too few lists stand at the least head, ``least - 1`` heads are taken off: whatever is still to be found stands
+    at or after the head that is then on top, so each of them skips there by binary search."""
+    places = [0] * len(lists)
+    heap = [(held[0], i) for i, held in enumerate(lists) if held]
+    heapq.heapify(heap)
+    found, counts = [], []
+    while len(heap) >= least:
+        top, taken = heap[0][0], []
+        while heap and heap[0][0] == top:
+            taken.append(heapq.heappop(heap)[1])
+        if len(taken) >= least:
+            found.append(top)
+            counts.append(len(taken))
+            after = top + 1
+        else:
+            while heap and len(taken) < least - 1:
+                taken.append(heapq.heappop(heap)[1])
+            if not heap:
+                break
+            after = heap[0][0]
+        for i in taken:
+            places[i] = bisect_left(lists[i], after, places[i])
+            if places[i] < len(lists[i]):
+                heapq.heappush(heap, (lists[i][places[i]], i))
+    return found, counts
+
+
+def occurrences(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_skip`` of arrays; where they hold so much that a heap is the slower way, one sorted merge of them all,
+    with the same result."""
+    if sum(map(len, lists)) <= HEAP:
+        found, count = merge_skip([held.tolist() for held in lists], least)
+        return np.array(found, np.int64), np.array(count, np.int64)
+    found, count = np.unique(np.concatenate(lists), return_counts=True)
+    return found[count >= least], count[count >= least]
+
+
 def divide_skip(sets: list[np.ndarray], num: int, den: int, chunk: np.ndarray | None = None, all_links: bool = False) -> list[tuple[int, int]]:
     """Linked positions (i, j), as many as connect what is linked, or all; with ``chunk``, only pairs across chunks."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
@@ -307,11 +351,9 @@ def divide_skip(sets: list[np.ndarray], num: int, den: int, chunk: np.ndarray |
         mine = mine[np.argsort(df[mine], kind="stable")]
         n_long = min(need - 1, int(need / (0.0085 * np.log2(max(int(df[mine[-1]]), 2)) + 1)))
         short, long = mine[: size - n_long], mine[size - n_long :]
-        merged = np.concatenate([postings[at[t] : at[t + 1]] for t in short])
-        merged = merged[(merged < x) & (merged >= low)]
-        found, count = np.unique(merged, return_counts=True)
-        enough = count >= need - n_long
-        found, count = found[enough], count[enough]
+        lists = [postings[at[t] : at[t + 1]] for t in short]
+        cuts = [np.searchsorted(held, (low, x)) for held in lists]
+        found, count = occurrences([held[a:b] for held, (a, b) in zip(lists, cuts, strict=True)], need - n_long)
         if chunk is not None and len(found):
             across = chunk[[order[y] for y in found]] != chunk[order[x]]
             found, count = found[across], count[across]
@@ -373,7 +415,7 @@ def _hash_sets(batches: Iterator, words: int) -> Iterator:
 def _links(docs: DataFrame, groups: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Edges that connect all linked documents of each group."""
     texts = docs.join(small_side(groups.select(F.col("doc").alias("id"))), "id", "left_semi")
-    sets = Stage(texts.mapInArrow(lambda b: tidied(_hash_sets(b, words)), "doc bigint, n bigint, hashes binary"), "jaccard-sets").df
+    sets = Stage(texts.mapInArrow(lambda b: tidied(_hash_sets(b, words)), "doc bigint, n bigint, hashes binary"), "jaccard-sets", batch=TEXTS).df
     sets = sets.dropDuplicates(["doc", "hashes"])
     load = groups.join(sets.select("doc", "n"), "doc").groupBy("group").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("load"))
     chunks = F.ceil(F.greatest(F.col("docs") / GROUP_DOCS, F.col("load") / GROUP_SHINGLES)).cast("int")
@@ -388,11 +430,11 @@ def join_components(docs: DataFrame, id: str = "doc_id", text: str = "text", wor
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     common, place = _common(rows, words)
     schema = ", ".join(f"{name} {kind}" for name, kind in _SIGNED)
-    signed = Stage(rows.mapInArrow(lambda b: tidied(_sign(b, words, num, den, common, place)), schema), "jaccard-signed").df
+    signed = Stage(rows.mapInArrow(lambda b: tidied(_sign(b, words, num, den, common, place)), schema), "jaccard-signed", batch=TEXTS).df
     classes = signed.filter("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
     firsts = signed.join(classes.select(F.col("rep").alias("doc"), F.col("f1").alias("g1"), F.col("f2").alias("g2")), "doc")
     firsts = firsts.filter("f1 = g1 AND f2 = g2").dropDuplicates(["doc", "f1", "f2"])
     groups = Stage(_groups(firsts.select("doc", "s0", "s1", "s2", "s3", "prefix"), num, den), "jaccard-groups").df
-    found = components(Stage(_links(rows, groups, words, num, den), "jaccard-links").df)
+    found = components(Stage(_links(rows, groups, words, num, den), "jaccard-links", batch=TEXTS).df)
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     return signed.join(named, ["f1", "f2"], "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickwork.llm.common import Stage, small_side, tidied
+from brickwork.llm.common import TEXTS, Stage, small_side, tidied
 from brickwork.llm.encode import MEMORY, words
 
 TIERS = (1024, 512, 256, 128, 64)
@@ -157,7 +157,7 @@ def pack_documents(
 
     ``memory`` is how many words a Python worker remembers; it changes the time taken only."""
     rows = docs.select(F.col(id).cast("long"), F.col(text))
-    pieces = Stage(rows.mapInArrow(lambda batches: tidied(_packed(batches, path, end_id, tiers, memory)), SCHEMA), "packing").df
+    pieces = Stage(rows.mapInArrow(lambda batches: tidied(_packed(batches, path, end_id, tiers, memory)), SCHEMA), "packing", batch=TEXTS).df
     made = pieces.filter("offset = 0").groupBy("part", "tier").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("tier").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("n").over(Window.partitionBy("tier"))

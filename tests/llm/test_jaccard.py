@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -102,3 +103,21 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_heap_merge_finds_what_enough_lists_hold(seed):
+    rng = random.Random(seed)
+    for _ in range(200):
+        lists = [sorted(rng.sample(range(60), rng.randrange(0, 40))) for _ in range(rng.randrange(1, 12))]
+        least = rng.randrange(1, len(lists) + 2)
+        counts = Counter(x for held in lists for x in held)
+        want = sorted((x, n) for x, n in counts.items() if n >= least)
+        assert list(zip(*jaccard.merge_skip(lists, least))) == want
+        arrays = [np.array(held, np.int64) for held in lists]
+        jaccard.HEAP, before = 0, jaccard.HEAP
+        try:
+            found, count = jaccard.occurrences(arrays, least)
+        finally:
+            jaccard.HEAP = before
+        assert list(zip(found.tolist(), count.tolist())) == want
