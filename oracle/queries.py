@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from brickwork.functions import geo
-
 from . import fixed as QC
-from . import fn
+from . import fn, geo
 from .chain import enrich_ctes, match_ctes, profiling_ctes, sap_ctes, staging_ctes, with_ctes
 from .fixed import TARGET_DISTRICTS
 from .fn import lit, q
@@ -141,16 +139,17 @@ def _brute_best(score_sql: str, threshold: float) -> str:
 
 
 def _handoff_sql() -> str:
-    from brickwork.operators.columns import header_title_no_underscore
-
     pc = r"[A-Z]{1,2}[0-9R][0-9A-Z]? [0-9][ABD-HJLNP-UW-Z]{2}"
     addr = (
         "array_to_string(list_transform(string_split(Address, ', '), lambda p: "
         f"CASE WHEN regexp_full_match(p, '{pc}') THEN upper(p) ELSE {fn.title('p')} END), ', ')"
     )
-    names = QC.BASE_NAMES
+    headers = (
+        "Uprn Udprn Toid Sharestoid Address Postcodelocator Xcoordinate Ycoordinate Latitude Longitude Parentuprn Wardcode Lsoa11Code "
+        "Coa11Code Parishcode Conservationarea Nationalpark Worldheritagesite Aonb Class Classdescription Osapisource"
+    ).split()
     exprs = []
-    for n, h in zip(names, header_title_no_underscore(names)):
+    for n, h in zip(QC.BASE_NAMES, headers, strict=True):
         if n == "UPRN":
             e = "CAST(CAST(CAST(UPRN AS DOUBLE) AS BIGINT) AS VARCHAR)"
         elif n == "Address":
@@ -179,7 +178,7 @@ def _snapshot_ctes() -> list[str]:
     from brickwork.sources import schemas
 
     cols = [c.replace("-", "_") for c in schemas.DOMESTIC] + schemas.LINEAGE + ["certificate_type"]
-    # values are paired in the order in which staging lists its columns
+    # values are paired in the order of the staged table's columns, which is the reading side's to choose
     from brickwork.plans.staging import CERTIFICATE_SPEC
 
     listed = [out for _, out, _, _ in CERTIFICATE_SPEC] + ["certificate_type"]
