@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brickwork.operators import dedup, match, quality
 from brickwork.plans import staging
+from brickwork.sources.schemas import NUMBERS
 
 
 def test_latest_per_key_nulls_last_and_tiebreak(spark):
@@ -37,7 +38,7 @@ def test_duplicated_key_count(spark):
 def test_lpi_filter_drops_null_class(spark):
     dpa = spark.createDataFrame([], ", ".join(f"{r} string" for _, r, _ in staging.ADDRESS_SPEC))
     lpi_cols = [r for _, _, r in staging.ADDRESS_SPEC if r]
-    rows = [tuple("1" if c in ("X_COORDINATE", "Y_COORDINATE") else "x" for c in lpi_cols)]
+    rows = [tuple("1" if c in NUMBERS else "x" for c in lpi_cols)]
     lpi = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in lpi_cols))
     lpi_null = lpi.withColumn("CLASSIFICATION_CODE_DESCRIPTION", F.lit(None).cast("string"))
     lpi_box = lpi.withColumn("CLASSIFICATION_CODE_DESCRIPTION", F.lit("PO Box"))
