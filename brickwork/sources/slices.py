@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..session import unsorted_writes
 from .pages import ROWS, rows_envelope
 
 SLICE = ["authority", "year"]
@@ -101,7 +102,8 @@ def load_slices(spark: SparkSession, landing: str, record: T.StructType, target:
     load = uuid.uuid4().hex
     records = landed_records(spark, landing, record, slices, page_per_file).withColumn(LOAD, F.lit(load))
     dealt = records.hint("rebalance", *[F.col(c) for c in SLICE])
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SLICE).parquet(target)
+    with unsorted_writes(spark, 4):
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SLICE).parquet(target)
     held = _table(spark, target, record).filter(in_slices(slices)).groupBy(*SLICE, LOAD).count().collect()
     counts = {(r.authority, r.year): r["count"] for r in held if r[LOAD] == load}
     for r in held:

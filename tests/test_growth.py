@@ -40,3 +40,11 @@ def test_distinct_shuffles_whole_rows_only_where_hashes_repeat(spark):
 def test_a_cut_is_read_by_column(spark):
     cut = session.cut_lineage(spark.range(10).selectExpr("id", "cast(id AS string) AS wide"))
     assert "ReadSchema: struct<id:bigint>" in _plan(cut.select("id"))
+
+
+def test_partitioned_writes_keep_files_open_instead_of_sorting(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    with session.unsorted_writes(spark, 3):
+        assert int(spark.conf.get(key)) >= 3
+    assert spark.conf.get(key) == before
