@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import unsorted_writes
+
 BUCKET = "_bucket"
 
 
@@ -36,7 +38,8 @@ def write_snapshot(df: DataFrame, path: str, keys: Sequence[str], buckets: int =
     """A release: ``path`` by bucket, and ``path/_digests`` with a line a bucket (rows and sums of row hashes)."""
     bucket = F.pmod(F.xxhash64(*[_q(k) for k in keys]), F.lit(buckets)).cast("int")
     placed = df.withColumn(BUCKET, bucket)
-    placed.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    with unsorted_writes(df.sparkSession, 4):
+        placed.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
     stored = df.sparkSession.read.schema(placed.schema).parquet(path)
     # column order must not matter, so hashes go by name
     h1, h2 = row_hashes(sorted(df.columns))
