@@ -128,20 +128,20 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     return Profiles({k: [int(np.int64(key).astype(np.uint64)) for _, key in sorted(v)] for k, v in ranked.items()})
 
 
-#: How many labelled documents the floor is fitted on, and the share of their lowest scores that it may be.
-FLOOR_SAMPLE, FLOOR_SHARE = 4_000, 0.75
+#: The share of the lowest scores of labelled documents that the floor may be, and one in how many is left out.
+FLOOR_SHARE, FLOOR_LEFT_OUT = 0.75, 1_000
 
 
 def floor_score(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str = "text", lang: str = "lang") -> float:
     """The score below which a text is in none of the learned languages: three quarters of what all but one in a
     thousand labelled documents reach that no profile was learned from.  0 if there are none.
 
-    Fitted on at most ``FLOOR_SAMPLE`` documents, those whose ids a hash puts first."""
+    Fitted on all of those documents, with their exact place in the order of scores."""
     labelled = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter(~learnable("id") & F.col("lang").isin(profiles.langs))
-    chosen = labelled.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(FLOOR_SAMPLE)
-    sample = labelled.join(small_side(Stage(chosen, "langid-floor").df), "id", "left_semi").filter("text IS NOT NULL").select("lang", "text")
-    found = identify(sample, profiles, pred="pred", score="score").filter("pred = lang")
-    low = found.agg(F.percentile_approx("score", 0.001, FLOOR_SAMPLE)).first()[0]
+    found = identify(labelled.filter("text IS NOT NULL").select("lang", "text"), profiles, pred="pred", score="score").filter("pred = lang")
+    scores = Stage(found.select("score"), "langid-floor").df
+    place = -(-scores.count() // FLOOR_LEFT_OUT)
+    low = scores.orderBy("score").limit(place).agg(F.max("score")).first()[0]
     return FLOOR_SHARE * low if low is not None else 0.0
 
 

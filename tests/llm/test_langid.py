@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brickwork.llm import langid
 from brickwork.llm.queries import REGISTRY
@@ -62,3 +63,14 @@ def test_nothing_learned_nulls_and_clashing_columns(spark):
     odd = spark.createDataFrame([(1, "123 !!"), (2, ""), (3, None), (4, "the " * 100_000)], "doc_id long, text string")
     assert [r.lang_pred for r in langid.identify(odd, profiles).collect()] == ["und", "und", "und", "en"]
     assert langid.identify(odd.limit(0), profiles).count() == 0
+
+
+def test_the_floor_is_fitted_on_every_held_out_document(spark, monkeypatch):
+    def found(docs, profiles, pred, score):
+        return docs.select("*", F.col("lang").alias(pred), F.col("text").cast("double").alias(score))
+
+    monkeypatch.setattr(langid, "identify", found)
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), (F.col("id") / 40_000).cast("string").alias("text"), F.lit("en").alias("lang"))
+    scores = sorted(r.doc_id / 40_000 for r in docs.filter(~langid.learnable()).collect())
+    place = -(-len(scores) // 1_000)
+    assert langid.floor_score(docs, langid.Profiles({"en": [1]})) == langid.FLOOR_SHARE * scores[place - 1]
