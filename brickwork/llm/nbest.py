@@ -34,7 +34,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from brickwork.llm.common import remembered
 
 BLANK = "▁"
-MEMORY = 1_400_000
+MEMORY = 700_000
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
 
 
