@@ -269,6 +269,41 @@ def nbest(docs: DataFrame, path: str, n: int = 4, id: str = "doc_id", text: str
     return docs.select(F.col(id).cast("long"), F.col(text)).mapInArrow(run, schema)
 
 
+class Speller:
+    """The texts of many segmentations at once: pieces taken by id lie one behind the other, as their texts do.  Holds the
+    pieces twice, the second time without the first byte, for the blank in front of a text."""
+
+    def __init__(self, path: str):
+        import pyarrow as pa
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.size = model.get_piece_size()
+        names = [(i, model.id_to_piece(i)) for i in range(self.size)]
+        spelled = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in names]
+        self.pieces = pa.array(spelled + [p[1:] for p in spelled], pa.large_binary())
+
+    def texts(self, rows):
+        """A column of little-endian ids as texts, without the blank in front; NULL stays NULL."""
+        import pyarrow as pa
+        import pyarrow.compute  # noqa: F401
+
+        rows = rows.cast(pa.large_binary())
+        empty = rows.fill_null(b"")
+        ends = np.frombuffer(empty.buffers()[1], np.int64)[empty.offset : empty.offset + len(empty) + 1]
+        raw = empty.buffers()[2]
+        ids = np.frombuffer(raw, "<u4", (ends[-1] - ends[0]) // 4, int(ends[0])).astype(np.int64) if raw is not None else np.zeros(0, np.int64)
+        ends = (ends - ends[0]) // 4
+        ids[ends[:-1][ends[:-1] < ends[1:]]] += self.size
+        found = self.pieces.take(pa.array(ids))
+        at = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] if len(found) else np.zeros(1, np.int64)
+        known = pa.compute.is_valid(rows)
+        bits = pa.array(known).buffers()[1] if rows.null_count else None
+        column = pa.LargeStringArray.from_buffers(len(rows), pa.py_buffer(at[ends].tobytes()), found.buffers()[2] or pa.py_buffer(b""), bits)
+        column.validate(full=True)
+        return column.cast(pa.string())
+
+
 def decode(found: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``found`` with its ids replaced by their text."""
     kept = [c for c in found.columns if c not in (ids, text)]
@@ -276,10 +311,11 @@ def decode(found: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        spell = segmenter(path).decode
+        spell = remembered(("spelling", path), lambda: Speller(path)).texts
         for batch in batches:
-            texts = [None if raw is None else spell(raw) for raw in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, text])
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], spell(part.column(len(kept)))], names=[*kept, text])
 
     rows = found.select(*kept, ids)
     return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], StructField(text, StringType())]))

@@ -68,6 +68,18 @@ def test_nbest_frame(spark, monkeypatch):
     assert nbest.nbest(docs.limit(0), PATH).count() == 0
 
 
+def test_texts_are_spelled_by_column():
+    import pyarrow as pa
+
+    segment, speller = nbest.Segmenter(PATH).segment, nbest.Speller(PATH)
+    texts = ["a few words", "", "é 𝔘\n\nx", "  two  blanks ", "x" * 300, " "]
+    ids = [raw for t in texts for _, raw in segment(t, 3)[-1:]]
+    column = pa.array([None, *ids, None, ids[0]], pa.binary())
+    assert speller.texts(column).to_pylist() == [None, *texts, None, texts[0]]
+    assert speller.texts(column.slice(2, 4)).to_pylist() == texts[1:5]
+    assert speller.texts(column.slice(0, 0)).to_pylist() == [] and speller.texts(pa.array([None, b""], pa.binary())).to_pylist() == [None, ""]
+
+
 def test_memory_starts_anew(monkeypatch):
     monkeypatch.setattr(nbest, "MEMORY", 4)
     s = nbest.Segmenter(PATH)
