@@ -8,11 +8,13 @@ one task.
 from __future__ import annotations
 
 import datetime as _dt
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators.ordering import in_order
+from .session import unsorted_writes
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None, order: list | None = None) -> None:
@@ -27,13 +29,20 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None, sort: bool = True) -> DataFrame:
     """A table in buckets of its keys, each sorted by them and in one file (K1), and the table read back.  Tables with
-    the same buckets join on their keys without an exchange, as often as they are read."""
-    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    the same buckets join on their keys without an exchange, as often as they are read.
+
+    ``sort=False`` is for wide rows: each task adds its rows to files of its own, one a bucket, so whole rows are neither
+    shuffled nor sorted; a join sorts the columns that it reads."""
+    rows = df.repartition(buckets, *keys) if sort else df
+    writer = rows.write.mode("overwrite").bucketBy(buckets, *keys).format("parquet")
+    if sort:
+        writer = writer.sortBy(*keys)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    with nullcontext() if sort else unsorted_writes(df.sparkSession, buckets):
+        writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from brickwork import session
+import glob
+
+from brickwork import session, sinks
 from brickwork.operators import dedup, match
 
 
@@ -48,3 +50,16 @@ def test_partitioned_writes_keep_files_open_instead_of_sorting(spark):
     with session.unsorted_writes(spark, 3):
         assert int(spark.conf.get(key)) >= 3
     assert spark.conf.get(key) == before
+
+
+def test_wide_rows_are_bucketed_where_they_are(spark, tmp_path):
+    frame = spark.range(300, numPartitions=3).selectExpr("cast(id % 50 AS string) AS k", "id", "if(id % 7 = 0, null, 'x') AS t")
+    whole = frame.unionByName(spark.createDataFrame([(None, -1, "x"), (None, -1, "x")], "k string, id long, t string").coalesce(1))
+    try:
+        table = sinks.save_bucketed(whole, "wide_rows", ["k"], 4, f"{tmp_path}/wide", sort=False)
+        # more files than buckets: every task wrote its own, so no row went through a shuffle
+        assert len(glob.glob(f"{tmp_path}/wide/*.parquet")) > 8
+        assert sorted(map(repr, table.collect())) == sorted(map(repr, whole.collect()))
+        assert "Exchange" not in _plan(table.groupBy("k").count())
+    finally:
+        spark.sql("DROP TABLE IF EXISTS wide_rows")
