@@ -6,6 +6,7 @@ import glob
 
 from brickwork import session, sinks
 from brickwork.operators import dedup, match
+from brickwork.plans import marts
 
 
 def _plan(df):
@@ -63,3 +64,26 @@ def test_wide_rows_are_bucketed_where_they_are(spark, tmp_path):
         assert "Exchange" not in _plan(table.groupBy("k").count())
     finally:
         spark.sql("DROP TABLE IF EXISTS wide_rows")
+
+
+def test_the_measures_mart_shuffles_hashes_and_not_rows(spark):
+    staged = spark.createDataFrame([("1", 1), ("2", 2), ("1", 1)], "lmk_key string, n int")
+    enriched = staged.selectExpr(
+        "lmk_key", "if(n = 2, null, ' 7 ') AS uprn", "'1 a st' AS address", "1.0D AS current_energy_efficiency",
+        "2.0D AS environment_impact_current", "0 AS fuzzy_matched",
+    )
+    recommendation = "lmk_key string, improvement_item int, improvement_summary_text string, improvement_id int, improvement_id_text string, indicative_cost string, improvement_descr_text string"
+    recommendations = spark.createDataFrame([("1", 1, "x", 1, "m", "", "N/A"), ("2", 1, None, 1, "m", "", "N/A")], recommendation)
+    base = marts.measures_base(enriched, recommendations, spark.createDataFrame([("7", "u", "DPA")], "uprn string, udprn string, os_api_source string"))
+    mart = marts.measures_mart(base)
+    assert "LeftAnti" in _plan(mart)
+    rows = sorted((r.UPRN or "", r.UDPRN or "", r.ImprovementIndex, r.Category) for r in mart.collect())
+    assert base.count() == 3 and rows == [("", "", 1, None), ("7", "", 1, "x")]
+
+
+def test_distinct_with_many_repeats_compares_all_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SMALL", 1)
+    df = spark.createDataFrame([(i % 5, None if i % 2 else "x") for i in range(40)], "a int, b string")
+    out = dedup.distinct_rows(df)
+    assert "LeftAnti" not in _plan(out)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, df.dropDuplicates().collect()))
