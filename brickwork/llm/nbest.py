@@ -6,7 +6,8 @@ A forward Viterbi pass gives the best score of every prefix; these are exact heu
 backward from the end, which so yields segmentations in the order of their scores and visits no others.
 
 No piece reaches over the end of a word (a line end, or a blank after something else), so the lattice of a
-text is the chain of the lattices of its words.  A word's passes run once a worker and are remembered.
+text is the chain of the lattices of its words.  A word's passes run once a worker and are remembered; the new words of
+some texts are learned together, as columns: all edges by their length, then all passes place by place.
 The second-best segmentations of a text differ from the best in the words that lose least; with n wanted
 only n - 1 such words matter, and the same search runs over the chain of their alternatives.
 
@@ -21,6 +22,7 @@ U+2581 in a text is a blank.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 import struct
@@ -35,6 +37,8 @@ from brickwork.llm.common import remembered
 
 BLANK = "▁"
 MEMORY = 700_000
+#: Characters of texts that are segmented together, of parts that are learned together, and of the longest such part.
+GROUP, COLUMN, LONG = 250_000, 50_000, 64
 _WORDS = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
 
 
@@ -74,14 +78,14 @@ def a_star(ends: list[list[tuple]], ahead: list[float], n: int) -> list[tuple[fl
     return found
 
 
-class Index(dict):
-    """Word to its place; a new word is learned first."""
+def _points(text: str):
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
-    def __init__(self, learn):
-        self.learn = learn
 
-    def __missing__(self, word: str) -> int:
-        return self.learn(word)
+def _held_in(keys, wanted):
+    """Which of ``wanted`` are among the sorted ``keys``."""
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
 
 
 class Segmenter:
@@ -103,14 +107,34 @@ class Segmenter:
             for k in range(1, len(piece)):
                 self.known.setdefault(piece[:k], None)
             self.known[piece] = (-math.log(i - first + 2), (i,))
-        self.joints = {p[k : k + 2] for p in (self.pieces[i] for i in plain) for k in range(len(p) - 1)}
+        self.columns({p[k : k + 2] for p in (self.pieces[i] for i in plain) for k in range(len(p) - 1)})
         byte_of = {i: b for b, i in self.bytes.items()}
         self.spelled = [bytes([byte_of[i]]) if i in byte_of else p.replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
         self.forget()
 
+    def columns(self, joints: set[str]) -> None:
+        """The pieces as a tree: ``child`` has parent and character of each node, sorted; node 0 is the empty start.
+        ``joints``: the characters that pieces have next to each other."""
+        letters = sorted({c for piece in self.known for c in piece})
+        self.code = np.zeros(0x110000, np.int64)
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.width = len(letters) + 1
+        place = {p: i for i, p in enumerate(sorted(self.known, key=len), 1)} | {"": 0}
+        code = lambda c: int(self.code[ord(c)])
+        child = np.array([place[p[:-1]] * self.width + code(p[-1]) for p in self.known], np.int64)
+        order = child.argsort()
+        self.child, self.node = child[order], np.array([place[p] for p in self.known], np.int64)[order]
+        self.node_score, self.node_piece = np.full(len(place), -np.inf), np.full(len(place), -1, np.int32)
+        for p, hit in self.known.items():
+            if hit:
+                self.node_score[place[p]], self.node_piece[place[p]] = hit[0], hit[1][0]
+        self.joint = np.sort(np.array([code(a) * self.width + code(b) for a, b in joints], np.int64))
+        self.depth = max(map(len, self.known))
+        self.byte_ids = np.array([self.bytes.get(b, 0) for b in range(256)], "<u4")
+
     def forget(self, room: int = 0) -> None:
-        """Room for so many words and parts of words; a text has at most one of each a character."""
-        self.index = Index(self.learn)
+        """Room for so many words and parts of words; a word has at most one part a character."""
+        self.index: dict[str, int] = {}
         self.ids: list[bytes] = []
         self.best, self.loss = np.zeros(room + 1), np.zeros(room + 1)
         self.size = np.zeros(room + 1, np.int64)
@@ -145,25 +169,6 @@ class Segmenter:
         ends, ahead = self.forward(word)
         return [(score, np.array([i for ids in labels for i in ids], "<u4").tobytes()) for score, labels in a_star(ends, ahead, n)]
 
-    def parts(self, word: str) -> list[str]:
-        """A word cut between any two characters that no piece has next to each other."""
-        joints, start, out = self.joints, 0, []
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in joints:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
-
-    def learn(self, word: str) -> int:
-        """Best segmentation of a word, and what the second best loses."""
-        parts = self.parts(word)
-        if len(parts) > 1:
-            at = [self.index[p] if p in self.index else self.learn_part(p) for p in parts]
-            found = b"".join([self.ids[i] for i in at]), float(self.best[at].sum()), float(self.loss[at].min())
-            return self.keep(word, *found)
-        return self.learn_part(word)
-
     def keep(self, word: str, ids: bytes, best: float, loss: float) -> int:
         at = self.index[word] = len(self.ids)
         self.ids.append(ids)
@@ -209,13 +214,155 @@ class Segmenter:
         ids = struct.pack(f"<{sum(map(len, path))}I", *(i for ids in reversed(path) for i in ids))
         return self.keep(word, ids, ahead[n], ahead[n] - second)
 
+    def learn_words(self, words: list[str]) -> None:
+        """Best segmentations of new words, and what the second best lose.  A word is cut between any two characters that no
+        piece has next to each other; its parts are learned first."""
+        flat = "".join(words)
+        letters = self.code[_points(flat)]
+        first = np.zeros(len(flat) + 1, bool)
+        first[1:-1] = ~_held_in(self.joint, letters[:-1] * self.width + letters[1:])
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        first[0] = first[ends] = True
+        cuts = np.flatnonzero(first)
+        parts = [flat[i:j] for i, j in itertools.pairwise(cuts.tolist())]
+        new = [p for p in dict.fromkeys(parts) if p not in self.index]
+        short = [p for p in new if len(p) <= LONG]
+        for p in new:
+            if len(p) > LONG:
+                self.learn_part(p)
+        held = np.cumsum(np.fromiter(map(len, short), np.int64, len(short)))
+        for some in np.split(np.arange(len(short)), np.flatnonzero(np.diff(held // COLUMN)) + 1):
+            if len(some):
+                self.learn_parts(short[some[0] : some[-1] + 1])
+        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        stops = np.searchsorted(cuts, ends)
+        starts = np.concatenate([[0], stops[:-1]])
+        many = np.flatnonzero(stops - starts > 1)
+        starts, stops = starts[many], stops[many]
+        scores, count = self.best[at], stops - starts
+        best = scores[starts]
+        for k in range(1, 8):  # one after the other, as the sum over a few parts goes
+            more = count > k
+            best[more] += scores[starts[more] + k]
+        for k in np.flatnonzero(count >= 8).tolist():
+            best[k] = scores[starts[k] : stops[k]].sum()
+        loss = np.minimum.reduceat(self.loss[at], np.column_stack([starts, stops - 1]).ravel())[::2] if len(many) else np.zeros(0)
+        loss = np.minimum(loss, self.loss[at][stops - 1])
+        at = at.tolist()
+        self.keep_all(
+            [words[k] for k in many.tolist()],
+            [b"".join([self.ids[k] for k in at[i:j]]) for i, j in zip(starts.tolist(), stops.tolist(), strict=True)],
+            best,
+            loss,
+        )
+
+    def keep_all(self, words: list[str], ids: list[bytes], best, loss) -> None:
+        at, n = len(self.ids), len(words)
+        self.index.update(zip(words, range(at, at + n), strict=True))
+        self.ids += ids
+        self.best[at : at + n], self.loss[at : at + n] = best, loss
+        self.size[at : at + n] = np.fromiter(map(len, ids), np.int64, n)
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """What ``learn_part`` finds, for many parts at once.  Each part has a place before, between and after its characters;
+        a row of ``score`` has the edges into a place by their start, the first start in front, and ``piece`` what they are
+        (-1: bytes).  Places without a part in front and behind keep all looks inside the table."""
+        parts = sorted(parts, key=len, reverse=True)
+        n = np.fromiter(map(len, parts), np.int64, len(parts))
+        points = _points("".join(parts))
+        deep = min(self.depth, int(n[0]))
+        back = np.arange(deep, 0, -1)
+        begin = deep + np.cumsum(n + 1) - (n + 1)
+        end = begin + n
+        places = int(end[-1]) + 1 + deep
+        here = np.arange(len(points)) + np.repeat(np.arange(len(parts)), n) + deep
+        score, piece = np.full((places, deep), -np.inf), np.full((places, deep), -1, np.int32)
+
+        letters, left = np.zeros(places, np.int64), np.zeros(places, np.int64)
+        letters[here], left[here] = self.code[points], np.repeat(end, n) - here
+        start, node = here, np.zeros(len(here), np.int64)
+        single = np.zeros(places, bool)
+        for d in range(1, deep + 1):
+            fits = left[start] >= d
+            start, node = start[fits], node[fits]
+            wanted = node * self.width + letters[start + d - 1]
+            found = np.minimum(np.searchsorted(self.child, wanted), len(self.child) - 1)
+            hit = self.child[found] == wanted
+            start, node = start[hit], self.node[found[hit]]
+            whole = self.node_piece[node] >= 0
+            score[start[whole] + d, deep - d], piece[start[whole] + d, deep - d] = self.node_score[node[whole]], self.node_piece[node[whole]]
+            if d == 1:
+                single[start[whole]] = True
+        raw = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
+        plain = ~single[here]
+        score[here[plain] + 1, deep - 1] = self.byte_score * raw[plain]
+
+        ahead, last = np.full(places, -np.inf), np.zeros(places, np.int64)
+        ahead[begin] = 0.0
+        for t in range(1, int(n[0]) + 1):
+            at = begin[: np.searchsorted(-n, -t, "right")] + t
+            near = max(deep - t, 0)
+            ways = ahead[at[:, None] - back[near:]] + score[at, near:]
+            taken = ways.argmax(1)
+            ahead[at], last[at] = ways[np.arange(len(at)), taken], back[near:][taken]
+        behind, forth = np.full(places, -np.inf), np.arange(1, deep + 1)
+        behind[end] = 0.0
+        for t in range(1, int(n[0]) + 1):
+            at = end[: np.searchsorted(-n, -t, "right")] - t
+            to = at[:, None] + forth[:t]
+            behind[at] = (score[to, deep - forth[:t]] + behind[to]).max(1)
+
+        at, path = end, np.zeros(places, bool)
+        while len(at):
+            path[at] = True
+            at = at - last[at]
+            at = at[last[at] > 0]
+        steps = np.flatnonzero(path)
+        taken = deep - last[steps]
+        rest = score + behind[:, None]
+        rest[deep:] += ahead[np.arange(deep, places)[:, None] - back]
+        rest[steps, taken] = -np.inf
+        second = np.maximum.reduceat(rest.max(1), begin)
+
+        found = piece[steps, taken]
+        character = np.zeros(places, np.int64)
+        character[here + 1] = np.arange(len(points))
+        spelled = character[steps[found < 0]]
+        long = np.ones(len(steps), np.int64)
+        long[found < 0] = raw[spelled]
+        as_bytes = np.repeat(found < 0, long)
+        ids = np.empty(len(as_bytes), "<u4")
+        ids[~as_bytes] = found[found >= 0]
+        text = points[spelled].tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        ids[as_bytes] = self.byte_ids[np.frombuffer(text, np.uint8)]
+        held = np.zeros(places, np.int64)
+        held[steps] = 4 * long
+        held, whole = held.cumsum(), ids.tobytes()
+        self.keep_all(parts, [whole[i:j] for i, j in zip(held[begin].tolist(), held[end].tolist(), strict=True)], ahead[end], ahead[end] - second)
+
     def segment(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a text: scores and ids."""
-        words = words_of(text)
-        if len(text) + 1 > MEMORY // 2:
-            self.forget(2 * len(text) + 2)
-        elif len(self.ids) + 2 * len(text) > len(self.best):
-            self.forget(MEMORY)
+        return next(self.segments([text], n))
+
+    def segments(self, texts: list[str], n: int) -> Iterator[list[tuple[float, bytes]]]:
+        """The n best segmentations of each text."""
+        size = np.cumsum([len(t) for t in texts])
+        for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(size // GROUP)) + 1):
+            group = [words_of(texts[i]) for i in some.tolist()]
+            met = set().union(*group)
+            new = [w for w in met if w not in self.index]
+            if len(self.ids) + sum(map(len, new)) + len(new) > min(MEMORY, len(self.best) - 1):
+                new = list(met)
+                self.forget(max(MEMORY, sum(map(len, new)) + len(new)))
+            if "" in new:
+                new.remove("")
+                self.learn_part("")
+            if new:
+                self.learn_words(new)
+            for words in group:
+                yield self.ways(words, n)
+
+    def ways(self, words: list[str], n: int) -> list[tuple[float, bytes]]:
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         whole, best = float(self.best[at].sum()), b"".join(map(self.ids.__getitem__, at.tolist()))
         found = [(whole, best)]
@@ -256,13 +403,14 @@ def nbest(docs: DataFrame, path: str, n: int = 4, id: str = "doc_id", text: str
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        segment = segmenter(path).segment
+        segments = segmenter(path).segments
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
-                for doc_id, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    rows += [(doc_id, r, s, raw) for r, (s, raw) in enumerate(segment(value or "", n), 1)]
+                texts = [value or "" for value in part.column(1).to_pylist()]
+                for doc_id, found in zip(part.column(0).to_pylist(), segments(texts, n), strict=True):
+                    rows += [(doc_id, r, s, raw) for r, (s, raw) in enumerate(found, 1)]
                 kinds = [pa.int64(), pa.int32(), pa.float64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names=["doc_id", "rank", "score", "ids"])
 

@@ -86,6 +86,19 @@ def test_memory_starts_anew(monkeypatch):
     assert [s.decode(s.segment(t, 2)[-1][1]) for t in ("a b c", "d e f", "a b c d e f g")] == ["a b c", "d e f", "a b c d e f g"]
 
 
+def test_words_are_learned_together(monkeypatch):
+    """The new words of some texts go through one pass by columns, not one by one; what it finds is what all ways hold."""
+    s = nbest.Segmenter(PATH)
+    monkeypatch.setattr(s, "learn_part", lambda word: pytest.fail(f"{word!r} alone"))
+    monkeypatch.setattr(nbest, "COLUMN", 6)
+    texts = ["ab cd", "", "é𝔘 x", "a\nb the", "日本 🙂", "hello -.x", "ab ab é𝔘", "x▁y"]
+    found = list(s.segments(texts, 4))
+    assert len(found) == len(texts)
+    for text, ways in zip(texts, found, strict=True):
+        assert [x for x, _ in ways] == pytest.approx([x for x, _ in all_segmentations(s, text)[:4]])
+        assert {s.decode(raw) for _, raw in ways} == {text.replace(nbest.BLANK, " ")}
+
+
 def test_licence_rules(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this. The above copyright notice and this permission notice shall be included in all copies. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, express."
     texts = {
