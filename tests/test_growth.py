@@ -81,6 +81,19 @@ def test_the_measures_mart_shuffles_hashes_and_not_rows(spark):
     assert base.count() == 3 and rows == [("", "", 1, None), ("7", "", 1, "x")]
 
 
+def test_measures_join_addresses_before_certificates_repeat(spark):
+    enriched = spark.createDataFrame([("1", "7", "a"), ("1", "7", "a"), ("2", None, "b"), (None, "8", "c")], "lmk_key string, uprn string, address string")
+    enriched = enriched.selectExpr("*", "1.0D AS current_energy_efficiency", "2.0D AS environment_impact_current", "0 AS fuzzy_matched")
+    recommendation = "lmk_key string, improvement_item int, improvement_summary_text string, improvement_id int, improvement_id_text string, indicative_cost string, improvement_descr_text string"
+    recommendations = spark.createDataFrame([("1", i, "x", 1, "m", "", "y") for i in (1, 2)] + [(None, 3, "x", 1, "m", "", "y")], recommendation)
+    addresses = spark.createDataFrame([("7", "u", "DPA"), ("7", "v", "DPA"), ("7", "w", "LPI"), (None, "n", "DPA")], "uprn string, udprn string, os_api_source string")
+    base = marts.measures_base(enriched, recommendations, addresses)
+    last = next(line for line in base._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
+    assert "lmk_key" in last and "uprn" not in last
+    rows = sorted((r.Address, r.udprn or "", r.ImprovementIndex or 0) for r in base.collect())
+    assert rows == sorted([("a", u, i) for u in "uv" for i in (1, 2)] * 2 + [("b", "", 0), ("c", "", 0)])
+
+
 def test_distinct_with_many_repeats_compares_all_rows_once(spark, monkeypatch):
     monkeypatch.setattr(dedup, "SMALL", 1)
     df = spark.createDataFrame([(i % 5, None if i % 2 else "x") for i in range(40)], "a int, b string")
