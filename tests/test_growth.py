@@ -87,7 +87,7 @@ def test_measures_join_addresses_before_certificates_repeat(spark):
     recommendation = "lmk_key string, improvement_item int, improvement_summary_text string, improvement_id int, improvement_id_text string, indicative_cost string, improvement_descr_text string"
     recommendations = spark.createDataFrame([("1", i, "x", 1, "m", "", "y") for i in (1, 2)] + [(None, 3, "x", 1, "m", "", "y")], recommendation)
     addresses = spark.createDataFrame([("7", "u", "DPA"), ("7", "v", "DPA"), ("7", "w", "LPI"), (None, "n", "DPA")], "uprn string, udprn string, os_api_source string")
-    base = marts.measures_base(enriched, recommendations, addresses)
+    base = marts.measures_base(enriched, recommendations, addresses, addresses_first=True)
     last = next(line for line in base._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
     assert "lmk_key" in last and "uprn" not in last
     rows = sorted((r.Address, r.udprn or "", r.ImprovementIndex or 0) for r in base.collect())
