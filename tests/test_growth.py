@@ -100,3 +100,35 @@ def test_distinct_with_many_repeats_compares_all_rows_once(spark, monkeypatch):
     out = dedup.distinct_rows(df)
     assert "LeftAnti" not in _plan(out)
     assert sorted(map(repr, out.collect())) == sorted(map(repr, df.dropDuplicates().collect()))
+
+
+def test_unblocked_match_lets_few_pairs_out_where_every_part_is_frequent(spark):
+    texts = [f"{n} {street}, cowes, po30 1a{u}" for n in range(20) for street in ("high street", "mill lane") for u in "abcdefghij"]
+    right = spark.createDataFrame([(t,) for t in texts], "text string")
+    left = spark.createDataFrame([(t.replace("street", "st"),) for t in texts[::3]], "text string")
+    for scorer in ("wratio", "token_sort"):
+        pairs, _ = match.match_pairs(left, right, "text", "text", 10.0, scorer)
+        # about 20 right texts differ in one character of the number or the unit; only they can be nearer than a changed street
+        assert len(texts[::3]) <= pairs.count() <= 60 * len(texts[::3])
+
+
+def test_unblocked_match_over_blocks_of_groups_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(match, "GROUP", 4)
+    monkeypatch.setattr(match, "BLOCK", 30)
+    monkeypatch.setattr(match, "FIRST_TEXTS", 2)
+    texts = [f"{n * 37 % 101} {s}, {t}, hu2{'0' * (n % 2)} {n % 7}ab" for n in range(25) for s in ("ò'brien lane", "high street") for t in ("ryde", "hull")]
+    texts += ["", "-", "a", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "zz zz zz zz", "lane ò brien 1"]
+    right = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string")
+    changed = [t.replace("ò'b", "òb").replace("lane", "laen").replace("street", "st") for t in texts[::2]] + ["none of them", "b", "aaaaaaaaaaaaaaaaaaaaaaaa", "high lane hull"]
+    left = spark.createDataFrame([(t,) for t in changed] + [(None,)], "text string")
+    every = left.distinct().selectExpr("text AS l_text").crossJoin(right.distinct().selectExpr("text AS r_text")).filter("l_text IS NOT NULL AND r_text IS NOT NULL")
+    every = every.withColumns({"l_sorted": match.token_sort_text("l_text"), "r_sorted": match.token_sort_text("r_text")}).localCheckpoint()
+    for scorer, score in (("wratio", match.wratio("l_text", "r_text", "l_sorted", "r_sorted")), ("token_sort", match.ratio("l_sorted", "r_sorted"))):
+        for threshold in (10.0, 80.0):
+            scored = every.withColumn("score", match.F.round(score, 9)).filter(match.F.col("score") > threshold)
+            want = {}
+            for r in scored.select("l_text", "r_text", "score").collect():
+                if r.l_text not in want or (-r.score, r.r_text) < (-want[r.l_text][1], want[r.l_text][0]):
+                    want[r.l_text] = (r.r_text, r.score)
+            got = match.best_match(left, right, threshold=threshold, scorer=scorer).collect()
+            assert {r.l_text: (r.matched_text, r.score) for r in got} == want
