@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffled
 from .snapshots import diff_rows
 
 # ---------------------------------------------------------------- fixed values
@@ -44,7 +45,7 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 def relationship(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key is missing from the parent (anti join)."""
     keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    return child.filter(F.col(child_key).isNotNull()).join(keys, F.col(child_key) == F.col("__pk"), "left_anti")
+    return child.filter(F.col(child_key).isNotNull()).join(shuffled(keys), F.col(child_key) == F.col("__pk"), "left_anti")
 
 
 def regex_match(df: DataFrame, col: str, pattern: str) -> DataFrame:

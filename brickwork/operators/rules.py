@@ -20,6 +20,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import shuffled
+
 #: Checks that are one expression over a table's rows.
 AGGREGATES = ("accepted_values", "between", "not_null", "regex", "all_null", "expression", "row_count", "is_date")
 
@@ -85,7 +87,7 @@ def run(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
             elif rule.check == "relationship":
                 parent = tables[rule.args["to"]].select(F.col(f"`{rule.args['field']}`").alias("_parent")).distinct()
                 child = df.select(F.col(f"`{rule.column}`").alias("_child")).filter("_child IS NOT NULL")
-                repeated = child.join(parent, F.col("_child") == F.col("_parent"), "left_anti")
+                repeated = child.join(shuffled(parent), F.col("_child") == F.col("_parent"), "left_anti")
             elif rule.check == "fewer_rows_than":
                 other = tables[rule.args["than"]].agg(F.count(F.lit(1)).alias("n"))
                 counts = df.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit(0)).unionByName(other.withColumn("side", F.lit(1)))

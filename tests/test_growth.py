@@ -5,8 +5,8 @@ from __future__ import annotations
 import glob
 
 from brickwork import session, sinks
-from brickwork.operators import dedup, match
-from brickwork.plans import marts
+from brickwork.operators import dedup, match, quality, rules
+from brickwork.plans import enrich, marts
 
 
 def _plan(df):
@@ -132,3 +132,76 @@ def test_unblocked_match_over_blocks_of_groups_equals_all_pairs(spark, monkeypat
                     want[r.l_text] = (r.r_text, r.score)
             got = match.best_match(left, right, threshold=threshold, scorer=scorer).collect()
             assert {r.l_text: (r.matched_text, r.score) for r in got} == want
+
+
+def _unsent(spark, monkeypatch, run):
+    """The plans of all that ``run`` writes on its way and returns, under Spark's own broadcast threshold."""
+    plans = []
+
+    def noted(df):
+        plans.append(_plan(df))
+        return session_written(df)
+
+    session_written = session.written
+    for module in (session, match, dedup):
+        monkeypatch.setattr(module, "written", noted)
+    monkeypatch.setattr(match, "small_side", lambda df, *_: session.shuffled(df))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10m")
+    try:
+        plans.append(_plan(run()))
+    finally:
+        spark.conf.set(key, before)
+    return plans
+
+
+def _addresses(spark):
+    rows = [(f"{n} high street, cowes, po30 1aa", "PO30 1AA", str(n), f"u{n}", s) for n in range(9) for s in ("DPA", "LPI")]
+    return spark.createDataFrame(rows, "address string, postcode string, uprn string, udprn string, os_api_source string")
+
+
+def test_block_match_sends_no_growing_table_to_every_executor(spark, monkeypatch):
+    left = spark.createDataFrame([("3 high st, cowes", "PO30 1AA"), ("8 high street", "PO30 1AB")], "text string, postcode string")
+    plans = _unsent(spark, monkeypatch, lambda: match.block_match(left, _addresses(spark)))
+    assert len(plans) > 4 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_unblocked_match_sends_no_growing_table_to_every_executor(spark, monkeypatch):
+    left, right = (spark.createDataFrame([(f"{n} {s}, ryde",) for n in range(9)], "text string") for s in ("high st", "high street"))
+    for scorer in ("wratio", "token_sort"):
+        plans = _unsent(spark, monkeypatch, lambda scorer=scorer: match.best_match(left, right, threshold=10.0, scorer=scorer))
+        # the signature's few hundred bits are the only table sent
+        joins = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin" in line]
+        assert len(plans) > 4 and all("[gram#" in line for line in joins)
+
+
+def test_enrichment_and_measures_send_no_growing_table_to_every_executor(spark, monkeypatch):
+    rows = [("1", "3", "3 high street", "cowes", "PO30 1AA"), ("2", "", "4 high st", "cowes", "PO30 1AA"), ("3", None, "zz", "zz", "ZZ30 1AA")]
+    certificates = spark.createDataFrame(rows, "lmk_key string, uprn string, address string, posttown string, postcode string")
+    certificates = certificates.selectExpr("*", "1.0D AS current_energy_efficiency", "2.0D AS environment_impact_current")
+    recommendation = "lmk_key string, improvement_item int, improvement_summary_text string, improvement_id int, improvement_id_text string, indicative_cost string, improvement_descr_text string"
+    recommendations = spark.createDataFrame([("1", 1, "x", 1, "m", "", "y")], recommendation)
+    addresses = _addresses(spark)
+    out = []
+
+    def run():
+        out.append(marts.measures_base(enrich.enrich_certificates(certificates, addresses, districts=None), recommendations, addresses, addresses_first=True))
+        return out[0]
+
+    assert not any("BroadcastHashJoin" in p for p in _unsent(spark, monkeypatch, run))
+    assert sorted((r.uprn or "", r.udprn or "", r.ImprovementIndex or 0) for r in out[0].collect()) == [("", "", 0), ("3", "u3", 1), ("4", "u4", 0), ("4", "u4", 0)]
+
+
+def test_a_relationship_sends_no_keys_to_every_executor(spark, monkeypatch):
+    child, parent = (spark.createDataFrame([(k,) for k in keys], "k string") for keys in (["a", "b", None], ["a", "a", "c"]))
+    rule = rules.Rule("child", "relationship", "k", {"to": "parent", "field": "k"})
+    for run in (lambda: quality.relationship(child, parent, "k", "k"), lambda: rules.run({"child": child, "parent": parent}, [rule])):
+        assert not any("BroadcastHashJoin" in p for p in _unsent(spark, monkeypatch, run))
+    assert [r.k for r in quality.relationship(child, parent, "k", "k").collect()] == ["b"]
+
+
+def test_a_side_is_sent_by_its_counted_rows(spark):
+    one, other = spark.range(50), spark.range(40)
+    assert "BroadcastHashJoin" in _plan(one.join(session.small_side(other, 40), "id"))
+    assert "SortMergeJoin" in _plan(one.join(session.small_side(other, 39), "id"))
