@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators.ordering import in_order
-from .session import unsorted_writes
+from .session import OPEN_FILE, unsorted_writes
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None, order: list | None = None) -> None:
@@ -41,6 +41,8 @@ def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path:
         writer = writer.sortBy(*keys)
     if path:
         writer = writer.option("path", path)
+    else:
+        writer = writer.option("parquet.block.size", OPEN_FILE)
     with nullcontext() if sort else unsorted_writes(df.sparkSession, buckets):
         writer.saveAsTable(name)
     return df.sparkSession.table(name)

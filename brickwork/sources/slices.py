@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..session import unsorted_writes
+from ..session import OPEN_FILE, unsorted_writes
 from .pages import ROWS, rows_envelope
 
 SLICE = ["authority", "year"]
@@ -93,7 +93,7 @@ def load_slices(spark: SparkSession, landing: str, record: T.StructType, target:
     """Loads (or loads again) the slices in ``due`` (authority, year, open) and returns their new ledger rows.
 
     The slices are as many as the parameters name, not as the data grows, so they are listed on the driver, as
-    their folders are.  Rebalancing splits a large slice over tasks and puts small ones together."""
+    their folders are.  The tasks that parse the pages write their records to the slices, without a shuffle of whole rows."""
     wanted = [(r.authority, r.year, r.open) for r in due.select(*SLICE, "open").collect()]
     entered = T.StructType(LEDGER_SCHEMA.fields[:-1])
     if not wanted:
@@ -101,9 +101,9 @@ def load_slices(spark: SparkSession, landing: str, record: T.StructType, target:
     slices = [(a, y) for a, y, _ in wanted]
     load = uuid.uuid4().hex
     records = landed_records(spark, landing, record, slices, page_per_file).withColumn(LOAD, F.lit(load))
-    dealt = records.hint("rebalance", *[F.col(c) for c in SLICE])
-    with unsorted_writes(spark, 4):
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SLICE).parquet(target)
+    with unsorted_writes(spark, min(32, len(slices))):
+        writer = records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("parquet.block.size", OPEN_FILE)
+        writer.partitionBy(*SLICE).parquet(target)
     held = _table(spark, target, record).filter(in_slices(slices)).groupBy(*SLICE, LOAD).count().collect()
     counts = {(r.authority, r.year): r["count"] for r in held if r[LOAD] == load}
     for r in held:

@@ -120,3 +120,17 @@ def test_the_stream_loads_the_slices_that_changed(spark, landed, tmp_path):
     now = {(r.authority, r.year): r.loaded_at for r in S.ledger(spark, target).collect()}
     assert [(r.authority, r.year) for r in loads if now[r.authority, r.year] != r.loaded_at] == [("E2", 2009)]
     assert S.read_slices(spark, target, RECORD, ["E2"], 2009, 2009).count() == 4
+
+
+def test_records_are_loaded_by_the_tasks_that_parse_them(spark, landed):
+    landing, target, _ = landed
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64b")  # a page a task
+    try:
+        S.sync(spark, landing, RECORD, target, S.slice_plan(spark, ["E1", "E2"], 2008, 2010))
+    finally:
+        spark.conf.set(key, before)
+    # the two pages of a slice were not shuffled together
+    assert len([f for f in os.listdir(f"{target}/authority=E1/year=2008") if f.endswith(".parquet")]) == 2
+    assert len(keys(S.read_slices(spark, target, RECORD))) == 19
