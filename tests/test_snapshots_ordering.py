@@ -68,6 +68,37 @@ def test_equal_buckets_are_not_read(spark, tmp_path):
     assert snapshots.unequal_buckets(spark, a, a) == [] and snapshots.diff_snapshots(spark, a, a, ["k"]).count() == 0
 
 
+def test_rows_that_both_releases_hold_are_not_shuffled_whole(spark, tmp_path):
+    old = [(f"k{i % 40}", i, 1.0, "x") for i in range(300)] + [(None, 1, None, None)] * 3
+    new = [(k, a, b, "y" if a == 7 else c) for k, a, b, c in old[:-1]]
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    snapshots.write_snapshot(frame(spark, old).repartition(3), a, ["k"], buckets=2)
+    snapshots.write_snapshot(frame(spark, new).repartition(2), b, ["k"], buckets=2)
+    sides = [spark.read.parquet(p) for p in (a, b)]
+    assert [side.count() for side in snapshots._without_equal_rows(*sides)] == [4, 3]
+    assert sorted(map(tuple, snapshots.diff_snapshots(spark, a, b, ["k"]).collect()), key=str) == brute(old, new)
+    # a release with another column is compared whole
+    more = frame(spark, new).withColumn("d", F.lit(1))
+    snapshots.write_snapshot(more, b, ["k"], buckets=2)
+    assert sorted(map(tuple, snapshots.diff_snapshots(spark, a, b, ["k"]).collect()), key=str) == brute(old, new)
+
+
+def test_a_snapshot_is_written_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "a")
+    snapshots.write_snapshot(frame(spark, [(f"k{i}", i, 1.0, "x") for i in range(90)]).repartition(3), path, ["k"], buckets=1)
+    assert len([f for f in os.listdir(f"{path}/_bucket=0") if f.endswith(".parquet")]) == 3
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_many_unequal_hashes_are_sent_some_buckets_at_a_time(spark, tmp_path, seed, monkeypatch):
+    monkeypatch.setattr(snapshots, "SMALL", 9)
+    old, new = releases(seed)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    snapshots.write_snapshot(frame(spark, old), a, ["k"], buckets=7)
+    snapshots.write_snapshot(frame(spark, new), b, ["k"], buckets=7)
+    assert sorted(map(tuple, snapshots.diff_snapshots(spark, a, b, ["k"]).collect()), key=str) == brute(old, new)
+
+
 def test_an_empty_side_and_several_keys(spark, tmp_path):
     rows = [("k", 1, 2.0, "x"), ("k", 2, 2.0, "x")]
     none = frame(spark, [])
